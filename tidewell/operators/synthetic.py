@@ -29,3 +29,28 @@ def stage_targets(presence: DataFrame, ratio: float = 1.0, stages=tf.STAGES) ->
     return (presence.filter(F.col("life_stage").isin(*stages))
                     .groupBy(F.col("life_stage").alias("stage"))
                     .agg(F.floor(F.count(F.lit(1)) * F.lit(float(ratio))).cast("bigint").alias("n_target")))
+
+
+def generate_absence(presence: DataFrame, bbox: dict = tf.DEFAULT_BBOX, buffer_km: float = tf.DEFAULT_BUFFER_KM,
+                     ratio: float = 1.0, stages=tf.STAGES, seed: int = tf.DEFAULT_SEED,
+                     attempts_per_target: int = 10) -> DataFrame:
+    """Q12: absence points for every life stage.
+
+    Per stage: n = int(n_presence * ratio) targets; up to 10n hashed-uniform
+    candidates in the bbox (G4); candidates within ``buffer_km`` of that
+    stage's presence points are rejected (J5, tile anti-join); the first n
+    accepted in attempt order are kept (W4). Fewer than n is allowed.
+    """
+    from .grid import absence_candidates
+    from .ranking import first_n
+    from .spatial import exclude_buffer
+
+    spark = presence.sparkSession
+    staged = presence.filter(F.col("life_stage").isin(*stages))
+    targets = stage_targets(staged, ratio, stages)
+    cand = absence_candidates(spark, targets, bbox, seed, attempts_per_target)
+    pts = staged.select(F.col("life_stage").alias("stage"), "lon", "lat")
+    free = exclude_buffer(cand, pts, buffer_km, keys=["stage"])
+    kept = first_n(free, "attempt", "n_target", ["stage"])
+    return kept.select(F.col("stage").alias("Life_Stage"), "attempt", "lon", "lat",
+                       F.lit(0).alias("Shark_Presence_Status"), F.lit("Absence").alias("Point_Type"))
