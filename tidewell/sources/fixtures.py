@@ -97,6 +97,8 @@ def with_views(sql: str, views) -> str:
     """Prefix an oracle query with the adapter views it uses, as CTEs."""
     ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]})" for v in views)
     body = sql.lstrip()
+    if body[:15].lower() == "with recursive ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].lower() == "with ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
