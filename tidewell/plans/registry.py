@@ -19,6 +19,7 @@ from ..sources.fixtures import register_views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+RAW_ORACLES: dict[str, str] = {}  # oracle text before the view CTEs (for composition)
 
 
 def register(key: str, views=(), oracle: str | None = None):
@@ -34,6 +35,7 @@ def register(key: str, views=(), oracle: str | None = None):
             raise KeyError(f"duplicate query key {key}")
         QUERIES[key] = run
         if oracle is not None:
+            RAW_ORACLES[key] = oracle
             ORACLES[key] = with_views(oracle, views) if views else oracle
         return run
     return deco
