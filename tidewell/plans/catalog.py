@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import q_cluster, q_columns, q_density, q_grid, q_spatial, q_temporal  # noqa: F401
-from . import q_training  # noqa: F401  (composes oracles of the modules above)
+from . import q_io, q_training  # noqa: F401  (compose oracles of the modules above)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "flagship"]
