@@ -68,3 +68,14 @@ def q_rookery_distance(spark, sf):
     cells = G.target_grid(spark, BBOX, 0.1)
     out = SP.nearest_distance(cells, rook, 500.0, out="Dist_to_Rookery_km")
     return report(out.select("lat_idx", "lon_idx", "Dist_to_Rookery_km"))
+
+
+@register("cluster_centroids", ["v_occurrences"],
+          f"with recursive {DBSCAN_SQL} select cluster, round(avg(lon), 9) + 0.0 as lon, round(avg(lat), 9) + 0.0 "
+          "as lat, count(*) as Observation_Count from labels group by cluster")
+def q_centroids(spark, sf):
+    """Mean position and size of every DBSCAN label (noise -1 included)."""
+    prey = _prey(spark)
+    labels = CL.dbscan(prey, EPS_KM, MIN_SAMPLES, "occ_id")
+    pts = prey.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("occ_id", "lon", "lat")
+    return report(CL.cluster_centroids(pts.join(labels, "occ_id")))
