@@ -239,10 +239,12 @@ def test_interpolate_weekly_matches_numpy(spark):
     assert np.allclose(got["value"].to_numpy(), want)
 
 
-def test_kde_matches_brute_force(spark):
+@pytest.mark.parametrize("engine", ["arrow", "sql"])
+def test_kde_matches_brute_force(spark, engine, monkeypatch):
+    monkeypatch.setattr(D, "MAX_POINTS_PER_TASK", 7)  # force salted buckets
     df, pdf = _points(spark, n=120, hot=False)
     cells = G.target_grid(spark, {"min_lon": -130.0, "max_lon": -110.0, "min_lat": 25.0, "max_lat": 45.0}, 1.0)
-    got = D.kde_density(cells, df).toPandas().sort_values(["lat_idx", "lon_idx"])
+    got = D.kde_density(cells, df, engine=engine).toPandas().sort_values(["lat_idx", "lon_idx"])
     data = np.vstack([pdf["lon"], pdf["lat"]])
     n = data.shape[1]
     cov = np.cov(data) * n ** (-1 / 3)

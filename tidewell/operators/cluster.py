@@ -15,18 +15,22 @@ Distributed plan (no all-pairs, no group collected):
    count cross-cell neighbours through the tile join;
 3. core cells are graph nodes (id = smallest core row id in the cell); an
    edge joins two neighbouring core cells that have core points within eps;
-4. connected components by min-label propagation with pointer jumping,
-   each round checkpointed to the reliable checkpoint folder;
+4. connected components: inside bounded super-tiles of cells with NumPy,
+   then min-label propagation with pointer jumping over the edges that cross
+   super-tiles (each round checkpointed to the shared checkpoint folder);
 5. components are numbered by their smallest core id (block ranking),
    border points take the smallest cluster among core neighbours.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from .lineage import materialize
 from .ranking import block_rank
 from .spatial import _d2, _tile, explode_neighbours, with_tiles
 
@@ -45,8 +49,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     changes (one count per round).
     """
     und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = und.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
-    labels = nodes.select(F.col(node).alias("node"), F.col(node).alias("label")).checkpoint()
+    und = materialize(und.filter(F.col("src") != F.col("dst")).distinct(), "cc-edges")
+    labels = materialize(nodes.select(F.col(node).alias("node"), F.col(node).alias("label")), "cc-labels")
+    prev_total = labels.agg(F.sum("label")).first()[0]
+    if prev_total is None:
+        return labels
     for _ in range(max_rounds):
         nb = (und.join(labels.withColumnRenamed("node", "dst"), "dst")
                  .groupBy("src").agg(F.min("label").alias("_m")))
@@ -55,15 +62,66 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         jump = (step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node"), "left")
                     .select(F.col("a.node").alias("node"),
                             F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label")))
-        jump = jump.checkpoint()
-        changed = (jump.join(labels.withColumnRenamed("label", "_old"), "node")
-                       .filter(F.col("label") != F.col("_old")).limit(1).count())
-        labels = jump
-        if changed == 0:
-            return labels
+        # labels only decrease, so an unchanged label sum means a fixed point
+        jump = materialize(jump, "cc-round")
+        total = jump.agg(F.sum("label")).first()[0]
+        if total == prev_total:
+            return jump
+        labels, prev_total = jump, total
     raise RuntimeError("connected components did not converge")
 
 
+def _local_min_labels(nodes: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """Smallest node id per connected component of a small graph (NumPy)."""
+    pos = {int(v): i for i, v in enumerate(nodes)}
+    u = np.fromiter((pos[int(a)] for a in src), dtype=np.int64, count=len(src))
+    v = np.fromiter((pos[int(b)] for b in dst), dtype=np.int64, count=len(dst))
+    lab = nodes.astype(np.int64).copy()
+    while True:
+        new = lab.copy()
+        np.minimum.at(new, u, lab[v])
+        np.minimum.at(new, v, lab[u])
+        # pointer jumping: take the label of the node named by the label
+        hop = np.fromiter((pos[int(x)] for x in new), dtype=np.int64, count=len(new))
+        new = np.minimum(new, new[hop])
+        if np.array_equal(new, lab):
+            return lab
+        lab = new
+
+
+def tile_contracted_components(nodes: DataFrame, edges: DataFrame, tile: int = 64) -> DataFrame:
+    """Components of a spatial graph, contracted tile by tile first.
+
+    ``nodes(node, _gx, _gy)`` carry grid cells; ``edges(src, dst)``. Inside
+    each super-tile of ``tile x tile`` cells (a bounded group) components are
+    found with NumPy; only edges that cross super-tiles, between the local
+    roots, go to the distributed rounds. Same labels as ``connected_components``.
+    """
+    nt = nodes.select("node", F.floor(F.col("_gx") / tile).alias("_sx"), F.floor(F.col("_gy") / tile).alias("_sy"))
+    e = (edges.join(nt.select(F.col("node").alias("src"), F.col("_sx").alias("_ax"), F.col("_sy").alias("_ay")), "src")
+              .join(nt.select(F.col("node").alias("dst"), F.col("_sx").alias("_bx"), F.col("_sy").alias("_by")), "dst"))
+    inner = e.filter((F.col("_ax") == F.col("_bx")) & (F.col("_ay") == F.col("_by"))).select(
+        F.col("_ax").alias("_sx"), F.col("_ay").alias("_sy"), "src", "dst")
+
+    def local(npdf: pd.DataFrame, epdf: pd.DataFrame) -> pd.DataFrame:
+        if npdf.empty:
+            return pd.DataFrame({"node": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
+        ns = npdf["node"].to_numpy(dtype=np.int64)
+        roots = _local_min_labels(ns, epdf["src"].to_numpy(dtype=np.int64), epdf["dst"].to_numpy(dtype=np.int64))
+        return pd.DataFrame({"node": ns, "root": roots})
+
+    root_of = materialize(nt.groupBy("_sx", "_sy").cogroup(inner.groupBy("_sx", "_sy"))
+                            .applyInPandas(local, "node long, root long"), "cc-local-roots")
+    cross = (e.filter((F.col("_ax") != F.col("_bx")) | (F.col("_ay") != F.col("_by"))).select("src", "dst")
+              .join(root_of.select(F.col("node").alias("src"), F.col("root").alias("_ra")), "src")
+              .join(root_of.select(F.col("node").alias("dst"), F.col("root").alias("_rb")), "dst")
+              .select(F.col("_ra").alias("src"), F.col("_rb").alias("dst")))
+    roots = root_of.select(F.col("root").alias("node")).distinct()
+    glob = connected_components(roots, cross)
+    return (root_of.join(glob.select(F.col("node").alias("root"), "label"), "root")
+                   .select("node", "label"))
+
+
 def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col: str = "id",
            lon: str = "lon", lat: str = "lat", out: str = "cluster") -> DataFrame:
     """DBSCAN labels for every point with coordinates: ``(id, cluster)``."""
@@ -88,12 +146,12 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
                    .groupBy("_px", "_py").agg(F.sum("_qw").alias("_cross")))
     loc = (loc.join(cross, ["_px", "_py"], "left")
               .withColumn("_core", (F.col("_cn") + F.coalesce(F.col("_cross"), F.lit(0))) >= min_samples)
-              .drop("_cross")
-              .checkpoint())
+              .drop("_cross"))
+    loc = materialize(loc, "dbscan-locations")
     core = loc.filter("_core")
     # graph nodes = core cells, named by their smallest core row id
     node_of = core.groupBy("_gx", "_gy").agg(F.min("_min_id").alias("_node"))
-    core = core.join(node_of, ["_gx", "_gy"]).checkpoint()
+    core = materialize(core.join(node_of, ["_gx", "_gy"]), "dbscan-core")
     nbr = explode_neighbours(
         core.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"), F.col("_node").alias("_qnode")),
         g, 2, "_qx", "_qy", "_ngx", "_ngy")
@@ -101,11 +159,12 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
                        & (core["_node"] < nbr["_qnode"]))
                  .filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
                  .select(F.col("_node").alias("src"), F.col("_qnode").alias("dst")).distinct())
-    comps = connected_components(node_of.select(F.col("_node").alias("node")), edges)
+    comps = tile_contracted_components(node_of.select(F.col("_node").alias("node"), "_gx", "_gy"), edges)
     numbered = block_rank(comps.select("label").distinct(), "label", out="_rank")
     cluster_of = (comps.join(numbered, "label")
                        .select(F.col("node").alias("_node"), (F.col("_rank") - 1).alias("_cluster")))
-    core_lab = core.join(cluster_of, "_node").select("_px", "_py", "_gx", "_gy", "_cluster").checkpoint()
+    core_lab = materialize(core.join(cluster_of, "_node").select("_px", "_py", "_gx", "_gy", "_cluster"),
+                           "dbscan-core-labels")
     # border points: smallest cluster among core neighbours (same or nearby cell)
     noncore = loc.filter(~F.col("_core")).select("_px", "_py", "_gx", "_gy")
     cn = explode_neighbours(core_lab.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"),

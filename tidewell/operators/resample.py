@@ -52,15 +52,15 @@ def nearest_axis_map(source_axis: DataFrame, target_axis: DataFrame) -> DataFram
     return t.select("idx", pick.alias("s")).filter(F.col("s").isNotNull())
 
 
-def linear_axis_map(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame:
-    """(idx, s, w): the two bracketing source coordinates and their weights.
+def linear_brackets(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame:
+    """(idx, lo, hi, w): bracketing source coordinates of each target and the
+    weight of ``hi``.
 
     Bracket is ``(s_lo, s_hi]``; a target equal to the first source uses the
-    first bracket. Targets outside the source extent get no rows.
+    first bracket. Targets outside the source extent get no row.
     """
     sa = source_axis.select("s").distinct()
-    ws = Window.orderBy("s")
-    sa = sa.withColumn("s_next", F.lead("s").over(ws))
+    sa = sa.withColumn("s_next", F.lead("s").over(Window.orderBy("s")))
     u = _axis_union(sa, target_axis).join(
         F.broadcast(sa.select(F.col("s").alias("_c"), F.col("s_next").alias("_cn"))), "_c", "left")
     w = Window.orderBy("_c", "_src")
@@ -70,13 +70,19 @@ def linear_axis_map(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame
           .withColumn("_next", F.first(s_val, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
           .withColumn("_next2", F.first(n_val, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))))
     t = u.filter(F.col("_src") == 0)
-    lo = F.when(F.col("_prev").isNull() & (F.col("_next") == F.col("_c")), F.col("_next")).otherwise(F.col("_prev"))
-    hi = F.when(F.col("_prev").isNull() & (F.col("_next") == F.col("_c")), F.col("_next2")).otherwise(F.col("_next"))
+    first = F.col("_prev").isNull() & (F.col("_next") == F.col("_c"))
+    lo = F.when(first, F.col("_next")).otherwise(F.col("_prev"))
+    hi = F.when(first, F.col("_next2")).otherwise(F.col("_next"))
     b = t.select("idx", "_c", lo.alias("lo"), hi.alias("hi")).filter(F.col("lo").isNotNull() & F.col("hi").isNotNull())
-    w_hi = (F.col("_c") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    return b.select("idx", "lo", "hi", ((F.col("_c") - F.col("lo")) / (F.col("hi") - F.col("lo"))).alias("w"))
+
+
+def linear_axis_map(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame:
+    """(idx, s, w): the two bracketing source coordinates and their weights."""
+    b = linear_brackets(source_axis, target_axis)
     return b.select("idx", F.explode(F.array(
-        F.struct(F.col("lo").alias("s"), (F.lit(1.0) - w_hi).alias("w")),
-        F.struct(F.col("hi").alias("s"), w_hi.alias("w")))).alias("_k")).select("idx", "_k.s", "_k.w")
+        F.struct(F.col("lo").alias("s"), (F.lit(1.0) - F.col("w")).alias("w")),
+        F.struct(F.col("hi").alias("s"), F.col("w").alias("w")))).alias("_k")).select("idx", "_k.s", "_k.w")
 
 
 def _axes(grid: DataFrame):
@@ -86,12 +92,13 @@ def _axes(grid: DataFrame):
 
 
 def resample(source: DataFrame, grid: DataFrame, values: Sequence[str], method: str = "bilinear",
-             keys: Sequence[str] = (), lat: str = "lat", lon: str = "lon") -> DataFrame:
+             keys: Sequence[str] = (), lat: str = "lat", lon: str = "lon", complete_only: bool = False) -> DataFrame:
     """Resample source rows onto ``grid`` (lat_idx, lon_idx, lat, lon).
 
     ``keys`` (e.g. ``time``) are carried through: the result has one row per
     (keys, target cell) that received any source corner; values are NULL
-    where a corner is absent or missing.
+    where a corner is absent or missing (``complete_only`` keeps only the
+    cells with a value).
     """
     keys, values = list(keys), list(values)
     src = source.select(*keys, F.col(lat).alias("_slat"), F.col(lon).alias("_slon"),
@@ -106,18 +113,82 @@ def resample(source: DataFrame, grid: DataFrame, values: Sequence[str], method:
         return out.select(*keys, "lat_idx", "lon_idx", *values)
     if method not in ("bilinear", "linear"):
         raise ValueError(f"unknown resampling method {method}")
-    mlat = linear_axis_map(s_lat, lat_t).select(F.col("idx").alias("lat_idx"), F.col("s").alias("_slat"),
-                                                F.col("w").alias("_wlat"))
-    mlon = linear_axis_map(s_lon, lon_t).select(F.col("idx").alias("lon_idx"), F.col("s").alias("_slon"),
-                                                F.col("w").alias("_wlon"))
-    contrib = src.join(F.broadcast(mlat), "_slat").join(F.broadcast(mlon), "_slon")
+    quads = bilinear_quads(src, lat_t, lon_t, s_lat, s_lon, values, keys)
+    return quads_to_cells(quads, values, keys, complete_only)
+
+
+def _corner_table(brackets: DataFrame, name: str) -> DataFrame:
+    """Source coordinate -> (bracket, role): role 0 = lo corner, 1 = hi corner."""
+    br = brackets.select("lo", "hi").distinct()
+    return (br.select(F.col("lo").alias(f"_s{name}"), "lo", "hi", F.lit(0).alias(f"_r{name}"))
+              .unionByName(br.select(F.col("hi").alias(f"_s{name}"), "lo", "hi", F.lit(1).alias(f"_r{name}")))
+              .withColumnRenamed("lo", f"_{name}lo").withColumnRenamed("hi", f"_{name}hi"))
+
+
+def bilinear_quads(src: DataFrame, lat_t: DataFrame, lon_t: DataFrame, s_lat: DataFrame, s_lon: DataFrame,
+                   values, keys) -> DataFrame:
+    """One row per (keys, lat bracket, lon bracket) with its four corner values.
+
+    Every target cell inside the same source square shares the same four
+    corners, so corners are gathered once per square (each source row feeds
+    at most four squares) and cells are produced afterwards.
+    """
+    lat_b = linear_brackets(s_lat, lat_t)
+    lon_b = linear_brackets(s_lon, lon_t)
+    contrib = (src.join(F.broadcast(_corner_table(lat_b, "y")), F.col("_slat") == F.col("_sy"))
+                  .join(F.broadcast(_corner_table(lon_b, "x")), F.col("_slon") == F.col("_sx")))
     aggs = []
     for v in values:
-        aggs.append(F.sum(F.col("_wlat") * F.col("_wlon") * F.col(v)).alias(f"_s_{v}"))
+        for ry in (0, 1):
+            for rx in (0, 1):
+                aggs.append(F.max(F.when((F.col("_ry") == ry) & (F.col("_rx") == rx), F.col(v))).alias(f"_{v}{ry}{rx}"))
         aggs.append(F.count(v).alias(f"_n_{v}"))
-    g = contrib.groupBy(*keys, "lat_idx", "lon_idx").agg(*aggs)
-    return g.select(*keys, "lat_idx", "lon_idx",
-                    *[F.when(F.col(f"_n_{v}") == 4, F.col(f"_s_{v}")).alias(v) for v in values])
+    quads = contrib.groupBy(*keys, "_ylo", "_yhi", "_xlo", "_xhi").agg(*aggs)
+    lat_cells = lat_b.select(F.col("idx").alias("lat_idx"), F.col("lo").alias("_ylo"), F.col("hi").alias("_yhi"),
+                             F.col("w").alias("_wy"))
+    lon_cells = lon_b.select(F.col("idx").alias("lon_idx"), F.col("lo").alias("_xlo"), F.col("hi").alias("_xhi"),
+                             F.col("w").alias("_wx"))
+    return quads, lat_cells, lon_cells
+
+
+def quads_to_cells(quads, values, keys, complete_only: bool = False) -> DataFrame:
+    """Expand square corner sets to their target cells with bilinear weights.
+
+    ``complete_only`` keeps only cells whose four corners are all present
+    (the rows that carry a value); otherwise every cell touched by any
+    corner is returned, NULL where a corner is absent or missing.
+    """
+    q, lat_cells, lon_cells = quads
+    if complete_only:
+        cond = None
+        for v in values:
+            c = F.col(f"_n_{v}") == 4
+            cond = c if cond is None else (cond | c)
+        q = q.filter(cond)
+    cells = (q.join(F.broadcast(lat_cells), ["_ylo", "_yhi"]).join(F.broadcast(lon_cells), ["_xlo", "_xhi"]))
+    wy, wx = F.col("_wy"), F.col("_wx")
+    one = F.lit(1.0)
+    out = []
+    for v in values:
+        val = ((one - wy) * (one - wx) * F.col(f"_{v}00") + (one - wy) * wx * F.col(f"_{v}01")
+               + wy * (one - wx) * F.col(f"_{v}10") + wy * wx * F.col(f"_{v}11"))
+        out.append(F.when(F.col(f"_n_{v}") == 4, val).alias(v))
+    return cells.select(*keys, "lat_idx", "lon_idx", *out)
+
+
+def contributing_times(source: DataFrame, grid: DataFrame, time_col: str = "time", lat: str = "lat",
+                       lon: str = "lon"):
+    """First and last time of the source rows that feed at least one cell
+    (bilinear): two scalars read from one aggregate row."""
+    lat_t, lon_t = _axes(grid)
+    s_lat = source.select(F.col(lat).alias("s")).distinct()
+    s_lon = source.select(F.col(lon).alias("s")).distinct()
+    cy = _corner_table(linear_brackets(s_lat, lat_t), "y").select("_sy").distinct()
+    cx = _corner_table(linear_brackets(s_lon, lon_t), "x").select("_sx").distinct()
+    r = (source.join(F.broadcast(cy), F.col(lat) == F.col("_sy"), "left_semi")
+               .join(F.broadcast(cx), F.col(lon) == F.col("_sx"), "left_semi")
+               .agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first())
+    return r["lo"], r["hi"]
 
 
 # ---- W5: cubic (not-a-knot) spline along each axis, Python on workers -------

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from .lineage import materialize
 
 # A tile is a hair wider than the radius, so float noise in x / size can never
 # put two points within r more than one tile apart.
@@ -85,16 +86,17 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
         rd = tf.km_to_deg(r_km)
         size = rd * _TILE_SLACK
         near = explode_neighbours(pts, size, 1, "_px", "_py")
-        # reliable checkpoints cut the round-to-round lineage (executor loss safe)
-        found = (with_tiles(open_cells, size, "_cx", "_cy")
-                 .join(near, ["_tx", "_ty"])
-                 .filter(_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd))
-                 .groupBy(*cell_keys).agg(F.min(_d2("_cx", "_cy", "_px", "_py")).alias("_d2"))
-                 .checkpoint())
+        # each round is written as a table in the shared checkpoint folder:
+        # round-to-round lineage is cut and survives executor loss
+        found = materialize(with_tiles(open_cells, size, "_cx", "_cy")
+                            .join(near, ["_tx", "_ty"])
+                            .filter(_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd))
+                            .groupBy(*cell_keys).agg(F.min(_d2("_cx", "_cy", "_px", "_py")).alias("_d2")),
+                            "nearest-found")
         resolved.append(found)
         if last:
             break
-        open_cells = open_cells.join(found.select(*cell_keys), cell_keys, "left_anti").checkpoint()
+        open_cells = materialize(open_cells.join(found.select(*cell_keys), cell_keys, "left_anti"), "nearest-open")
         if open_cells.isEmpty():
             break
         r_km = r_km * 2 if max_distance_km is None else min(r_km * 2, max_distance_km)

@@ -30,18 +30,21 @@ def densify(layer: DataFrame, grid: DataFrame) -> DataFrame:
     return grid.select("lat_idx", "lon_idx").join(layer, ["lat_idx", "lon_idx"], "left")
 
 
-def densify_weeks(layer: DataFrame, grid: DataFrame, week_col: str = "week") -> DataFrame:
+def densify_weeks(layer: DataFrame, grid: DataFrame, week_col: str = "week", lo=None, hi=None) -> DataFrame:
     """Every (week, cell) between the layer's first and last week, left-joined.
 
     The week range is two scalars; each grid cell explodes its own week
     sequence (a generator spread over the grid's partitions, no Cartesian
-    product), then one equi-join brings the values.
+    product), then one equi-join brings the values. ``lo``/``hi`` (Sundays)
+    override the range taken from the layer.
     """
-    b = layer.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi")).first()
-    if b["lo"] is None:
+    if lo is None or hi is None:
+        b = layer.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi")).first()
+        lo, hi = b["lo"], b["hi"]
+    if lo is None:
         return layer
     spine = grid.select("lat_idx", "lon_idx", F.explode(F.sequence(
-        F.lit(b["lo"]), F.lit(b["hi"]), F.expr("interval 7 days"))).alias(week_col))
+        F.lit(lo), F.lit(hi), F.expr("interval 7 days"))).alias(week_col))
     return spine.join(layer, [week_col, "lat_idx", "lon_idx"], "left")
 
 

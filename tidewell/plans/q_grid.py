@@ -5,6 +5,8 @@ Survey rows J8, J9, W1, W2, W5, A18 and products Q1-Q6.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from .. import functions as tf
@@ -187,14 +189,25 @@ def _cube_weekly_sql(out: str, with_gradient: bool) -> str:
         "round(sqrt(dx * dx + dy * dy), 9) + 0.0 as SST_grad_C_km from dd")
 
 
+def _sunday(t):
+    """Sunday label of the Monday-based week holding ``t`` (a driver scalar)."""
+    if t is None:
+        return None
+    d = t.date() if hasattr(t, "date") else t
+    return d + datetime.timedelta(days=6 - d.weekday())
+
+
 def cube_product(spark, out: str, with_gradient: bool, res: float = 0.5):
     """Resample the daily cube (J9) -> weekly mean (A1) -> dense weeks x grid
     (W6) -> optional per-week gradient (W1)."""
     grid = G.target_grid(spark, BBOX, res)
     cube = spark.table("v_cube")
-    daily = RS.resample(cube, grid, ["value"], "bilinear", keys=["time"])
+    # only cells with all four corners carry a value; the week range is the
+    # one of the source rows that feed the grid at all
+    daily = RS.resample(cube, grid, ["value"], "bilinear", keys=["time"], complete_only=True)
     weekly = T.aggregate_weekly(daily, "value", "mean", "time", ["lat_idx", "lon_idx"], out=out, fill=False)
-    dense = TR.densify_weeks(weekly, grid)
+    t0, t1 = RS.contributing_times(cube, grid, "time")
+    dense = TR.densify_weeks(weekly, grid, lo=_sunday(t0), hi=_sunday(t1))
     if with_gradient:
         n_lat, n_lon = G.grid_shape(BBOX, res)
         dense = TR.gradient_magnitude(dense, out, res, n_lat, n_lon, keys=["week"], out="SST_grad_C_km")

@@ -7,24 +7,17 @@ bbox reads; cubes are partitioned by week so date filters prune partitions.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as tf
-from ..session import ensure_checkpoint_dir
+from ..operators.lineage import scratch_path  # noqa: F401  (re-exported)
 
 DEFAULT_NODATA = -9999.0
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidewell-io/{name}-{uuid.uuid4().hex}"
-
-
 def write_points(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None,
                  mode: str = "overwrite") -> str:
     """K1: point/line layer as Parquet, optionally partitioned (species, stage)."""
