@@ -73,13 +73,21 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
     """
     cell_keys = list(cell_keys)
     pts = distinct_points(points, point_lon, point_lat).select("_px", "_py")
-    if pts.isEmpty():
+    # one aggregate row: how many distinct points and over what extent
+    st = pts.agg(F.count(F.lit(1)).alias("n"), F.min("_px").alias("x0"), F.max("_px").alias("x1"),
+                 F.min("_py").alias("y0"), F.max("_py").alias("y1")).first()
+    if not st["n"]:
         return cells.withColumn(out, F.lit(None).cast("double") if max_distance_km is None
                                 else F.lit(float(max_distance_km)))
     open_cells = cells.select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy"))
-    r_km = first_radius_km or 2 * tf.DEFAULT_RESOLUTION * tf.KM_PER_DEG
+    if first_radius_km is None:
+        # typical spacing of the points: most cells resolve in the first rounds
+        area = max((st["x1"] - st["x0"]) * (st["y1"] - st["y0"]), 1e-12)
+        first_radius_km = max(2 * tf.DEFAULT_RESOLUTION * tf.KM_PER_DEG,
+                              tf.KM_PER_DEG * (area / st["n"]) ** 0.5)
+    r_km = first_radius_km
     if max_distance_km is not None:
-        r_km = min(max(r_km, max_distance_km / 32), max_distance_km)
+        r_km = min(r_km, max_distance_km)
     resolved = []
     while True:
         last = max_distance_km is not None and r_km >= max_distance_km
