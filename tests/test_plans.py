@@ -47,3 +47,15 @@ def test_gradient_windows_are_partitioned(spark):
     g = TR.gradient_magnitude(grid.withColumn("v", F.col("lat")), "v", 0.5, 41, 41)
     plan = _plan(g)
     assert "SinglePartition" not in plan
+
+
+def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    bad = []
+    for key, fn in entry.queries().items():
+        plan = _plan(fn(spark, sf_dir))
+        hits = [b for b in BAD if b in plan]
+        if hits:
+            bad.append((key, hits))
+    assert bad == []

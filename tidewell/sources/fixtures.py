@@ -66,6 +66,16 @@ VIEW_SQL = {
         "from events group by 1, 2"),
 }
 
+# Spark-side text where the shared one would plan a nested-loop join: the five
+# vertex numbers come from a generator instead of a cross join (same rows).
+SPARK_VIEW_SQL = {
+    "v_lane_vertices": (
+        "select s_suppkey as lane_id, v as vertex_no, "
+        "cast(-130 as double) + cast((s_suppkey * 397 + v * 23) % 2000 as double) / 100 as lon, "
+        "cast(25 as double) + cast((s_suppkey * 611 + v * 41) % 2000 as double) / 100 as lat "
+        "from supplier lateral view explode(array(0, 1, 2, 3, 4)) k as v"),
+}
+
 # Which base tables each view reads (so only those are registered).
 VIEW_TABLES = {
     "v_individuals": ("events",), "v_tracks": ("events",), "v_occurrences": ("orders",),
@@ -85,7 +95,7 @@ def register_views(spark: SparkSession, sf_dir: str, views=None) -> None:
     tables = sorted({t for v in views for t in VIEW_TABLES[v]})
     register_tables(spark, sf_dir, tables)
     for v in views:
-        spark.sql(VIEW_SQL[v]).createOrReplaceTempView(v)
+        spark.sql(SPARK_VIEW_SQL.get(v, VIEW_SQL[v])).createOrReplaceTempView(v)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
