@@ -13,6 +13,10 @@ QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if v is None:
         return "NULL"
@@ -49,6 +53,7 @@ def test_query_matches_oracle(spark, sf_dir, duck, key):
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == {d[0]: str(d[1]) for d in res.description}
     assert len(s_rows) == len(o_rows)
     assert _digest(df.columns, s_rows) == _digest(o_cols, o_rows)
 

@@ -245,7 +245,7 @@ def q_absence_candidates(spark, sf):
 
 
 @register("buffer_ring", ["v_lane_vertices"],
-          "select lane_id, vertex_no, k, "
+          "select lane_id, vertex_no, cast(k as int) as k, "
           f"{r('lon + (10.0 / 111.0) * cos(cast(k as double) * (2 * pi() / 64))')} as x, "
           f"{r('lat + (10.0 / 111.0) * sin(cast(k as double) * (2 * pi() / 64))')} as y "
           "from v_lane_vertices, range(0, 65) t(k)")

@@ -137,9 +137,10 @@ def q_nursery(spark, sf):
 
 
 @register("index_summary", ["v_surface"],
-          NURSERY_SQL + " select count_if(depth_ok) as n_depth_ok, count_if(slope_ok) as n_slope_ok, "
-          "count_if(sst_ok) as n_sst_ok, count_if(chl_ok) as n_chl_ok, min(Nursery_Index) as index_min, "
-          "max(Nursery_Index) as index_max, count_if(Nursery_Index >= 0.75) as n_high, "
+          NURSERY_SQL + " select cast(count_if(depth_ok) as bigint) as n_depth_ok, "
+          "cast(count_if(slope_ok) as bigint) as n_slope_ok, cast(count_if(sst_ok) as bigint) as n_sst_ok, "
+          "cast(count_if(chl_ok) as bigint) as n_chl_ok, min(Nursery_Index) as index_min, "
+          "max(Nursery_Index) as index_max, cast(count_if(Nursery_Index >= 0.75) as bigint) as n_high, "
           "round(first(chl_mean), 9) + 0.0 as chl_mean from idx")
 def q_index_summary(spark, sf):
     """A15 over the Q13 result."""

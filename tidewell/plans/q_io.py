@@ -217,9 +217,11 @@ def q_read_points(spark, sf):
 
 
 META_SQL = " union all ".join(
-    f"select '{name}' as layer, '{unit}' as unit, 'EPSG:4326' as crs, 0.1 as resolution_deg, -130.0 as min_lon, "
-    f"-110.0 as max_lon, 25.0 as min_lat, 45.0 as max_lat, -9999.0 as nodata, count(*) as n_rows, "
-    f"count_if({col} is null) as n_null, min({col}) as min_value, max({col}) as max_value, '{src}' as source "
+    f"select '{name}' as layer, '{unit}' as unit, 'EPSG:4326' as crs, cast(0.1 as double) as resolution_deg, "
+    f"cast(-130.0 as double) as min_lon, cast(-110.0 as double) as max_lon, cast(25.0 as double) as min_lat, "
+    f"cast(45.0 as double) as max_lat, cast(-9999.0 as double) as nodata, count(*) as n_rows, "
+    f"cast(count_if({col} is null) as bigint) as n_null, min({col}) as min_value, max({col}) as max_value, "
+    f"'{src}' as source "
     f"from ({sql}) q"
     for name, unit, col, src, sql in (
         ("Dist_to_Shipping_Lane_km", "km", "Dist_to_Shipping_Lane_km", "shipping lanes", RAW_ORACLES["lane_distance"]),

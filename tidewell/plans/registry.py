@@ -26,6 +26,10 @@ def register(key: str, views=(), oracle: str | None = None):
     """Decorator: register a query under ``key`` with its oracle SQL."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the answers are defined in UTC (week labels, epoch seconds);
+            # the caller's session may have been built with another zone
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             if views:
                 register_views(spark, sf_dir, list(views))
             return fn(spark, sf_dir)
