@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from .lineage import materialize
 
 
 def _axis_union(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame:
@@ -176,6 +177,28 @@ def quads_to_cells(quads, values, keys, complete_only: bool = False) -> DataFram
     return cells.select(*keys, "lat_idx", "lon_idx", *out)
 
 
+def resample_with_range(source: DataFrame, grid: DataFrame, values, keys, time_col: str,
+                        lat: str = "lat", lon: str = "lon"):
+    """Bilinear cells that carry a value, plus the first/last ``time_col`` of
+    any source square feeding the grid.
+
+    The per-square corner table is checkpointed once; the time range (one
+    aggregate row) and the cells both read it, so the source is scanned and
+    bracketed a single time.
+    """
+    keys, values = list(keys), list(values)
+    src = source.select(*keys, F.col(lat).alias("_slat"), F.col(lon).alias("_slon"),
+                        *[tf.nan_to_null(v).alias(v) for v in values])
+    lat_t, lon_t = _axes(grid)
+    s_lat = src.select(F.col("_slat").alias("s")).distinct()
+    s_lon = src.select(F.col("_slon").alias("s")).distinct()
+    q, lat_cells, lon_cells = bilinear_quads(src, lat_t, lon_t, s_lat, s_lon, values, keys)
+    q = materialize(q, "bilinear-squares")
+    r = q.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    cells = quads_to_cells((q, lat_cells, lon_cells), values, keys, complete_only=True)
+    return cells, r["lo"], r["hi"]
+
+
 def contributing_times(source: DataFrame, grid: DataFrame, time_col: str = "time", lat: str = "lat",
                        lon: str = "lon"):
     """First and last time of the source rows that feed at least one cell

@@ -204,9 +204,8 @@ def cube_product(spark, out: str, with_gradient: bool, res: float = 0.5):
     cube = spark.table("v_cube")
     # only cells with all four corners carry a value; the week range is the
     # one of the source rows that feed the grid at all
-    daily = RS.resample(cube, grid, ["value"], "bilinear", keys=["time"], complete_only=True)
+    daily, t0, t1 = RS.resample_with_range(cube, grid, ["value"], ["time"], "time")
     weekly = T.aggregate_weekly(daily, "value", "mean", "time", ["lat_idx", "lon_idx"], out=out, fill=False)
-    t0, t1 = RS.contributing_times(cube, grid, "time")
     dense = TR.densify_weeks(weekly, grid, lo=_sunday(t0), hi=_sunday(t1))
     if with_gradient:
         n_lat, n_lon = G.grid_shape(BBOX, res)
