@@ -260,3 +260,21 @@ def test_target_grid_has_integer_axis_length(spark):
     g = G.target_grid(spark, {"min_lon": -122.0, "max_lon": -120.0, "min_lat": 36.0, "max_lat": 38.0}, 0.1)
     assert g.count() == 21 * 21
     assert G.target_grid(spark).count() == 201 * 201
+
+
+@pytest.mark.parametrize("gap", [0.97, 1.03])
+def test_dbscan_clumps_linked_only_by_far_cells(spark, gap):
+    # two tight dense clumps whose closest points are gap * eps apart, empty
+    # cells between them: only the point test between non-touching cells decides
+    rng = np.random.default_rng(8)
+    e = 1.0 / 111.0
+    a = np.column_stack([rng.uniform(-0.05, 0.0, 30) * e, rng.uniform(-0.02, 0.02, 30) * e])
+    b = np.column_stack([gap * e + rng.uniform(0.0, 0.05, 30) * e, rng.uniform(-0.02, 0.02, 30) * e])
+    a[0] = (0.0, 0.0)
+    b[0] = (gap * e, 0.0)
+    pts = np.concatenate([b, a, rng.uniform(-5, 5, (20, 2)) * e])
+    pdf = pd.DataFrame({"id": np.arange(len(pts)), "lon": pts[:, 0], "lat": pts[:, 1]})
+    got = CL.dbscan(spark.createDataFrame(pdf), 1.0, 5, "id").toPandas().sort_values("id")["cluster"].to_numpy()
+    want = _textbook_dbscan(pdf["lon"].to_numpy(), pdf["lat"].to_numpy(), e, 5)
+    assert (got == want).all()
+    assert len(set(want[want >= 0])) == (1 if gap < 1 else 2)

@@ -9,12 +9,14 @@ core neighbours.
 Distributed plan (no all-pairs, no group collected):
 
 1. identical coordinates collapse to one location with a multiplicity;
-2. locations fall in cells of side ``eps/sqrt(2)`` (any two points of a
-   cell are within eps). A cell holding ``>= min_samples`` points makes all
-   its points core without any pair test; only locations in sparse cells
-   count cross-cell neighbours through the tile join;
-3. core cells are graph nodes (id = smallest core row id in the cell); an
-   edge joins two neighbouring core cells that have core points within eps;
+2. core flags on cells of side ``eps/sqrt(2)`` (one cell lies within eps):
+   a cell holding ``>= min_samples`` points is core without pair tests; only
+   locations in sparse cells test their 5x5 neighbourhood. Links and borders
+   use cells of side ``eps/(2 sqrt 2)``: any two points in the same or
+   touching cells are within eps;
+3. core cells are graph nodes (id = smallest core row id in the cell);
+   touching core cells are linked outright, cells 2..3 apart are point-tested
+   only when no core cell touches both;
 4. connected components: inside bounded super-tiles of cells with NumPy,
    then min-label propagation with pointer jumping over the edges that cross
    super-tiles (each round checkpointed to the shared checkpoint folder);
@@ -32,11 +34,7 @@ from pyspark.sql import functions as F
 from .. import functions as tf
 from .lineage import materialize
 from .ranking import block_rank
-from .spatial import _d2, _tile, explode_neighbours, with_tiles
-
-
-def _cells(eps: float) -> float:
-    return eps / (2 ** 0.5) * (1 - 1e-9)
+from .spatial import _d2, with_tiles
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
@@ -72,18 +70,18 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
 
 
 def _local_min_labels(nodes: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
-    """Smallest node id per connected component of a small graph (NumPy)."""
-    pos = {int(v): i for i, v in enumerate(nodes)}
-    u = np.fromiter((pos[int(a)] for a in src), dtype=np.int64, count=len(src))
-    v = np.fromiter((pos[int(b)] for b in dst), dtype=np.int64, count=len(dst))
+    """Smallest node id per connected component of a small graph (NumPy):
+    min-label propagation with pointer jumping, all vectorised."""
+    order = np.argsort(nodes)
+    srt = nodes[order]
+    u = order[np.searchsorted(srt, src)]
+    v = order[np.searchsorted(srt, dst)]
     lab = nodes.astype(np.int64).copy()
     while True:
         new = lab.copy()
         np.minimum.at(new, u, lab[v])
         np.minimum.at(new, v, lab[u])
-        # pointer jumping: take the label of the node named by the label
-        hop = np.fromiter((pos[int(x)] for x in new), dtype=np.int64, count=len(new))
-        new = np.minimum(new, new[hop])
+        new = np.minimum(new, new[order[np.searchsorted(srt, new)]])
         if np.array_equal(new, lab):
             return lab
         lab = new
@@ -122,57 +120,112 @@ def tile_contracted_components(nodes: DataFrame, edges: DataFrame, tile: int = 6
                    .select("node", "label"))
 
 
+def _offsets(lo: int, hi: int):
+    """Cell offsets (dx, dy) with Chebyshev distance in [lo, hi]."""
+    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                     for dx in range(-hi, hi + 1) for dy in range(-hi, hi + 1)
+                     if lo <= max(abs(dx), abs(dy)) <= hi])
+
+
+def _shift(df: DataFrame, lo: int, hi: int, gx: str = "_gx", gy: str = "_gy",
+           ngx: str = "_ngx", ngy: str = "_ngy") -> DataFrame:
+    """Replicate rows to the cells at Chebyshev distance lo..hi of their cell."""
+    return (df.withColumn("_o", F.explode(_offsets(lo, hi)))
+              .withColumn(ngx, F.col(gx) + F.col("_o.dx")).withColumn(ngy, F.col(gy) + F.col("_o.dy"))
+              .drop("_o"))
+
+
+def _near_rect(px: str, py: str, gx: str, gy: str, g: float, eps: float):
+    """Point within eps of cell (gx, gy)'s square (cheap pre-filter)."""
+    x0 = F.col(gx).cast("double") * F.lit(g)
+    y0 = F.col(gy).cast("double") * F.lit(g)
+    dx = F.greatest(x0 - F.col(px), F.lit(0.0), F.col(px) - (x0 + F.lit(g)))
+    dy = F.greatest(y0 - F.col(py), F.lit(0.0), F.col(py) - (y0 + F.lit(g)))
+    return dx * dx + dy * dy <= F.lit(eps * eps * (1 + 1e-9))
+
+
 def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col: str = "id",
            lon: str = "lon", lat: str = "lat", out: str = "cluster") -> DataFrame:
-    """DBSCAN labels for every point with coordinates: ``(id, cluster)``."""
+    """DBSCAN labels for every point with coordinates: ``(id, cluster)``.
+
+    Core points: on cells of side eps/sqrt(2) (one cell is within eps), a
+    cell holding >= min_samples points is core with no pair test; only
+    locations in sparse cells test their 5x5 neighbourhood. Links: on cells
+    of side eps/(2 sqrt 2), any two points in the same or touching cells are
+    within eps, so touching core cells are linked without point tests; core
+    cells two or three cells apart are tested only when no core cell touches
+    both, and only with the points near the other cell. Every point test
+    involves a location from a sparse cell or a pair of cells not already
+    linked, never all pairs of a dense area.
+    """
     eps = tf.km_to_deg(eps_km)
     e2 = F.lit(eps * eps)
-    g = _cells(eps)
+    g0 = eps / (2 ** 0.5) * (1 - 1e-9)
+    g = g0 / 2.0
+    m = int(min_samples)
     pts = (points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
                  .select(F.col(id_col).alias("_id"), F.col(lon).alias("_px"), F.col(lat).alias("_py")))
-    loc = (pts.groupBy("_px", "_py").agg(F.count(F.lit(1)).alias("_w"), F.min("_id").alias("_min_id")))
-    loc = with_tiles(loc, g, "_px", "_py", "_gx", "_gy")
-    cell_n = loc.groupBy("_gx", "_gy").agg(F.sum("_w").alias("_cn"))
-    loc = loc.join(cell_n, ["_gx", "_gy"])
-    # cross-cell neighbour weight, only for locations in sparse cells
-    sparse = loc.filter(F.col("_cn") < min_samples)
-    others = explode_neighbours(
-        loc.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"), F.col("_w").alias("_qw")),
-        g, 2, "_qx", "_qy", "_ngx", "_ngy")
-    others = others.withColumn("_ogx", _tile("_qx", g)).withColumn("_ogy", _tile("_qy", g))
-    cross = (sparse.join(others, (sparse["_gx"] == others["_ngx"]) & (sparse["_gy"] == others["_ngy"])
-                         & ((others["_ogx"] != sparse["_gx"]) | (others["_ogy"] != sparse["_gy"])))
-                   .filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
+    loc = pts.groupBy("_px", "_py").agg(F.count(F.lit(1)).alias("_w"), F.min("_id").alias("_min_id"))
+    # core flags on cells of side eps/sqrt(2) (same cell -> within eps): a cell
+    # with >= min_samples points is core outright; only locations in sparse
+    # cells test the 5x5 neighbourhood
+    loc = with_tiles(loc, g0, "_px", "_py", "_hx", "_hy")
+    cell_n = loc.groupBy("_hx", "_hy").agg(F.sum("_w").alias("_cn"))
+    loc = loc.join(cell_n, ["_hx", "_hy"])
+    sparse = _shift(loc.filter(F.col("_cn") < m).select("_px", "_py", "_hx", "_hy"), 1, 2, "_hx", "_hy")
+    other = loc.select(F.col("_hx").alias("_ngx"), F.col("_hy").alias("_ngy"), F.col("_px").alias("_qx"),
+                       F.col("_py").alias("_qy"), F.col("_w").alias("_qw"))
+    cross = (sparse.join(other, ["_ngx", "_ngy"]).filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
                    .groupBy("_px", "_py").agg(F.sum("_qw").alias("_cross")))
     loc = (loc.join(cross, ["_px", "_py"], "left")
-              .withColumn("_core", (F.col("_cn") + F.coalesce(F.col("_cross"), F.lit(0))) >= min_samples)
-              .drop("_cross"))
+              .withColumn("_core", (F.col("_cn") + F.coalesce(F.col("_cross"), F.lit(0))) >= m)
+              .drop("_cross", "_cn", "_hx", "_hy"))
+    loc = with_tiles(loc, g, "_px", "_py", "_gx", "_gy")
     loc = materialize(loc, "dbscan-locations")
     core = loc.filter("_core")
     # graph nodes = core cells, named by their smallest core row id
-    node_of = core.groupBy("_gx", "_gy").agg(F.min("_min_id").alias("_node"))
-    core = materialize(core.join(node_of, ["_gx", "_gy"]), "dbscan-core")
-    nbr = explode_neighbours(
-        core.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"), F.col("_node").alias("_qnode")),
-        g, 2, "_qx", "_qy", "_ngx", "_ngy")
-    edges = (core.join(nbr, (core["_gx"] == nbr["_ngx"]) & (core["_gy"] == nbr["_ngy"])
-                       & (core["_node"] < nbr["_qnode"]))
-                 .filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
-                 .select(F.col("_node").alias("src"), F.col("_qnode").alias("dst")).distinct())
+    node_of = materialize(core.groupBy("_gx", "_gy").agg(F.min("_min_id").alias("_node")), "dbscan-nodes")
+    other_nodes = node_of.select(F.col("_gx").alias("_ngx"), F.col("_gy").alias("_ngy"),
+                                 F.col("_node").alias("_qnode"))
+    touching = (_shift(node_of, 1, 1).join(other_nodes, ["_ngx", "_ngy"])
+                .filter(F.col("_node") < F.col("_qnode"))
+                .select(F.col("_node").alias("src"), F.col("_qnode").alias("dst")))
+    # cell pairs 2..3 apart that share no touching core cell need a point test
+    both = touching.unionByName(touching.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    via = (both.alias("a").join(both.alias("b"), F.col("a.dst") == F.col("b.src"))
+               .filter(F.col("a.src") < F.col("b.dst"))
+               .select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst")).distinct())
+    far = (_shift(node_of, 2, 3).join(other_nodes, ["_ngx", "_ngy"]).filter(F.col("_node") < F.col("_qnode"))
+           .select(F.col("_node").alias("src"), F.col("_qnode").alias("dst"), "_ngx", "_ngy"))
+    far = far.join(via, ["src", "dst"], "left_anti")
+    cpts = core.join(node_of.select("_gx", "_gy", "_node"), ["_gx", "_gy"]).select("_node", "_px", "_py")
+    a_side = (far.join(cpts.withColumnRenamed("_node", "src"), "src")
+                 .filter(_near_rect("_px", "_py", "_ngx", "_ngy", g, eps)))
+    b_side = cpts.select(F.col("_node").alias("dst"), F.col("_px").alias("_qx"), F.col("_py").alias("_qy"))
+    b_side = b_side.join(far.select("src", "dst").distinct(), "dst")
+    tested = (a_side.join(b_side, ["src", "dst"]).filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
+                    .select("src", "dst").distinct())
+    edges = touching.unionByName(tested)
     comps = tile_contracted_components(node_of.select(F.col("_node").alias("node"), "_gx", "_gy"), edges)
     numbered = block_rank(comps.select("label").distinct(), "label", out="_rank")
     cluster_of = (comps.join(numbered, "label")
                        .select(F.col("node").alias("_node"), (F.col("_rank") - 1).alias("_cluster")))
-    core_lab = materialize(core.join(cluster_of, "_node").select("_px", "_py", "_gx", "_gy", "_cluster"),
-                           "dbscan-core-labels")
-    # border points: smallest cluster among core neighbours (same or nearby cell)
+    cell_cluster = materialize(node_of.join(cluster_of, "_node").select("_gx", "_gy", "_cluster"),
+                               "dbscan-cell-clusters")
+    core_lab = core.join(cell_cluster, ["_gx", "_gy"]).select("_px", "_py", "_cluster")
+    # border points: smallest cluster among core cells of the block (all within
+    # eps) and among core points 2..3 cells away that are within eps
     noncore = loc.filter(~F.col("_core")).select("_px", "_py", "_gx", "_gy")
-    cn = explode_neighbours(core_lab.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"),
-                                            F.col("_cluster").alias("_qc")), g, 2, "_qx", "_qy", "_ngx", "_ngy")
-    border = (noncore.join(cn, (noncore["_gx"] == cn["_ngx"]) & (noncore["_gy"] == cn["_ngy"]))
-                     .filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
-                     .groupBy("_px", "_py").agg(F.min("_qc").alias("_cluster")))
-    labelled = core_lab.select("_px", "_py", "_cluster").unionByName(border)
+    in_block = (_shift(noncore, 0, 1).join(cell_cluster.select(F.col("_gx").alias("_ngx"), F.col("_gy").alias("_ngy"),
+                                                               "_cluster"), ["_ngx", "_ngy"])
+                .select("_px", "_py", "_cluster"))
+    ring_core = (core.join(cell_cluster, ["_gx", "_gy"])
+                     .select(F.col("_gx").alias("_ngx"), F.col("_gy").alias("_ngy"), F.col("_px").alias("_qx"),
+                             F.col("_py").alias("_qy"), "_cluster"))
+    in_ring = (_shift(noncore, 2, 3).join(ring_core, ["_ngx", "_ngy"])
+               .filter(_d2("_px", "_py", "_qx", "_qy") <= e2).select("_px", "_py", "_cluster"))
+    border = in_block.unionByName(in_ring).groupBy("_px", "_py").agg(F.min("_cluster").alias("_cluster"))
+    labelled = core_lab.unionByName(border)
     return (pts.join(labelled, ["_px", "_py"], "left")
                .select(F.col("_id").alias(id_col), F.coalesce("_cluster", F.lit(-1)).cast("bigint").alias(out)))
 
