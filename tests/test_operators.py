@@ -194,10 +194,11 @@ def test_nearest_ties_go_low_and_outside_is_missing(spark):
     assert out == {0: 1.0, 1: 1.0, 2: 2.0}  # 0.5 is a tie -> lower; 1.5 outside -> no row
 
 
-def test_cubic_spline_matches_dense_not_a_knot():
+@pytest.mark.parametrize("npts", [4, 5, 9])
+def test_cubic_spline_matches_dense_not_a_knot(npts):
     rng = np.random.default_rng(9)
-    x = np.sort(rng.uniform(0, 10, 9))
-    y = rng.normal(size=9)
+    x = np.sort(rng.uniform(0, 10, npts))
+    y = rng.normal(size=npts)
     xt = np.linspace(x[0], x[-1], 57)
     got = RS.cubic_eval(x, y, xt)
     # dense solve of the same spline: piecewise cubic coefficients with C2 + not-a-knot
@@ -278,3 +279,28 @@ def test_dbscan_clumps_linked_only_by_far_cells(spark, gap):
     want = _textbook_dbscan(pdf["lon"].to_numpy(), pdf["lat"].to_numpy(), e, 5)
     assert (got == want).all()
     assert len(set(want[want >= 0])) == (1 if gap < 1 else 2)
+
+
+def test_cubic_many_lines_equal_single_lines():
+    rng = np.random.default_rng(12)
+    x = np.sort(rng.uniform(0, 10, 12))
+    ys = rng.normal(size=(5, 12))
+    ys[2, 4] = np.nan
+    xt = np.linspace(-1, 11, 40)
+    many = RS.cubic_eval_many(x, ys, xt)
+    for i in range(5):
+        one = RS.cubic_eval(x, ys[i], xt)
+        assert np.array_equal(np.isnan(one), np.isnan(many[i]))
+        assert np.allclose(one[~np.isnan(one)], many[i][~np.isnan(one)])
+    assert np.isnan(many[2]).all()
+
+
+def test_resample_cubic_reproduces_a_cubic_surface(spark):
+    # a separable cubic is reproduced exactly by not-a-knot splines
+    rows = [(float(la), float(lo), float(la ** 3 - 2 * la + 0.5 * lo ** 3 + lo))
+            for la in np.arange(0.0, 3.01, 0.5) for lo in np.arange(0.0, 4.01, 0.5)]
+    df = spark.createDataFrame(rows, "lat double, lon double, v double")
+    grid = G.target_grid(spark, {"min_lon": 0.0, "max_lon": 4.0, "min_lat": 0.0, "max_lat": 3.0}, 0.25)
+    out = RS.resample_cubic(df, grid, "v").join(grid, ["lat_idx", "lon_idx"]).toPandas()
+    assert len(out) == 13 * 17
+    assert np.allclose(out["v"], out["lat"] ** 3 - 2 * out["lat"] + 0.5 * out["lon"] ** 3 + out["lon"])

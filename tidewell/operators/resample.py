@@ -214,71 +214,108 @@ def contributing_times(source: DataFrame, grid: DataFrame, time_col: str = "time
     return r["lo"], r["hi"]
 
 
-# ---- W5: cubic (not-a-knot) spline along each axis, Python on workers -------
+# ---- W5: cubic (not-a-knot) spline along each axis, NumPy on workers -------
 
-def _not_a_knot_second_derivs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Second derivatives of the not-a-knot cubic spline (n >= 4), O(n)."""
+LINES_PER_GROUP = 64  # grid lines solved together in one task (bounds memory)
+
+
+def _spline_factor(x: np.ndarray):
+    """Tridiagonal factorisation of the not-a-knot system for axis ``x``.
+
+    Unknowns are the second derivatives M0..M_{n-1}; the two not-a-knot
+    conditions are folded into the first and last interior rows, so the
+    interior system is tridiagonal (Thomas algorithm). Depends on x only, so
+    one factorisation serves every line that shares the axis.
+    """
     n = len(x)
     h = np.diff(x)
-    d = np.diff(y) / h
-    # unknowns M0..M_{n-1}; interior rows i=1..n-2
     a = np.zeros(n)
     b = np.zeros(n)
     c = np.zeros(n)
-    r = np.zeros(n)
     a[1:-1] = h[:-1]
     b[1:-1] = 2 * (h[:-1] + h[1:])
     c[1:-1] = h[1:]
-    r[1:-1] = 6 * (d[1:] - d[:-1])
-    # not-a-knot at x1: h1*M0 - (h0+h1)*M1 + h0*M2 = 0 -> M0 = ((h0+h1)M1 - h0 M2)/h1
-    # substitute into row 1
+    # not-a-knot at x1: M0 = ((h0 + h1) M1 - h0 M2) / h1, substituted into row 1
     b[1] += a[1] * (h[0] + h[1]) / h[1]
     c[1] -= a[1] * h[0] / h[1]
     a[1] = 0.0
-    # not-a-knot at x_{n-2}: h_{n-2} M_{n-3} - (h_{n-3}+h_{n-2}) M_{n-2} + h_{n-3} M_{n-1} = 0
+    # not-a-knot at x_{n-2}: M_{n-1} = ((h_{n-3} + h_{n-2}) M_{n-2} - h_{n-2} M_{n-3}) / h_{n-3}
     hm, hl = h[-2], h[-1]
     b[-2] += c[-2] * (hm + hl) / hm
     a[-2] -= c[-2] * hl / hm
     c[-2] = 0.0
-    # Thomas algorithm on rows 1..n-2
-    m = np.zeros(n)
     cp = np.zeros(n)
-    rp = np.zeros(n)
+    den = np.ones(n)
+    for i in range(1, n - 1):
+        den[i] = b[i] - (a[i] * cp[i - 1] if i > 1 else 0.0)
+        cp[i] = c[i] / den[i]
+    return h, a, cp, den
+
+
+def _second_derivs(x: np.ndarray, ys: np.ndarray, fac) -> np.ndarray:
+    """Second derivatives for many lines at once (rows of ``ys``)."""
+    h, a, cp, den = fac
+    n = len(x)
+    d = np.diff(ys, axis=1) / h
+    r = np.zeros_like(ys)
+    r[:, 1:-1] = 6 * (d[:, 1:] - d[:, :-1])
+    rp = np.zeros_like(ys)
     for i in range(1, n - 1):
-        den = b[i] - (a[i] * cp[i - 1] if i > 1 else 0.0)
-        cp[i] = c[i] / den
-        rp[i] = (r[i] - (a[i] * rp[i - 1] if i > 1 else 0.0)) / den
+        rp[:, i] = (r[:, i] - (a[i] * rp[:, i - 1] if i > 1 else 0.0)) / den[i]
+    m = np.zeros_like(ys)
     for i in range(n - 2, 0, -1):
-        m[i] = rp[i] - (cp[i] * m[i + 1] if i < n - 2 else 0.0)
-    m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
-    m[-1] = ((hm + hl) * m[-2] - hl * m[-3]) / hm
+        m[:, i] = rp[:, i] - (cp[i] * m[:, i + 1] if i < n - 2 else 0.0)
+    hm, hl = h[-2], h[-1]
+    m[:, 0] = ((h[0] + h[1]) * m[:, 1] - h[0] * m[:, 2]) / h[1]
+    m[:, -1] = ((hm + hl) * m[:, -2] - hl * m[:, -3]) / hm
     return m
 
 
-def cubic_eval(x: np.ndarray, y: np.ndarray, xt: np.ndarray) -> np.ndarray:
-    """Not-a-knot cubic spline through (x, y) evaluated at xt; NaN outside
-    the data range or when any y is missing (the whole line is missing)."""
-    out = np.full(len(xt), np.nan)
-    if len(x) < 4 or np.isnan(y).any():
+def cubic_eval_many(x: np.ndarray, ys: np.ndarray, xt: np.ndarray) -> np.ndarray:
+    """Not-a-knot cubic splines through (x, each row of ys) at xt.
+
+    A row with any missing value is missing everywhere; targets outside the
+    data range are missing; fewer than four points give missing.
+    """
+    ys = np.atleast_2d(np.asarray(ys, dtype=float))
+    out = np.full((ys.shape[0], len(xt)), np.nan)
+    if len(x) < 4 or ys.shape[0] == 0:
         return out
-    m = _not_a_knot_second_derivs(x, y)
+    ok = ~np.isnan(ys).any(axis=1)
+    if not ok.any():
+        return out
+    y = ys[ok]
+    m = _second_derivs(x, y, _spline_factor(x))
     inside = (xt >= x[0]) & (xt <= x[-1])
     xi = xt[inside]
     k = np.clip(np.searchsorted(x, xi, side="left") - 1, 0, len(x) - 2)
     h = x[k + 1] - x[k]
     t1 = x[k + 1] - xi
     t0 = xi - x[k]
-    out[inside] = (m[k] * t1 ** 3 / (6 * h) + m[k + 1] * t0 ** 3 / (6 * h)
-                   + (y[k] / h - m[k] * h / 6) * t1 + (y[k + 1] / h - m[k + 1] * h / 6) * t0)
+    vals = (m[:, k] * t1 ** 3 / (6 * h) + m[:, k + 1] * t0 ** 3 / (6 * h)
+            + (y[:, k] / h - m[:, k] * h / 6) * t1 + (y[:, k + 1] / h - m[:, k + 1] * h / 6) * t0)
+    sub = out[ok]
+    sub[:, inside] = vals
+    out[ok] = sub
     return out
 
 
+def cubic_eval(x: np.ndarray, y: np.ndarray, xt: np.ndarray) -> np.ndarray:
+    """One line: see ``cubic_eval_many``."""
+    return cubic_eval_many(x, np.asarray(y, dtype=float)[None, :], xt)[0]
+
+
 def resample_cubic(source: DataFrame, grid: DataFrame, value: str, keys: Sequence[str] = (),
                    lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Separable cubic interpolation, lon lines first, then lat lines.
 
-    Each line (one source latitude at one key) is a group for
-    ``applyInPandas``; the target axis is passed as a broadcast-size constant.
+    Lines are batched into groups of ``LINES_PER_GROUP`` (one source latitude
+    per line in the first pass, one target longitude in the second); each
+    task lays its lines onto the full source axis (an absent coordinate is a
+    missing value, so that line is missing) and solves all of them with one
+    shared tridiagonal factorisation. The source and target axes (one value
+    per grid line, bounded by the grid geometry) are read on the driver and
+    shipped with the function.
     """
     keys = list(keys)
     lat_t = sorted((r["lat_idx"], r["lat"]) for r in grid.select("lat_idx", "lat").distinct().collect())
@@ -289,30 +326,42 @@ def resample_cubic(source: DataFrame, grid: DataFrame, value: str, keys: Sequenc
     lat_val = np.array([v for _, v in lat_t])
     src = source.select(*keys, F.col(lat).alias("_slat"), F.col(lon).alias("_slon"),
                         tf.nan_to_null(value).alias("_v"))
+    s_lat = np.array(sorted(r[0] for r in src.select("_slat").distinct().collect()))
+    s_lon = np.array(sorted(r[0] for r in src.select("_slon").distinct().collect()))
+    spark = source.sparkSession
+    lat_rank = spark.createDataFrame([(float(v), i) for i, v in enumerate(s_lat)], "_slat double, _li long")
     key_schema = ", ".join(f"{k} {t}" for k, t in source.select(*keys).dtypes)
     pre = (key_schema + ", ") if key_schema else ""
 
     def along_lon(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_slon")
-        ys = pdf["_v"].to_numpy(dtype=float)
-        vals = cubic_eval(pdf["_slon"].to_numpy(dtype=float), ys, lon_val)
-        out = pd.DataFrame({"lon_idx": lon_idx, "_v": vals})
-        for k in keys + ["_slat"]:
+        lines = np.unique(pdf["_slat"].to_numpy(dtype=float))
+        ys = np.full((len(lines), len(s_lon)), np.nan)
+        ys[np.searchsorted(lines, pdf["_slat"].to_numpy(dtype=float)),
+           np.searchsorted(s_lon, pdf["_slon"].to_numpy(dtype=float))] = pdf["_v"].to_numpy(dtype=float)
+        vals = cubic_eval_many(s_lon, ys, lon_val)
+        out = pd.DataFrame({"_slat": np.repeat(lines, len(lon_idx)), "lon_idx": np.tile(lon_idx, len(lines)),
+                            "_v": vals.ravel()})
+        for k in keys:
             out[k] = pdf[k].iloc[0]
         return out
 
-    step1 = src.groupBy(*keys, "_slat").applyInPandas(
-        along_lon, f"{pre}_slat double, lon_idx long, _v double")
+    step1 = (src.join(F.broadcast(lat_rank), "_slat")
+                .withColumn("_grp", F.floor(F.col("_li") / LINES_PER_GROUP)).drop("_li")
+                .groupBy(*keys, "_grp").applyInPandas(along_lon, f"{pre}_slat double, lon_idx long, _v double"))
 
     def along_lat(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_slat")
-        vals = cubic_eval(pdf["_slat"].to_numpy(dtype=float), pdf["_v"].to_numpy(dtype=float), lat_val)
-        out = pd.DataFrame({"lat_idx": lat_idx, value: vals})
-        for k in keys + ["lon_idx"]:
+        lines = np.unique(pdf["lon_idx"].to_numpy())
+        ys = np.full((len(lines), len(s_lat)), np.nan)
+        ys[np.searchsorted(lines, pdf["lon_idx"].to_numpy()),
+           np.searchsorted(s_lat, pdf["_slat"].to_numpy(dtype=float))] = pdf["_v"].to_numpy(dtype=float)
+        vals = cubic_eval_many(s_lat, ys, lat_val)
+        out = pd.DataFrame({"lon_idx": np.repeat(lines, len(lat_idx)), "lat_idx": np.tile(lat_idx, len(lines)),
+                            value: vals.ravel()})
+        for k in keys:
             out[k] = pdf[k].iloc[0]
         return out
 
-    step2 = step1.groupBy(*keys, "lon_idx").applyInPandas(
-        along_lat, f"{pre}lon_idx long, lat_idx long, {value} double")
+    step2 = (step1.withColumn("_grp", F.floor(F.col("lon_idx") / LINES_PER_GROUP))
+                  .groupBy(*keys, "_grp").applyInPandas(along_lat, f"{pre}lon_idx long, lat_idx long, {value} double"))
     return step2.select(*keys, F.col("lat_idx").cast("int"), F.col("lon_idx").cast("int"),
                         tf.nan_to_null(value).alias(value))
