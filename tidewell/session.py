@@ -24,6 +24,13 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # iterative operators run many small jobs: keep the driver's status store
+    # small and let the cleaner drop dead shuffles/broadcasts promptly
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "2000",
+    "spark.cleaner.periodicGC.interval": "2min",
 }
 
 
