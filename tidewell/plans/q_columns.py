@@ -125,10 +125,10 @@ def q_make_points(spark, sf):
 
 @register("tag_constants", ["v_tracks"],
           "select event_id, 1 as Shark_Presence_Status, 'Presence' as Point_Type, "
-          "'Carcharodon carcharias' as species, 'OCEARCH' as source from v_tracks")
+          "'Carcharodon carcharias' as species, 'telemetry' as source from v_tracks")
 def q_tag(spark, sf):
     return C.tag_constants(spark.table("v_tracks").select("event_id"), Shark_Presence_Status=1,
-                           Point_Type="Presence", species="Carcharodon carcharias", source="OCEARCH")
+                           Point_Type="Presence", species="Carcharodon carcharias", source="telemetry")
 
 
 @register("bbox_polygon", ["v_tracks"],
