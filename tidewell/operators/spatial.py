@@ -161,24 +161,30 @@ def neighbour_counts(points: DataFrame, eps_km: float, id_col: str = "id", lon:
                      lat: str = "lat", out: str = "n_neighbours") -> DataFrame:
     """Number of points within eps of each point (itself included).
 
-    Counting runs on distinct locations with multiplicities; cells of side
-    eps/sqrt(2) are fully inside each other's eps-ball, so same-cell
-    neighbours are counted by aggregation and only cross-cell candidates
-    (5x5 neighbour cells) go through the distance test.
+    Counting runs on distinct locations with multiplicities, on cells of side
+    eps/(2 sqrt 2): any two points in the same or touching cells are within
+    eps, so the 3x3 block around a point is counted by aggregation; only
+    cells two or three cells away (the ring) go through the distance test.
     """
     eps = tf.km_to_deg(eps_km)
-    g = eps / (2 ** 0.5) * (1 - 1e-9)
-    loc = distinct_points(points, lon, lat)
-    loc = with_tiles(loc, g, "_px", "_py", "_gx", "_gy")
-    cell_n = loc.groupBy("_gx", "_gy").agg(F.sum("_w").alias("_cell_n"))
-    other = (explode_neighbours(loc.select(F.col("_px").alias("_qx"), F.col("_py").alias("_qy"),
-                                           F.col("_w").alias("_qw")), g, 2, "_qx", "_qy", "_ngx", "_ngy"))
-    other = other.withColumn("_ogx", _tile("_qx", g)).withColumn("_ogy", _tile("_qy", g))
-    cross = (loc.join(other, (loc["_gx"] == other["_ngx"]) & (loc["_gy"] == other["_ngy"])
-                      & ((other["_ogx"] != loc["_gx"]) | (other["_ogy"] != loc["_gy"])))
-                .filter(_d2("_px", "_py", "_qx", "_qy") <= F.lit(eps * eps))
-                .groupBy("_px", "_py").agg(F.sum("_qw").alias("_cross")))
-    counts = (loc.join(cell_n, ["_gx", "_gy"]).join(cross, ["_px", "_py"], "left")
-                 .select("_px", "_py", (F.col("_cell_n") + F.coalesce(F.col("_cross"), F.lit(0))).alias(out)))
+    g = eps / (2.0 * 2 ** 0.5) * (1 - 1e-9)
+    loc = with_tiles(distinct_points(points, lon, lat), g, "_px", "_py", "_gx", "_gy")
+    cell_n = loc.groupBy("_gx", "_gy").agg(F.sum("_w").alias("_cn"))
+    block = (explode_neighbours(cell_n.withColumn("_cx", (F.col("_gx") + F.lit(0.5)) * F.lit(g))
+                                      .withColumn("_cy", (F.col("_gy") + F.lit(0.5)) * F.lit(g)),
+                                g, 1, "_cx", "_cy", "_bx", "_by")
+             .groupBy(F.col("_bx").alias("_gx"), F.col("_by").alias("_gy")).agg(F.sum("_cn").alias("_bn")))
+    ring = (loc.select("_px", "_py", "_gx", "_gy")
+               .withColumn("_o", F.explode(F.array(*[
+                   F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                   for dx in range(-3, 4) for dy in range(-3, 4) if max(abs(dx), abs(dy)) >= 2])))
+               .select("_px", "_py", (F.col("_gx") + F.col("_o.dx")).alias("_ngx"),
+                       (F.col("_gy") + F.col("_o.dy")).alias("_ngy")))
+    other = loc.select(F.col("_gx").alias("_ngx"), F.col("_gy").alias("_ngy"), F.col("_px").alias("_qx"),
+                       F.col("_py").alias("_qy"), F.col("_w").alias("_qw"))
+    cross = (ring.join(other, ["_ngx", "_ngy"]).filter(_d2("_px", "_py", "_qx", "_qy") <= F.lit(eps * eps))
+                 .groupBy("_px", "_py").agg(F.sum("_qw").alias("_cross")))
+    counts = (loc.join(block, ["_gx", "_gy"]).join(cross, ["_px", "_py"], "left")
+                 .select("_px", "_py", (F.col("_bn") + F.coalesce(F.col("_cross"), F.lit(0))).alias(out)))
     return (points.join(counts, (points[lon] == counts["_px"]) & (points[lat] == counts["_py"]), "inner")
                   .drop("_px", "_py"))
