@@ -3,7 +3,8 @@
 Survey rows A1-A8, A17-A19, W3, W6, J7, G3. Long form throughout: one row
 per (time, cell). Aggregations are plain ``groupBy`` so Spark does the
 map-side partial aggregate before the shuffle; the exact median first
-collapses equal values into counts, so no group is ever gathered as a list.
+collapses equal values into counts and ranks values only inside the value
+bin that holds the middle, so no group is gathered or sorted whole.
 """
 
 from __future__ import annotations
@@ -18,27 +19,47 @@ from .. import functions as tf
 WEEKLY_METHODS = ("mean", "sum", "median", "max", "min")
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median per group (even counts averaged), without collecting groups.
+MEDIAN_BINS = 256
 
-    Equal values are pre-counted (map-side combine), then a running count over
-    the distinct values of each group locates the middle one or two values.
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
+                 bins: int = MEDIAN_BINS) -> DataFrame:
+    """Exact median per group (even counts averaged), with bounded tasks.
+
+    Equal values are pre-counted (map-side combine). Each group's distinct
+    values are cut into ``bins`` value ranges at approximate quantiles (a
+    mergeable, bounded sketch; the answer stays exact because any monotone
+    split works). Exact running counts over the few bins of a group locate
+    the bin(s) holding the middle position(s); only those bins' values are
+    ranked, so no task sorts a whole hot group.
     """
     keys = list(keys)
     counts = (df.filter(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys).orderBy(value)
-    wall = Window.partitionBy(*keys)
-    ranked = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                    .withColumn("_n", F.sum("_c").over(wall))
-                    .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
+    qs = [i / bins for i in range(1, bins)]
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, qs, 10000).alias("_b"),
+                                       F.sum("_c").alias("_n"))
+    binned = (counts.join(bounds, keys)
+                    .withColumn("_bin", F.size(F.filter("_b", lambda b: b < F.col(value))))
+                    .drop("_b"))
+    per_bin = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
+    wb = Window.partitionBy(*keys).orderBy("_bin")
+    per_bin = (per_bin.withColumn("_hi", F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+                      .withColumn("_lo", F.col("_hi") - F.col("_bc") + 1))
     # positions (1-based) of the middle element(s)
     p1 = F.floor((F.col("_n") + 1) / 2)
     p2 = F.floor(F.col("_n") / 2) + 1
+    target = per_bin.filter(((F.col("_lo") <= p1) & (F.col("_hi") >= p1))
+                            | ((F.col("_lo") <= p2) & (F.col("_hi") >= p2))).select(*keys, "_bin", "_lo", "_n")
+    w = Window.partitionBy(*keys, "_bin").orderBy(value)
+    ranked = (binned.drop("_n").join(target, [*keys, "_bin"])
+                    .withColumn("_vhi", F.col("_lo") - 1
+                                + F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                    .withColumn("_vlo", F.col("_vhi") - F.col("_c") + 1))
     picked = ranked.select(
         *keys,
-        F.when((F.col("_lo") <= p1) & (F.col("_hi") >= p1), F.col(value)).alias("_v1"),
-        F.when((F.col("_lo") <= p2) & (F.col("_hi") >= p2), F.col(value)).alias("_v2"))
+        F.when((F.col("_vlo") <= p1) & (F.col("_vhi") >= p1), F.col(value)).alias("_v1"),
+        F.when((F.col("_vlo") <= p2) & (F.col("_vhi") >= p2), F.col(value)).alias("_v2"))
     return picked.groupBy(*keys).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out))
 
 
