@@ -146,6 +146,24 @@ def bbox_ring(min_lon, max_lon, min_lat, max_lat) -> Column:
     return F.array(*[F.array(col_(x).cast("double"), col_(y).cast("double")) for x, y in zip(xs, ys)])
 
 
+# Nudge (1% of the 9-digit unit) added away from zero before report
+# rounding: exact decimal ties (common for means of short decimals) then round
+# the same way in every engine and partitioning instead of being decided by
+# last-bit summation noise; no value moves by a visible amount.
+TIE_NUDGE = 1e-11
+
+
 def rnd(c, digits: int = 9) -> Column:
-    """Report rounding: fixed digits and -0.0 folded into 0.0."""
-    return F.round(col_(c), digits) + F.lit(0.0)
+    """Report rounding: fixed digits, ties away from zero, -0.0 folded to 0.0.
+
+    Scaled-integer rounding ``sign(y) * floor(|y| + 0.5) / 10^d`` on the
+    double ``y = x * 10^d`` (the common SQL-engine definition, e.g. DuckDB's),
+    so the same double rounds to the same double in both engines; NaN and
+    infinities pass through.
+    """
+    c = col_(c)
+    scale = float(10 ** digits)
+    y = (c + F.signum(c) * F.lit(TIE_NUDGE)) * F.lit(scale)
+    r = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5)).cast("double") / F.lit(scale)
+    r = F.when(F.abs(y) >= F.lit(2.0 ** 52), y / F.lit(scale)).otherwise(r)
+    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(r) + F.lit(0.0)

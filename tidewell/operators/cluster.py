@@ -230,9 +230,17 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
                .select(F.col("_id").alias(id_col), F.coalesce("_cluster", F.lit(-1)).cast("bigint").alias(out)))
 
 
-def cluster_centroids(labelled: DataFrame, cluster: str = "cluster", lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Mean lon/lat and Observation_Count per cluster, in one aggregate."""
-    return labelled.groupBy(cluster).agg(F.avg(lon).alias("lon"), F.avg(lat).alias("lat"),
+def cluster_centroids(labelled: DataFrame, cluster: str = "cluster", lon: str = "lon", lat: str = "lat",
+                      digits: int | None = 9) -> DataFrame:
+    """Mean lon/lat and Observation_Count per cluster, in one aggregate.
+
+    Means are quantised to ``digits`` decimals of a degree (1e-9 deg is about
+    0.1 mm): a floating sum depends on the order rows arrive in, so without it
+    the centroid (and every distance to it) would vary in its last bits with
+    the partitioning.
+    """
+    q = (lambda c: tf.rnd(c, digits)) if digits is not None else (lambda c: c)
+    return labelled.groupBy(cluster).agg(q(F.avg(lon)).alias("lon"), q(F.avg(lat)).alias("lat"),
                                          F.count(F.lit(1)).alias("Observation_Count"))
 
 

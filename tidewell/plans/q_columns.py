@@ -96,7 +96,7 @@ def q_split_stage(spark, sf):
 
 
 @register("filter_gear", ["v_effort"],
-          f"select ts, gear, lon, lat, {r('hours')} as hours from v_effort "
+          f"select ts, gear, {r('lon')} as lon, {r('lat')} as lat, {r('hours')} as hours from v_effort "
           "where gear in ('tuna_purse_seines', 'drifting_longlines')")
 def q_filter_gear(spark, sf):
     return report(C.filter_gear(spark.table("v_effort")))

@@ -102,7 +102,8 @@ def q_read_tracks_json(spark, sf):
 
 
 @register("read_tracks_csv", ["v_tracks", "v_individuals"],
-          "select t.ts, t.lat, t.lon, i.name, coalesce(i.sex, '') as sex, round(i.length_m, 9) + 0.0 as length_m, "
+          "select t.ts, round(t.lat, 9) + 0.0 as lat, round(t.lon, 9) + 0.0 as lon, i.name, "
+          "coalesce(i.sex, '') as sex, round(i.length_m, 9) + 0.0 as length_m, "
           f"1 as Shark_Presence_Status, {STAGE_SQL} as life_stage from v_tracks t join v_individuals i "
           "on t.shark_id = i.id")
 def q_read_tracks_csv(spark, sf):
@@ -116,7 +117,8 @@ def q_read_tracks_csv(spark, sf):
 
 
 @register("read_effort", ["v_effort"],
-          "select ts, lat, lon, gear, round(hours, 9) + 0.0 as hours from v_effort "
+          "select ts, round(lat, 9) + 0.0 as lat, round(lon, 9) + 0.0 as lon, gear, "
+          "round(hours, 9) + 0.0 as hours from v_effort "
           "where gear in ('tuna_purse_seines', 'drifting_longlines')")
 def q_read_effort(spark, sf):
     """S6 (+K4, P9): effort records through CSV, filtered to the default gears."""
@@ -239,4 +241,4 @@ def q_metadata(spark, sf):
         "Dist_to_Shipping_Lane_km": (lane, "Dist_to_Shipping_Lane_km", "km", "shipping lanes"),
         "Depth_m": (bathy, "Depth_m", "m", "bathymetry"),
         "Slope_deg": (bathy, "Slope_deg", "degree", "bathymetry"),
-    }))
+    }), keep=("resolution_deg", "min_lon", "max_lon", "min_lat", "max_lat", "nodata"))

@@ -40,16 +40,40 @@ def register(key: str, views=(), oracle: str | None = None):
         QUERIES[key] = run
         if oracle is not None:
             RAW_ORACLES[key] = oracle
-            ORACLES[key] = with_views(oracle, views) if views else oracle
+            text = nudge_rounding(oracle)
+            ORACLES[key] = with_views(text, views) if views else text
         return run
     return deco
 
 
-def report(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round every floating column and fold -0.0 into 0.0."""
+def nudge_rounding(sql: str, digits: int = 9) -> str:
+    """Apply the report rounding's tie nudge to every ``round(expr, 9)`` of an
+    oracle text, so both engines round the same numbers the same way."""
+    out, i, token = [], 0, "round("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(token):k - 1]
+        tail = f", {digits}"
+        if inner.endswith(tail):
+            expr = nudge_rounding(inner[:-len(tail)], digits)
+            out.append(sql[i:j] + f"round(({expr}) + sign({expr}) * {tf.TIE_NUDGE!r}{tail})")
+        else:
+            out.append(sql[i:j] + token + nudge_rounding(inner, digits) + ")")
+        i = k
+
+
+def report(df: DataFrame, digits: int = 9, keep=()) -> DataFrame:
+    """Round every floating column (except ``keep``) and fold -0.0 into 0.0."""
     cols = []
     for name, dtype in df.dtypes:
-        if dtype in ("double", "float"):
+        if dtype in ("double", "float") and name not in keep:
             cols.append(tf.rnd(name, digits).cast(dtype).alias(name))
         else:
             cols.append(F.col(name))
