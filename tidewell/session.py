@@ -57,7 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and we use it
-    as given. Only when it is unset (local tests) do we make our own.
+    as given. Only in local mode, where the driver is the only executor, do
+    we make our own when it is unset; elsewhere that is an error, since a
+    folder on one machine's disk is not visible to the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
