@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import linededup, quality, simhash
+from tidewell.llm import decontam, linededup, quality, sentencepiece, simhash
 from tidewell.llm.common import pinned, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,10 +34,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.drop_near_duplicates(docs).select(*COLUMNS)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, checked by decoding them."""
+    return sentencepiece.encode_checked(docs).select("doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids",
+                                                     "round_trip")
+
+
 STAGES = [
     ("quality classifier", keep_good),
     ("line dedup", drop_repeated_lines),
     ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding", tokenize),
 ]
 
 #: SQL expresses neither trained compression nor fingerprint components; tests/llm checks the stages by brute force.

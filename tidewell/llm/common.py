@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.lineage import scratch_path
 
@@ -23,6 +24,15 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def computed(df: DataFrame, *cols) -> DataFrame:
+    """``df.select(*cols)`` with each column computed once for a row.
+
+    Plain selects are merged, and an array that a lambda looks into would be
+    computed anew for each element; a one-row generator keeps them apart.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def as_blocks(data: bytes, size: int) -> list[bytes]:
     """The whole of ``data`` in pieces of ``size`` bytes (the last is shorter)."""
     return [data[i:i + size] for i in range(0, len(data), size)]

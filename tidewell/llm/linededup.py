@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pinned
+from .common import computed, pinned
 
 UNIT_WORDS = 10
 SHINGLE_UNITS = 3
@@ -71,19 +71,10 @@ def _is_picked(hashes: Column, h: Column, i: Column, window: int) -> Column:
     return any_window
 
 
-def _computed(df: DataFrame, *cols) -> DataFrame:
-    """``df.select(*cols)`` with each column computed once for a row.
-
-    Plain selects are merged, and an array that a lambda looks into would be
-    computed anew for each element; a one-row generator keeps them apart.
-    """
-    return df.select(F.inline(F.array(F.struct(*cols))))
-
-
 def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars: int, window: int) -> DataFrame:
     """``(id, th, units, picks)`` of ``docs(id, text)``: unit hashes and winnowed shingles."""
-    cut = _computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words, 1).alias("u"))
-    hashed = _computed(cut, "id", "th", F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
+    cut = computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words, 1).alias("u"))
+    hashed = computed(cut, "id", "th", F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
                        F.transform("u", lambda x: F.length(x).cast("long")).alias("lengths"))
 
     def shingle(h: Column, i: Column) -> Column:
@@ -91,9 +82,9 @@ def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars:
         return F.when(chars >= min_chars, F.struct(  # null at the end of the text
             i.alias("pos"), F.xxhash64(h, *[F.get("units", i + k) for k in range(1, shingle_units)]).alias("h")))
 
-    shingled = _computed(hashed, "id", "th", "units",
+    shingled = computed(hashed, "id", "th", "units",
                          F.filter(F.transform("units", shingle), lambda s: s.isNotNull()).alias("shingles"))
-    keyed = _computed(shingled, "id", "th", "units", "shingles", F.col("shingles.h").alias("hashes"))
+    keyed = computed(shingled, "id", "th", "units", "shingles", F.col("shingles.h").alias("hashes"))
     return keyed.select("id", "th", "units", F.filter(
         "shingles", lambda s, i: _is_picked(F.col("hashes"), s["h"], i, window)).alias("picks"))
 
@@ -138,7 +129,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                  .join(gone, key.eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left"))
     kept = F.array_join(F.filter(line_units(text, unit_words), lambda u, i: ~F.array_contains(F.col("gone"), i)), "")
     cut = both.withColumn("kept", F.when(F.col("gone").isNull(), text).otherwise(kept))
-    cut = _computed(cut, *names, "gone", "kept")
+    cut = computed(cut, *names, "gone", "kept")
     out = [F.col("kept" if c == text_col else n).alias(c) for c, n in at.items()
            if c not in ("removed_units", "removed_chars")]
     return cut.select(*out, F.coalesce(F.size("gone"), F.lit(0)).alias("removed_units"),
