@@ -24,6 +24,12 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns ``c0``, ``c1`` and so on, and the name that each column got: nothing added can clash."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def computed(df: DataFrame, *cols) -> DataFrame:
     """``df.select(*cols)`` with each column computed once for a row.
 

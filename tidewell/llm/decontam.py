@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import own_names
+
 RATE = 0.06
 MIN_PIECE = 8
 BLOCK_CHARS = 2_000_000
@@ -187,5 +189,6 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold a benchmark passage."""
-    found = with_matches(docs, benchmark, text_col, **options)
-    return found.filter(F.size("matches") == 0).select(*docs.columns)
+    plain, at = own_names(docs)
+    clean = with_matches(plain, benchmark, at[text_col], **options).filter(F.size("matches") == 0)
+    return clean.select(*[F.col(n).alias(c) for c, n in at.items()])

@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import computed, pinned
+from .common import computed, own_names, pinned
 
 UNIT_WORDS = 10
 SHINGLE_UNITS = 3
@@ -119,9 +119,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         unit_words: int = UNIT_WORDS, shingle_units: int = SHINGLE_UNITS, min_chars: int = MIN_CHARS,
                         window: int = WINDOW) -> DataFrame:
     """``docs`` without later repeated runs in ``text_col``; with ``removed_units`` and ``removed_chars``."""
-    names = [f"c{i}" for i in range(len(docs.columns))]  # own names: none can clash
-    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
-    plain = docs.toDF(*names)
+    plain, at = own_names(docs)
     key, text = F.col(at[id_col]), F.col(at[text_col])
     gone = repeated_units(plain.select(key.alias("id"), text.alias("text")), unit_words,
                           shingle_units, min_chars, window)
@@ -129,7 +127,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                  .join(gone, key.eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left"))
     kept = F.array_join(F.filter(line_units(text, unit_words), lambda u, i: ~F.array_contains(F.col("gone"), i)), "")
     cut = both.withColumn("kept", F.when(F.col("gone").isNull(), text).otherwise(kept))
-    cut = computed(cut, *names, "gone", "kept")
+    cut = computed(cut, *at.values(), "gone", "kept")
     out = [F.col("kept" if c == text_col else n).alias(c) for c, n in at.items()
            if c not in ("removed_units", "removed_chars")]
     return cut.select(*out, F.coalesce(F.size("gone"), F.lit(0)).alias("removed_units"),

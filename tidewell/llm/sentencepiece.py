@@ -34,6 +34,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import own_names
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN = 10.0
@@ -209,6 +211,8 @@ def decode(docs: DataFrame, ids_col: str = "token_ids", out_col: str = "decoded"
 
 def encode_checked(docs: DataFrame, text_col: str = "text", model: bytes | None = None) -> DataFrame:
     """``docs`` with ``token_ids``, ``n_tokens`` and ``round_trip``: whether the ids decode to the text."""
-    both = decode(encode(docs, text_col, model=model), out_col="decoded", model=model)
-    return (both.withColumn("n_tokens", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long"))
-                .withColumn("round_trip", F.col("decoded").eqNullSafe(F.col(text_col))).drop("decoded"))
+    plain, at = own_names(docs)
+    both = decode(encode(plain, at[text_col], model=model), model=model)
+    kept = [F.col(n).alias(c) for c, n in at.items() if c not in ("token_ids", "n_tokens", "round_trip")]
+    return both.select(*kept, "token_ids", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                       F.col("decoded").eqNullSafe(F.col(at[text_col])).alias("round_trip"))

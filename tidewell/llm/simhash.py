@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cluster import _local_min_labels, connected_components
-from .common import pinned
+from .common import own_names, pinned
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -185,12 +185,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows with the same id in a component (repeated rows) leave one row. All
     columns are kept as they are.
     """
-    names = [f"c{i}" for i in range(len(docs.columns))]  # own names: none can clash
-    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
-    wide = pinned(with_fingerprint(docs.toDF(*names), at[text_col], "fp", shingle_words), "documents")
+    plain, at = own_names(docs)
+    wide = pinned(with_fingerprint(plain, at[text_col], "fp", shingle_words), "documents")
     found = fingerprint_components(wide.select(F.col(at[id_col]).alias("id"), "fp"), max_bits)
-    # the keepers' keys are narrow; texts of other rows are dropped before any sort of whole rows
-    keepers = found.select("fp", "root", "component_id")
-    kept = (wide.join(keepers, "fp").filter(F.col(at[id_col]).eqNullSafe(F.col("component_id")))
+    kept = (wide.join(found, "fp").filter(F.col(at[id_col]).eqNullSafe(F.col("component_id")))
                 .dropDuplicates(["root"]))
     return kept.select(*[F.col(n).alias(c) for c, n in at.items()])
