@@ -88,7 +88,8 @@ def _links_within(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.
         alive = alive[group[alive] == group[alive + shift]]
         if not len(alive):
             break
-        near = alive[np.bitwise_count(fp[alive] ^ fp[alive + shift]) <= max_bits]
+        apart = (fp[alive] ^ fp[alive + shift]).view(np.uint64)  # of signed numbers NumPy counts the absolute value's bits
+        near = alive[np.bitwise_count(apart) <= max_bits]
         ends_u.append(fp[near])
         ends_v.append(fp[near + shift])
         held, shift = held + len(near), shift + 1
