@@ -122,6 +122,55 @@ def test_dbscan_ambiguous_border_takes_smallest_cluster(spark):
     assert (got == want).all()
 
 
+@pytest.mark.parametrize("shift", [2 ** 62, None])
+def test_dbscan_of_large_and_text_ids(spark, shift):
+    rng = np.random.default_rng(8)
+    pts = np.concatenate([c + rng.normal(0, 0.02, (30, 2)) for c in rng.uniform(0, 1, (4, 2))])
+    numbers = rng.permutation(len(pts)).tolist()
+    ids = [shift + n for n in numbers] if shift else [f"occ-{n:05d}" for n in numbers]
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in zip(ids, pts, strict=True)],
+                               f"id {'long' if shift else 'string'}, lon double, lat double")
+    got = [r["cluster"] for r in CL.dbscan(df, 0.04 * 111.0, 5, "id").orderBy("id").collect()]
+    order = np.argsort(numbers)
+    assert got == _textbook_dbscan(pts[order, 0], pts[order, 1], 0.04, 5).tolist()
+
+
+def test_range_rank(spark):
+    values = ["b", "a", None, "c", "a", "zz"] + [f"k{i:04d}" for i in range(500)]
+    got = RK.range_rank(spark.createDataFrame([(v,) for v in values], "v string"), "v").collect()
+    want = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}))}
+    assert {r["v"]: r["rank"] for r in got} == want
+
+
+def test_interpolation_ignores_the_session_zone_and_averages_repeated_times(spark):
+    rows = [(1, "2024-03-04 00:00:00", 0.0), (1, "2024-03-04 00:00:00", 2.0), (1, "2024-03-14 00:00:00", 11.0)]
+    df = spark.createDataFrame(rows, "k int, t string, value double").selectExpr("k", "cast(t as timestamp_ntz) as time", "value")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")  # summer time begins in between
+        got = T.interpolate_weekly(df, "2024-03-01", "2024-03-31", keys=["k"]).orderBy("week_start").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r["value"] for r in got] == [1.0, 8.0]
+
+
+def test_missing_coordinates_are_an_error(spark):
+    from tidewell.operators import columns as C
+
+    with pytest.raises(ValueError):
+        C.normalize_columns(spark.createDataFrame([(1.0, 2.0)], "longitude double, latitude double"))
+
+
+def test_cells_without_coordinates_have_no_distance(spark):
+    from tidewell.operators import spatial as SP
+
+    cells = spark.createDataFrame([(0, 0, 1.0, 1.0), (0, 1, None, 1.0)], "lat_idx int, lon_idx int, lon double, lat double")
+    points = spark.createDataFrame([(1.0, 2.0)], "lon double, lat double")
+    for cap in (None, 500.0):
+        got = {r["lon_idx"]: r["distance_km"] for r in SP.nearest_distance(cells, points, cap).collect()}
+        assert abs(got[0] - 111.0) < 1e-9 and got[1] is None
+
+
 def test_block_rank_and_first_n(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000), "o": rng.permutation(5000)})
@@ -194,7 +243,8 @@ def test_nearest_ties_go_low_and_outside_is_missing(spark):
     df = spark.createDataFrame([(0.0, 0.0, 1.0), (0.0, 1.0, 2.0)], "lat double, lon double, v double")
     grid = G.target_grid(spark, {"min_lon": 0.0, "max_lon": 1.5, "min_lat": 0.0, "max_lat": 0.0}, 0.5)
     out = RS.resample(df, grid, ["v"], "nearest").toPandas().set_index("lon_idx")["v"].to_dict()
-    assert out == {0: 1.0, 1: 1.0, 2: 2.0}  # 0.5 is a tie -> lower; 1.5 outside -> no row
+    assert np.isnan(out.pop(3))  # 1.5 is outside: a cell without a value
+    assert out == {0: 1.0, 1: 1.0, 2: 2.0}  # 0.5 is a tie -> lower
 
 
 @pytest.mark.parametrize("npts", [4, 5, 9])
@@ -243,21 +293,22 @@ def test_interpolate_weekly_matches_numpy(spark):
     assert np.allclose(got["value"].to_numpy(), want)
 
 
-@pytest.mark.parametrize("engine", ["arrow", "sql"])
-def test_kde_matches_brute_force(spark, engine, monkeypatch):
-    monkeypatch.setattr(D, "MAX_POINTS_PER_TASK", 7)  # force salted buckets
+@pytest.mark.parametrize("bandwidth_km", [None, 50.0])
+def test_kde_matches_brute_force_down_to_its_tail(spark, bandwidth_km, monkeypatch):
+    monkeypatch.setattr(D, "MAX_POINTS_PER_TASK", 7)  # force blocks of hot tiles
     df, pdf = _points(spark, n=120, hot=False)
     cells = G.target_grid(spark, {"min_lon": -130.0, "max_lon": -110.0, "min_lat": 25.0, "max_lat": 45.0}, 1.0)
-    got = D.kde_density(cells, df, engine=engine).toPandas().sort_values(["lat_idx", "lon_idx"])
+    got = D.kde_density(cells, df, bandwidth_km=bandwidth_km).toPandas().sort_values(["lat_idx", "lon_idx"])
     data = np.vstack([pdf["lon"], pdf["lat"]])
     n = data.shape[1]
-    cov = np.cov(data) * n ** (-1 / 3)
+    cov = np.cov(data) * n ** (-1 / 3) if bandwidth_km is None else np.eye(2) * (bandwidth_km / 111.0) ** 2
     inv = np.linalg.inv(cov)
     pts = np.vstack([got["lon"], got["lat"]])
     d = pts[:, :, None] - data[:, None, :]
     q = np.einsum("ijk,il,ljk->jk", d, inv, d)
     want = np.exp(-0.5 * q).sum(1) / (n * 2 * math.pi * math.sqrt(np.linalg.det(cov)))
-    assert np.allclose(got["density"].to_numpy(), want, rtol=1e-9, atol=1e-15)
+    assert np.allclose(got["density"].to_numpy(), want, rtol=1e-9, atol=0)
+    assert ((got["density"].to_numpy() > 0) == (want > 0)).all()
 
 
 def test_target_grid_has_integer_axis_length(spark):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as tf
 from .lineage import materialize
-from .ranking import block_rank
+from .ranking import range_rank
 from .spatial import _d2, with_tiles
 
 
@@ -153,7 +153,8 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
     cells two or three cells apart are tested only when no core cell touches
     both, and only with the points near the other cell. Every point test
     involves a location from a sparse cell or a pair of cells not already
-    linked, never all pairs of a dense area.
+    linked, never all pairs of a dense area. Ids may be of any sortable type;
+    their order numbers the clusters.
     """
     eps = tf.km_to_deg(eps_km)
     e2 = F.lit(eps * eps)
@@ -162,7 +163,11 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
     m = int(min_samples)
     pts = (points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
                  .select(F.col(id_col).alias("_id"), F.col(lon).alias("_px"), F.col(lat).alias("_py")))
-    loc = pts.groupBy("_px", "_py").agg(F.count(F.lit(1)).alias("_w"), F.min("_id").alias("_min_id"))
+    numbers = pts.withColumn("_no", F.col("_id"))
+    if dict(pts.dtypes)["_id"] not in ("tinyint", "smallint", "int", "bigint"):
+        numbers = pts.join(range_rank(pts, "_id", "_no"), "_id", "left")  # any other id by its place in order
+    loc = numbers.groupBy("_px", "_py").agg(F.count(F.lit(1)).alias("_w"),
+                                            F.min(F.col("_no").cast("bigint")).alias("_min_id"))
     # core flags on cells of side eps/sqrt(2) (same cell -> within eps): a cell
     # with >= min_samples points is core outright; only locations in sparse
     # cells test the 5x5 neighbourhood
@@ -204,9 +209,9 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
                     .select("src", "dst").distinct())
     edges = touching.unionByName(tested)
     comps = tile_contracted_components(node_of.select(F.col("_node").alias("node"), "_gx", "_gy"), edges)
-    numbered = block_rank(comps.select("label").distinct(), "label", out="_rank")
+    numbered = range_rank(comps, "label", out="_rank")
     cluster_of = (comps.join(numbered, "label")
-                       .select(F.col("node").alias("_node"), (F.col("_rank") - 1).alias("_cluster")))
+                       .select(F.col("node").alias("_node"), F.col("_rank").alias("_cluster")))
     cell_cluster = materialize(node_of.join(cluster_of, "_node").select("_gx", "_gy", "_cluster"),
                                "dbscan-cell-clusters")
     core_lab = core.join(cell_cluster, ["_gx", "_gy"]).select("_px", "_py", "_cluster")
@@ -227,17 +232,10 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
                .select(F.col("_id").alias(id_col), F.coalesce("_cluster", F.lit(-1)).cast("bigint").alias(out)))
 
 
-def cluster_centroids(labelled: DataFrame, cluster: str = "cluster", lon: str = "lon", lat: str = "lat",
-                      digits: int | None = 9) -> DataFrame:
-    """Mean lon/lat and Observation_Count per cluster, in one aggregate.
-
-    Means are quantised to ``digits`` decimals of a degree (1e-9 deg is about
-    0.1 mm): a floating sum depends on the order rows arrive in, so without it
-    the centroid (and every distance to it) would vary in its last bits with
-    the partitioning.
-    """
-    q = (lambda c: tf.rnd(c, digits)) if digits is not None else (lambda c: c)
-    return labelled.groupBy(cluster).agg(q(F.avg(lon)).alias("lon"), q(F.avg(lat)).alias("lat"),
+def cluster_centroids(labelled: DataFrame, cluster: str = "cluster", lon: str = "lon",
+                      lat: str = "lat") -> DataFrame:
+    """Mean lon/lat and Observation_Count per cluster, in one aggregate."""
+    return labelled.groupBy(cluster).agg(F.avg(lon).alias("lon"), F.avg(lat).alias("lat"),
                                          F.count(F.lit(1)).alias("Observation_Count"))
 
 

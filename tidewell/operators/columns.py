@@ -31,9 +31,12 @@ def find_column(df: DataFrame, candidates: Sequence[str], required: bool = True)
     return None
 
 
-def normalize_columns(df: DataFrame, variable_aliases: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def normalize_columns(df: DataFrame, variable_aliases: dict[str, Sequence[str]] | None = None,
+                      required: Sequence[str] = ("lon", "lat", "time")) -> DataFrame:
     """Rename coordinate/time/variable aliases to canonical names.
 
+    A ``required`` coordinate or a variable without any known name is an error.
+
     lon/lat from longitude/latitude, ``time`` from the first of
     time, Time, date, Date, datetime, ``species_name`` from Species; optional
     variable aliases, e.g. ``{"sst": SST_ALIASES}``.
@@ -41,11 +44,11 @@ def normalize_columns(df: DataFrame, variable_aliases: dict[str, Sequence[str]]
     renames = {}
     for canon, cands in (("lon", LON_ALIASES), ("lat", LAT_ALIASES)):
         if canon not in df.columns:
-            hit = find_column(df, cands, required=False)
+            hit = find_column(df, cands, required=canon in required)
             if hit:
                 renames[hit] = canon
     if "time" not in df.columns:
-        hit = find_column(df, TIME_ALIASES, required=False)
+        hit = find_column(df, TIME_ALIASES, required="time" in required)
         if hit:
             renames[hit] = "time"
     if "species_name" not in df.columns and "Species" in df.columns:
@@ -58,11 +61,6 @@ def normalize_columns(df: DataFrame, variable_aliases: dict[str, Sequence[str]]
     return df
 
 
-def nan_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Turn NaN into NULL in the given double columns (source rule)."""
-    return df.select(*[tf.nan_to_null(c).alias(c) if c in columns else F.col(c) for c in df.columns])
-
-
 def drop_missing_coords(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Drop rows lacking lat or lon (NaN counts as missing)."""
     return df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()

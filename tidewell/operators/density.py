@@ -4,13 +4,16 @@ Gaussian KDE with full covariance and Scott's factor ``n^(-1/(d+4))``
 (``d = 2``): bandwidth matrix = sample covariance x factor^2. The density at
 a cell is ``sum_i w_i exp(-q_i / 2) / (n 2 pi sqrt(det))`` with ``q`` the
 Mahalanobis distance. Points are grouped into distinct locations with
-weights, then matched to cells on tiles sized by the kernel's reach: terms
-beyond ``truncate_sigmas`` (default 8, i.e. below e^-32 ~ 1e-14 of a
-kernel's peak) are left out, everything inside is summed exactly. Cells and
-points are partitioned by tile (an equi-key, never a Cartesian product);
-the per-tile kernel sums run either as a JVM join + aggregate
-(``engine="sql"``) or as NumPy matrix blocks on Arrow batches
-(``engine="arrow"``, default: ~20x fewer CPU cycles per kernel term).
+weights, then matched to cells on tiles sized by the kernel's reach.
+
+The sum is exact to the last bit of a double, in rounds: every cell first
+sums the points within 8 standard deviations. What a cell left out is at most
+``n * exp(-reach^2 / 2)``; where that could still change the cell's last bit
+the cell stays open and is summed anew with twice the reach, up to the reach
+beyond which ``exp`` is zero in a double. Cells, bounded by the grid, are
+copied to the tiles around them; points, which are not, stay on their own
+tile and are cut into blocks there, so no task holds a hot tile whole. The
+sums of a tile's block are NumPy matrix products of bounded size.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ from pyspark.sql import functions as F
 from .lineage import materialize
 from .spatial import _tile
 
-DEFAULT_TRUNCATE_SIGMAS = 8.0
-# points per kernel task; hotter serving tiles are split into salted buckets
+# kernel reach by round, in standard deviations; exp(-q / 2) is 0.0 beyond the last
+REACHES = (8.0, 16.0, 32.0, 38.62)
+# points per kernel task; hotter tiles are cut into blocks
 MAX_POINTS_PER_TASK = 100_000
 # kernel matrix entries evaluated per NumPy chunk (bounds task memory)
 CHUNK_ENTRIES = 2_000_000
@@ -41,9 +45,8 @@ def sample_covariance(points: DataFrame, lon: str = "lon", lat: str = "lat") ->
 
 
 def kde_raw(cells: DataFrame, points: DataFrame, lon: str = "lon", lat: str = "lat",
-            cell_keys=("lat_idx", "lon_idx"), truncate_sigmas: float = DEFAULT_TRUNCATE_SIGMAS,
-            bandwidth_km: float | None = None, engine: str = "arrow"):
-    """Return ``(cells with _s = sum w exp(-q/2), stats dict)``; stats None when n < 2."""
+            cell_keys=("lat_idx", "lon_idx"), bandwidth_km: float | None = None):
+    """Return ``(cells with _s = sum w exp(-q/2), stats dict)``; cells None when n < 2 or the points lie on a line."""
     cell_keys = list(cell_keys)
     st = sample_covariance(points, lon, lat).first()
     n = int(st["n"])
@@ -62,61 +65,47 @@ def kde_raw(cells: DataFrame, points: DataFrame, lon: str = "lon", lat: str = "l
     stats = {"n": n, "a": a, "b": b, "d": d, "det": det}
     if not det > 0:
         return None, stats
-    i11, i12, i22 = d / det, -b / det, a / det
-    k = truncate_sigmas
-    sx = k * math.sqrt(a) * (1 + 1e-9)
-    sy = k * math.sqrt(d) * (1 + 1e-9)
-    loc = (points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-                 .groupBy(F.col(lon).alias("_px"), F.col(lat).alias("_py")).agg(F.count(F.lit(1)).alias("_w")))
-    c = cells.select(*cell_keys, F.col("lon").alias("_cx"), F.col("lat").alias("_cy"))
-    coef = (i11, 2.0 * i12, i22, k * k)
-    if engine == "sql":
-        s = _kde_sums_sql(c, loc, cell_keys, coef, sx, sy)
-    else:
-        s = _kde_sums_arrow(c, loc, cell_keys, coef, sx, sy, cells.select(*cell_keys).dtypes)
-    out = cells.join(s, cell_keys, "left").withColumn("_s", F.coalesce(F.col("_s"), F.lit(0.0)))
-    return out, stats
-
-
-def _kde_sums_sql(c, loc, cell_keys, coef, sx, sy):
-    """Kernel sums as a tile equi-join and one aggregate (all JVM-side)."""
-    c11, c12, c22, k2 = coef
-    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    near = (loc.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs))
-               .withColumn("_tx", _tile("_px", sx) + F.col("_ox")).withColumn("_ty", _tile("_py", sy) + F.col("_oy"))
-               .drop("_ox", "_oy"))
-    c = c.withColumn("_tx", _tile("_cx", sx)).withColumn("_ty", _tile("_cy", sy))
-    dx = F.col("_cx") - F.col("_px")
-    dy = F.col("_cy") - F.col("_py")
-    q = F.lit(c11) * dx * dx + F.lit(c12) * dx * dy + F.lit(c22) * dy * dy
-    return (c.join(near, ["_tx", "_ty"]).withColumn("_q", q).filter(F.col("_q") <= F.lit(k2))
-             .groupBy(*cell_keys).agg(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * F.col("_q"))).alias("_s")))
-
-
-def _kde_sums_arrow(c, loc, cell_keys, coef, sx, sy, key_types, reach: int = 2):
-    """Kernel sums per serving tile with NumPy on Arrow batches.
-
-    Tiles are 1/reach of the kernel's reach, points are replicated to the
-    (2*reach+1)^2 serving tiles around them (finer culling than 3x3 tiles of
-    full reach). A serving tile with more than MAX_POINTS_PER_TASK points is
-    split into salted buckets (its cells are replicated per bucket) and the
-    partial sums are added up afterwards, so no task holds a hot tile whole.
-    Each task evaluates its kernel matrix in chunks of CHUNK_ENTRIES.
+    coef = (d / det, -2.0 * b / det, a / det)
+    loc = materialize(points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+                            .groupBy(F.col(lon).alias("_px"), F.col(lat).alias("_py"))
+                            .agg(F.count(F.lit(1)).alias("_w")), "kde-locations")
+    open_cells = cells.select(*cell_keys, F.col("lon").alias("_cx"), F.col("lat").alias("_cy"))
+    key_types, closed = cells.select(*cell_keys).dtypes, None
+    for reach in REACHES:
+        parts = _kernel_sums(open_cells, loc, cell_keys, coef, reach * math.sqrt(a), reach * math.sqrt(d), key_types)
+        s = materialize(open_cells.join(parts, cell_keys, "left")
+                                  .withColumn("_s", F.coalesce(F.col("_s"), F.lit(0.0))), "kde-sums")
+        left_out = F.lit(n * math.exp(-reach * reach / 2)) if reach != REACHES[-1] else F.lit(0.0)
+        enough = F.col("_s") * F.lit(2.0 ** -53) >= left_out
+        done = s.filter(enough).select(*cell_keys, "_s")
+        closed = done if closed is None else closed.unionByName(done)
+        open_cells = s.filter(~enough).drop("_s")
+        if reach == REACHES[-1] or open_cells.isEmpty():
+            break
+    return cells.join(closed, cell_keys, "left"), stats
+
+
+def _kernel_sums(c, loc, cell_keys, coef, sx, sy, key_types, reach: int = 2):
+    """Kernel sums per point tile with NumPy on Arrow batches.
+
+    Tiles are 1/reach of the kernel's reach; cells are copied to the
+    (2*reach+1)^2 tiles around them. A tile with more than MAX_POINTS_PER_TASK
+    points is cut into blocks (its cells are copied per block) and the partial
+    sums are added up afterwards. Each task evaluates its kernel matrix in
+    chunks of CHUNK_ENTRIES.
     """
-    c11, c12, c22, k2 = coef
-    tx, ty = sx / reach, sy / reach
+    c11, c12, c22 = coef
+    tx, ty = sx / reach * (1 + 1e-9), sy / reach * (1 + 1e-9)
     offs = F.array(*[F.lit(o) for o in range(-reach, reach + 1)])
-    near = (loc.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs))
-               .withColumn("_tx", _tile("_px", tx) + F.col("_ox")).withColumn("_ty", _tile("_py", ty) + F.col("_oy"))
-               .drop("_ox", "_oy"))
-    # one row per serving tile that has points (bounded by the tile geometry)
-    buckets = near.groupBy("_tx", "_ty").agg(
+    tiled = loc.withColumn("_tx", _tile("_px", tx)).withColumn("_ty", _tile("_py", ty))
+    blocks = tiled.groupBy("_tx", "_ty").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(MAX_POINTS_PER_TASK)).cast("int").alias("_nb"))
-    near = (near.join(F.broadcast(buckets), ["_tx", "_ty"])
-                .withColumn("_b", F.pmod(F.xxhash64("_px", "_py"), F.col("_nb")).cast("int")).drop("_nb"))
-    cs = (c.withColumn("_tx", _tile("_cx", tx)).withColumn("_ty", _tile("_cy", ty))
-           .join(F.broadcast(buckets), ["_tx", "_ty"])
-           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))).drop("_nb"))
+    tiled = (tiled.join(blocks, ["_tx", "_ty"])
+                  .withColumn("_b", F.pmod(F.xxhash64("_px", "_py"), F.col("_nb")).cast("int")).drop("_nb"))
+    near = (c.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs))
+             .withColumn("_tx", _tile("_cx", tx) + F.col("_ox")).withColumn("_ty", _tile("_cy", ty) + F.col("_oy"))
+             .drop("_ox", "_oy").join(blocks, ["_tx", "_ty"])
+             .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))).drop("_nb"))
     keys = list(cell_keys)
 
     def kernel(cpdf: pd.DataFrame, ppdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,15 +121,12 @@ def _kde_sums_arrow(c, loc, cell_keys, coef, sx, sy, key_types, reach: int = 2):
         for i in range(0, len(cx), step):
             dx = cx[i:i + step, None] - px[None, :]
             dy = cy[i:i + step, None] - py[None, :]
-            q = c11 * dx * dx + c12 * dx * dy + c22 * dy * dy
-            e = np.exp(-0.5 * q)
-            e[q > k2] = 0.0
-            out[i:i + step] = e @ w
+            out[i:i + step] = np.exp(-0.5 * (c11 * dx * dx + c12 * dx * dy + c22 * dy * dy)) @ w
         return pd.DataFrame({**{k: cpdf[k].to_numpy() for k in keys}, "_s": out})
 
     schema = ", ".join(f"{k} {t}" for k, t in key_types) + ", _s double"
-    parts = (cs.groupBy("_tx", "_ty", "_b").cogroup(near.groupBy("_tx", "_ty", "_b"))
-               .applyInPandas(kernel, schema))
+    parts = (near.groupBy("_tx", "_ty", "_b").cogroup(tiled.groupBy("_tx", "_ty", "_b"))
+                 .applyInPandas(kernel, schema))
     return parts.groupBy(*keys).agg(F.sum("_s").alias("_s"))
 
 

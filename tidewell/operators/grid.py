@@ -58,14 +58,6 @@ def weekly_mondays(spark: SparkSession, start: str, end: str) -> DataFrame:
         F.expr("interval 7 days"))).alias("week_start"))
 
 
-def mondays_between(start_col, end_col):
-    """Column: array of Mondays within [start, end] (empty when none)."""
-    first = F.next_day(F.date_sub(F.to_date(start_col), 1), "MO")
-    return F.when(first <= F.to_date(end_col),
-                  F.sequence(first, F.to_date(end_col), F.expr("interval 7 days"))
-                  ).otherwise(F.array().cast("array<date>"))
-
-
 def week_spine(df: DataFrame, week_col: str = "week") -> DataFrame:
     """Contiguous Sunday labels from the first to the last data week."""
     bounds = df.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi"))

@@ -2,8 +2,7 @@
 
 ``materialize`` writes a reliable checkpoint into the shared
 ``spark.checkpoint.dir`` (never a local checkpoint): lineage is cut and the
-data survives executor loss. ``write_table`` is the alternative cut, a
-Parquet table in the same shared folder.
+data survives executor loss.
 """
 
 from __future__ import annotations
@@ -25,10 +24,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def write_table(df: DataFrame, name: str = "table") -> DataFrame:
-    """A Parquet table in the shared folder, read back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

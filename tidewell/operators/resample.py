@@ -63,7 +63,7 @@ def linear_brackets(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame
     sa = source_axis.select("s").distinct()
     sa = sa.withColumn("s_next", F.lead("s").over(Window.orderBy("s")))
     u = _axis_union(sa, target_axis).join(
-        F.broadcast(sa.select(F.col("s").alias("_c"), F.col("s_next").alias("_cn"))), "_c", "left")
+        sa.select(F.col("s").alias("_c"), F.col("s_next").alias("_cn")), "_c", "left")
     w = Window.orderBy("_c", "_src")
     s_val = F.when(F.col("_src") == 1, F.col("_c"))
     n_val = F.when(F.col("_src") == 1, F.col("_cn"))
@@ -78,14 +78,6 @@ def linear_brackets(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame
     return b.select("idx", "lo", "hi", ((F.col("_c") - F.col("lo")) / (F.col("hi") - F.col("lo"))).alias("w"))
 
 
-def linear_axis_map(source_axis: DataFrame, target_axis: DataFrame) -> DataFrame:
-    """(idx, s, w): the two bracketing source coordinates and their weights."""
-    b = linear_brackets(source_axis, target_axis)
-    return b.select("idx", F.explode(F.array(
-        F.struct(F.col("lo").alias("s"), (F.lit(1.0) - F.col("w")).alias("w")),
-        F.struct(F.col("hi").alias("s"), F.col("w").alias("w")))).alias("_k")).select("idx", "_k.s", "_k.w")
-
-
 def _axes(grid: DataFrame):
     lat_t = grid.select(F.col("lat_idx").alias("idx"), F.col("lat").alias("t")).distinct()
     lon_t = grid.select(F.col("lon_idx").alias("idx"), F.col("lon").alias("t")).distinct()
@@ -96,10 +88,12 @@ def resample(source: DataFrame, grid: DataFrame, values: Sequence[str], method:
              keys: Sequence[str] = (), lat: str = "lat", lon: str = "lon", complete_only: bool = False) -> DataFrame:
     """Resample source rows onto ``grid`` (lat_idx, lon_idx, lat, lon).
 
-    ``keys`` (e.g. ``time``) are carried through: the result has one row per
-    (keys, target cell) that received any source corner; values are NULL
-    where a corner is absent or missing (``complete_only`` keeps only the
-    cells with a value).
+    Without ``keys`` the result has every cell of the grid, NULL outside the
+    source extent and where a corner is absent or missing. ``keys`` (e.g.
+    ``time``) are carried through: then it has a row per (keys, target cell)
+    that received any source corner, and the caller lays those onto its own
+    spine of times (``densify_weeks``). ``complete_only`` keeps only the cells
+    with a value.
     """
     keys, values = list(keys), list(values)
     src = source.select(*keys, F.col(lat).alias("_slat"), F.col(lon).alias("_slon"),
@@ -110,12 +104,18 @@ def resample(source: DataFrame, grid: DataFrame, values: Sequence[str], method:
     if method in ("nearest",):
         mlat = nearest_axis_map(s_lat, lat_t).select(F.col("idx").alias("lat_idx"), F.col("s").alias("_slat"))
         mlon = nearest_axis_map(s_lon, lon_t).select(F.col("idx").alias("lon_idx"), F.col("s").alias("_slon"))
-        out = src.join(F.broadcast(mlat), "_slat").join(F.broadcast(mlon), "_slon")
-        return out.select(*keys, "lat_idx", "lon_idx", *values)
+        out = src.join(mlat, "_slat").join(mlon, "_slon").select(*keys, "lat_idx", "lon_idx", *values)
+        return out if keys else _whole_grid(out, grid)
     if method not in ("bilinear", "linear"):
         raise ValueError(f"unknown resampling method {method}")
     quads = bilinear_quads(src, lat_t, lon_t, s_lat, s_lon, values, keys)
-    return quads_to_cells(quads, values, keys, complete_only)
+    cells = quads_to_cells(quads, values, keys, complete_only)
+    return cells if keys or complete_only else _whole_grid(cells, grid)
+
+
+def _whole_grid(cells: DataFrame, grid: DataFrame) -> DataFrame:
+    """Every cell of the grid, NULL where nothing reaches it."""
+    return grid.select("lat_idx", "lon_idx").join(cells, ["lat_idx", "lon_idx"], "left")
 
 
 def _corner_table(brackets: DataFrame, name: str) -> DataFrame:
@@ -136,8 +136,8 @@ def bilinear_quads(src: DataFrame, lat_t: DataFrame, lon_t: DataFrame, s_lat: Da
     """
     lat_b = linear_brackets(s_lat, lat_t)
     lon_b = linear_brackets(s_lon, lon_t)
-    contrib = (src.join(F.broadcast(_corner_table(lat_b, "y")), F.col("_slat") == F.col("_sy"))
-                  .join(F.broadcast(_corner_table(lon_b, "x")), F.col("_slon") == F.col("_sx")))
+    contrib = (src.join(_corner_table(lat_b, "y"), F.col("_slat") == F.col("_sy"))
+                  .join(_corner_table(lon_b, "x"), F.col("_slon") == F.col("_sx")))
     aggs = []
     for v in values:
         for ry in (0, 1):
@@ -166,7 +166,7 @@ def quads_to_cells(quads, values, keys, complete_only: bool = False) -> DataFram
             c = F.col(f"_n_{v}") == 4
             cond = c if cond is None else (cond | c)
         q = q.filter(cond)
-    cells = (q.join(F.broadcast(lat_cells), ["_ylo", "_yhi"]).join(F.broadcast(lon_cells), ["_xlo", "_xhi"]))
+    cells = (q.join(lat_cells, ["_ylo", "_yhi"]).join(lon_cells, ["_xlo", "_xhi"]))
     wy, wx = F.col("_wy"), F.col("_wx")
     one = F.lit(1.0)
     out = []
@@ -199,21 +199,6 @@ def resample_with_range(source: DataFrame, grid: DataFrame, values, keys, time_c
     return cells, r["lo"], r["hi"]
 
 
-def contributing_times(source: DataFrame, grid: DataFrame, time_col: str = "time", lat: str = "lat",
-                       lon: str = "lon"):
-    """First and last time of the source rows that feed at least one cell
-    (bilinear): two scalars read from one aggregate row."""
-    lat_t, lon_t = _axes(grid)
-    s_lat = source.select(F.col(lat).alias("s")).distinct()
-    s_lon = source.select(F.col(lon).alias("s")).distinct()
-    cy = _corner_table(linear_brackets(s_lat, lat_t), "y").select("_sy").distinct()
-    cx = _corner_table(linear_brackets(s_lon, lon_t), "x").select("_sx").distinct()
-    r = (source.join(F.broadcast(cy), F.col(lat) == F.col("_sy"), "left_semi")
-               .join(F.broadcast(cx), F.col(lon) == F.col("_sx"), "left_semi")
-               .agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first())
-    return r["lo"], r["hi"]
-
-
 # ---- W5: cubic (not-a-knot) spline along each axis, NumPy on workers -------
 
 LINES_PER_GROUP = 64  # grid lines solved together in one task (bounds memory)

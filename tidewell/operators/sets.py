@@ -34,7 +34,7 @@ def limit_records(df: DataFrame, n: int, by: str | None, order: str) -> DataFram
 def stage_counts(df: DataFrame, by: str = "life_stage", id_col: str = "shark_id") -> DataFrame:
     """Rows and distinct individuals per group."""
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_points"),
-                              F.countDistinct(id_col).alias("n_sharks"))
+                              F.countDistinct(id_col).alias("n_individuals"))
 
 
 def track_extents(df: DataFrame, by: str, lon: str = "lon", lat: str = "lat") -> DataFrame:

@@ -79,7 +79,8 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
     if not st["n"]:
         return cells.withColumn(out, F.lit(None).cast("double") if max_distance_km is None
                                 else F.lit(float(max_distance_km)))
-    open_cells = cells.select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy"))
+    placed = F.col(lon).isNotNull() & F.col(lat).isNotNull()  # other cells have no distance
+    open_cells = cells.filter(placed).select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy"))
     if first_radius_km is None:
         # typical spacing of the points: most cells resolve in the first rounds
         area = max((st["x1"] - st["x0"]) * (st["y1"] - st["y0"]), 1e-12)
@@ -113,7 +114,7 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
         dist = dist.unionByName(f)
     d_km = tf.deg_to_km(F.sqrt(F.col("_d2")))
     if max_distance_km is not None:
-        d_km = F.coalesce(tf.cap(d_km, max_distance_km), F.lit(float(max_distance_km)))
+        d_km = F.when(placed, F.coalesce(tf.cap(d_km, max_distance_km), F.lit(float(max_distance_km))))
     return cells.join(dist, cell_keys, "left").withColumn(out, d_km).drop("_d2")
 
 

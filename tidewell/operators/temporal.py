@@ -73,7 +73,7 @@ def _agg_expr(method: str, value: str, out: str):
         return F.max(value).alias(out)
     if method == "min":
         return F.min(value).alias(out)
-    raise ValueError(f"Unknown aggregation method: {method}")
+    raise ValueError(f"method {method!r} is none of {WEEKLY_METHODS}")
 
 
 def aggregate_weekly(df: DataFrame, value: str = "value", method: str = "mean",
@@ -85,33 +85,42 @@ def aggregate_weekly(df: DataFrame, value: str = "value", method: str = "mean",
     week (W6); empty weeks carry NULL.
     """
     if method not in WEEKLY_METHODS:
-        raise ValueError(f"Unknown aggregation method: {method}")
+        raise ValueError(f"method {method!r} is none of {WEEKLY_METHODS}")
     out = out or value
     keys = list(keys)
     wk = df.select(*keys, tf.week_label(time_col).alias("week"), tf.nan_to_null(value).alias(value))
+    span = wk.agg(F.min("week").alias("lo"), F.max("week").alias("hi")).first() if fill else None
     if method == "median":
         agg = exact_median(wk, ["week", *keys], value, out)
         # groups whose values are all missing still exist (NULL median)
         agg = wk.select("week", *keys).distinct().join(agg, ["week", *keys], "left")
     else:
         agg = wk.groupBy("week", *keys).agg(_agg_expr(method, value, out))
-    return fill_empty_weeks(agg, keys) if fill else agg
+    return fill_empty_weeks(agg, keys, lo=span["lo"], hi=span["hi"]) if fill else agg
 
 
-def fill_empty_weeks(agg: DataFrame, keys: Sequence[str], week_col: str = "week") -> DataFrame:
+def fill_empty_weeks(agg: DataFrame, keys: Sequence[str], week_col: str = "week", lo=None, hi=None) -> DataFrame:
     """Materialise missing weeks per cell as NULL rows.
 
-    The week range is two scalars; each distinct cell explodes its own
-    sequence (work spread by cell), then a left join on (week, cell).
+    The week range is two scalars, ``lo`` and ``hi`` where the caller knows
+    them from its source, else read from ``agg``. Each row then makes the
+    empty weeks before it (a cell's last row also those behind), so the
+    aggregate runs once and nothing is joined.
     """
     keys = list(keys)
-    b = agg.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi")).first()
-    if b["lo"] is None:
-        return agg
-    cells = agg.select(*keys).distinct()
-    spine = cells.select(*keys, F.explode(F.sequence(F.lit(b["lo"]), F.lit(b["hi"]),
-                                                     F.expr("interval 7 days"))).alias(week_col))
-    return spine.join(agg, [week_col, *keys], "left")
+    if lo is None:
+        span = agg.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi")).first()
+        lo, hi = span["lo"], span["hi"]
+        if lo is None:
+            return agg
+    w = Window.partitionBy(*keys).orderBy(week_col)
+    begin = F.coalesce(F.date_add(F.lag(week_col).over(w), 7), F.lit(lo))
+    end = F.when(F.lead(week_col).over(w).isNull(), F.lit(hi)).otherwise(F.col(week_col))
+    weeks = agg.withColumn("_begin", begin).withColumn("_end", end).withColumn(
+        "_week", F.explode(F.sequence("_begin", "_end", F.expr("interval 7 days"))))
+    own = F.col("_week") == F.col(week_col)
+    return weeks.select(*[F.col("_week").alias(c) if c == week_col else F.col(c) if c in keys
+                          else F.when(own, F.col(c)).alias(c) for c in agg.columns])
 
 
 def climatology(df: DataFrame, value: str = "value", by: str = "month", time_col: str = "time",
@@ -125,13 +134,16 @@ def climatology(df: DataFrame, value: str = "value", by: str = "month", time_col
     elif by == "season":
         k = tf.season_code(time_col)
     else:
-        raise ValueError(f"Unknown groupby option: {by}")
+        raise ValueError(f"by={by!r} is none of month, week, season")
     return (df.select(k.alias(by), *keys, tf.nan_to_null(value).alias("_v"))
               .groupBy(by, *keys).agg(F.avg("_v").alias(out)))
 
 
 def _epoch_seconds(c):
-    return F.unix_seconds(F.col(c).cast("timestamp_ntz").cast("timestamp")).cast("double")
+    """Seconds of a wall-clock time since 1970, without any time zone."""
+    t = F.col(c).cast("timestamp_ntz")
+    return (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")) * 86400.0
+            + F.hour(t) * 3600.0 + F.minute(t) * 60.0 + F.second(t))
 
 
 def interpolate_weekly(df: DataFrame, start: str, end: str, value: str = "value",
@@ -142,13 +154,16 @@ def interpolate_weekly(df: DataFrame, start: str, end: str, value: str = "value"
     Per series, each observation is paired with the next one (``lead``); the
     Mondays inside the bracket ``(t, t_next]`` (the first bracket also takes
     ``t``) are exploded from that row, so there is no theta join. No
-    extrapolation; a bracket touching a missing value yields missing.
+    extrapolation; a bracket touching a missing value yields missing. A time
+    that a series repeats counts once, with the mean of its values.
     """
     out = out or value
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("_t")
-    br = (df.select(*keys, F.col(time_col).cast("timestamp_ntz").alias("_t"),
-                    tf.nan_to_null(value).alias("_v"))
+    series = df.select(*keys, F.col(time_col).cast("timestamp_ntz").alias("_t"), tf.nan_to_null(value).alias("_v"))
+    if keys:  # one shuffle by series serves the mean per time and the window
+        series = series.repartition(*keys)
+    br = (series.groupBy(*keys, "_t").agg(F.avg("_v").alias("_v"))
             .withColumn("_t2", F.lead("_t").over(w))
             .withColumn("_v2", F.lead("_v").over(w))
             .withColumn("_first", F.row_number().over(w) == 1)

@@ -35,7 +35,7 @@ DBSCAN_SQL = (
     "labels as (select p.occ_id, p.lon, p.lat, cast(coalesce(lab.cluster, border.cluster, -1) as bigint) as cluster "
     "from p left join lab on p.occ_id = lab.id left join border on p.occ_id = border.id)")
 
-ROOKERY_SQL = ("rook as (select cluster, round(avg(lon), 9) + 0.0 as lon, round(avg(lat), 9) + 0.0 as lat, "
+ROOKERY_SQL = ("rook as (select cluster, avg(lon) as lon, avg(lat) as lat, "
                "count(*) as Observation_Count from labels where cluster <> -1 group by cluster)")
 
 

@@ -274,7 +274,7 @@ def q_limit(spark, sf):
 
 
 @register("stage_counts", ["v_tracks", "v_individuals"],
-          f"select life_stage, count(*) as n_points, count(distinct shark_id) as n_sharks from "
+          f"select life_stage, count(*) as n_points, count(distinct shark_id) as n_individuals from "
           f"(select t.shark_id, {STAGE_SQL} as life_stage from v_tracks t join v_individuals i on t.shark_id = i.id "
           "where i.species = 'Carcharodon carcharias') p "
           "group by life_stage")

@@ -121,8 +121,9 @@ GRID05 = grid_sql("grid", 0.5, 41)
 @register("resample_nearest", ["v_surface"],
           f"with {GRID01}, {nearest_map_sql('lat_', 'v_surface', 'lat', 'grid', 'lat_idx')}, "
           f"{nearest_map_sql('lon_', 'v_surface', 'lon', 'grid', 'lon_idx')} "
-          "select la.idx as lat_idx, lo.idx as lon_idx, round(s.sst, 9) + 0.0 as sst from v_surface s "
-          "join lat_m la on s.lat = la.s join lon_m lo on s.lon = lo.s")
+          "select g.lat_idx, g.lon_idx, round(s.sst, 9) + 0.0 as sst from grid g "
+          "left join lat_m la on g.lat_idx = la.idx left join lon_m lo on g.lon_idx = lo.idx "
+          "left join v_surface s on s.lat = la.s and s.lon = lo.s")
 def q_nearest(spark, sf):
     """Surface SST onto the 0.1-degree grid by nearest source cell."""
     grid = G.target_grid(spark, BBOX, 0.1)
@@ -133,7 +134,8 @@ def q_nearest(spark, sf):
           f"with {GRID01}, {linear_map_sql('lat_', 'v_surface', 'lat', 'grid', 'lat_idx')}, "
           f"{linear_map_sql('lon_', 'v_surface', 'lon', 'grid', 'lon_idx')}, "
           f"r as ({bilinear_sql('v_surface', ['elevation', 'sst'])}) "
-          "select lat_idx, lon_idx, round(elevation, 9) + 0.0 as elevation, round(sst, 9) + 0.0 as sst from r")
+          "select g.lat_idx, g.lon_idx, round(r.elevation, 9) + 0.0 as elevation, round(r.sst, 9) + 0.0 as sst "
+          "from grid g left join r on g.lat_idx = r.lat_idx and g.lon_idx = r.lon_idx")
 def q_bilinear(spark, sf):
     """Surface elevation and SST onto the 0.1-degree grid, separable linear."""
     grid = G.target_grid(spark, BBOX, 0.1)
@@ -246,7 +248,8 @@ OXY_SRC = ("ox as (select 25.0 + cast(lat_idx as double) * 1.0 as lat, -130.0 +
           f"with {GRID01}, {OXY_SRC}, {linear_map_sql('lat_', 'ox', 'lat', 'grid', 'lat_idx')}, "
           f"{linear_map_sql('lon_', 'ox', 'lon', 'grid', 'lon_idx')}, "
           f"r as ({bilinear_sql('ox', ['oxy'])}) "
-          "select lat_idx, lon_idx, round(oxy, 9) + 0.0 as Oxygen_bottom_ml_L from r")
+          "select g.lat_idx, g.lon_idx, round(r.oxy, 9) + 0.0 as Oxygen_bottom_ml_L "
+          "from grid g left join r on g.lat_idx = r.lat_idx and g.lon_idx = r.lon_idx")
 def q_oxygen(spark, sf):
     """Q5: bottom oxygen (A18) on the 1-degree climatology grid -> J9 to 0.1 degree."""
     bottom = T.bottom_value(spark.table("v_oxygen"), out="oxy")

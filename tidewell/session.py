@@ -31,6 +31,8 @@ DEFAULT_CONF = {
     "spark.ui.retainedStages": "100",
     "spark.ui.retainedTasks": "2000",
     "spark.cleaner.periodicGC.interval": "2min",
+    # a checkpoint goes from the shared folder when nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -157,14 +157,19 @@ def line_vertices(lanes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return v.select(*keys, "part", "k", F.col("_xy")[0].alias("lon"), F.col("_xy")[1].alias("lat"))
 
 
-def read_cube(spark: SparkSession, paths, fmt: str = "parquet", variable_aliases: dict | None = None) -> DataFrame:
+def read_cube(spark: SparkSession, paths, fmt: str = "parquet", variable_aliases: dict | None = None,
+              schema: str | T.StructType | None = None) -> DataFrame:
     """Many granules of long rows as one table (schemas merged), canonical
-    names, NaN -> NULL on every floating column."""
+    names, NaN -> NULL on every floating column. CSV granules need their
+    ``schema``: nothing is inferred."""
     if fmt == "parquet":
         df = spark.read.option("mergeSchema", True).parquet(*([paths] if isinstance(paths, str) else paths))
     else:
-        df = spark.read.option("header", True).option("inferSchema", True).csv(paths)
-    df = normalize_columns(df, variable_aliases)
+        if schema is None:
+            raise ValueError("a CSV cube is read with an explicit schema")
+        df = spark.read.option("header", True).schema(schema).csv(paths)
+    times = () if "week" in df.columns else ("time",)
+    df = normalize_columns(df, variable_aliases, required=("lon", "lat", *times))
     floats = [c for c, t in df.dtypes if t in ("double", "float")]
     return df.select(*[tf.nan_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
 

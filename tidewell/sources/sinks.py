@@ -51,13 +51,7 @@ def write_raster(df: DataFrame, path: str, bands, nodata: float = DEFAULT_NODATA
 def write_cube(df: DataFrame, path: str, partition_col: str = "week", mode: str = "overwrite") -> str:
     """K3: weekly cube partitioned by week; overwrite replaces only the weeks
     present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode(mode).partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return path
 
 

@@ -2,8 +2,9 @@
 
 Event-time windows of 7 days aligned to Monday 00:00 UTC (the epoch is a
 Thursday, so ``startTime = 4 days``), labelled by their Sunday like the
-batch operator; the watermark bounds state so late pings older than
-``late`` are dropped and finished weeks are emitted once (append mode).
+batch operator. ``late`` has no default: in append mode a week is emitted once,
+``late`` after its end, and what comes later than that is not in it, so the
+caller has to state how late its source can be.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from .. import functions as tf
 
 
-def weekly_mean_stream(pings: DataFrame, value: str, time_col: str = "ts", keys: Sequence[str] = ("lat_idx", "lon_idx"),
-                       late: str = "14 days", out: str | None = None) -> DataFrame:
+def weekly_mean_stream(pings: DataFrame, value: str, late: str, time_col: str = "ts",
+                       keys: Sequence[str] = ("lat_idx", "lon_idx"), out: str | None = None) -> DataFrame:
     """Streaming weekly mean per key; ``pings`` is a streaming DataFrame."""
     out = out or value
     keys = list(keys)
