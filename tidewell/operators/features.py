@@ -25,16 +25,20 @@ def stack_layers(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in value_cols])
 
 
-def combine_presence_absence(presence: DataFrame, absence: DataFrame) -> DataFrame:
-    """Presence (status 1, dated) and absence (status 0, undated) points
-    in one frame with Month, Week_of_Year and Season (NULL without a date)."""
-    p = presence.select(F.col("event_id").cast("string").alias("point_id"),
-                        F.lit(1).alias("Shark_Presence_Status"), F.col("life_stage").alias("Life_Stage"),
-                        F.col("ts").alias("Date"), "lon", "lat")
-    a = absence.select(F.concat_ws(":", "Life_Stage", F.col("attempt").cast("string")).alias("point_id"),
-                       F.col("Shark_Presence_Status"), "Life_Stage", "lon", "lat")
-    both = union_sources([p, a])
-    both = add_season(both, "Date")
+def combine_presence_absence(presence: DataFrame, absence: DataFrame, status: str = "Shark_Presence_Status",
+                             date_column: str = "Date", add_temporal: bool = True) -> DataFrame:
+    """Presence (status 1) and absence (status 0) points in one frame.
+
+    All columns of both frames are kept, NULL where a frame has none.
+    ``add_temporal`` adds Month, Week_of_Year and Season from ``date_column``,
+    NULL for undated points.
+    """
+    both = union_sources([presence.withColumn(status, F.lit(1)), absence.withColumn(status, F.lit(0))])
+    if not add_temporal:
+        return both
+    if date_column not in both.columns:
+        raise ValueError(f"no column {date_column} to take months, weeks and seasons from")
+    both = add_season(both, date_column)
     return both.withColumn("Season", F.when(F.col("Month").isNull(), F.lit(None)).otherwise(F.col("Season")))
 
 

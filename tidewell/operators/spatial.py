@@ -94,10 +94,11 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
         last = max_distance_km is not None and r_km >= max_distance_km
         rd = tf.km_to_deg(r_km)
         size = rd * _TILE_SLACK
-        near = explode_neighbours(pts, size, 1, "_px", "_py")
+        # cells are bounded by the grid, points are not: cells are the side that is copied
+        near = explode_neighbours(open_cells, size, 1, "_cx", "_cy")
         # each round is written as a table in the shared checkpoint folder:
         # round-to-round lineage is cut and survives executor loss
-        found = materialize(with_tiles(open_cells, size, "_cx", "_cy")
+        found = materialize(with_tiles(pts, size, "_px", "_py")
                             .join(near, ["_tx", "_ty"])
                             .filter(_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd))
                             .groupBy(*cell_keys).agg(F.min(_d2("_cx", "_cy", "_px", "_py")).alias("_d2")),
@@ -150,11 +151,13 @@ def exclusion_mask(cells: DataFrame, points: DataFrame, radius_km: float,
     cell_keys = list(cell_keys)
     rd = tf.km_to_deg(radius_km)
     size = rd * _TILE_SLACK
-    pts = explode_neighbours(distinct_points(points).drop("_w"), size, 1, "_px", "_py")
-    c = with_tiles(cells.select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy")), size, "_cx", "_cy")
-    hit = (c.join(pts, ["_tx", "_ty"])
-            .filter(_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd))
-            .select(*cell_keys).distinct().withColumn(out, F.lit(True)))
+    pts = with_tiles(distinct_points(points).drop("_w"), size, "_px", "_py").alias("p")
+    c = explode_neighbours(cells.select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy")),
+                           size, 1, "_cx", "_cy").alias("c")
+    # a semi join stops at a cell's first point on a tile
+    near = ((F.col("c._tx") == F.col("p._tx")) & (F.col("c._ty") == F.col("p._ty"))
+            & (_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd)))
+    hit = c.join(pts, near, "left_semi").select(*cell_keys).distinct().withColumn(out, F.lit(True))
     return cells.join(hit, cell_keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 

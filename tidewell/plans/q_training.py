@@ -17,16 +17,44 @@ from ..operators import grid as G
 from ..operators import resample as RS
 from ..operators import spatial as SP
 from ..operators import synthetic as S
+from ..operators import cluster as CL
+from ..operators import density as D
 from ..operators import temporal as T
 from ..operators import terrain as TR
+from ..operators.lineage import materialize
+from .q_cluster import EPS_KM, MIN_SAMPLES, _prey
+from .q_density import NURSERY_SQL, _nursery, _orca
+from .q_grid import GRID01, nearest_map_sql
 from .q_spatial import PRESENCE_SQL
 from .registry import RAW_ORACLES, register, report
 
 BBOX = tf.DEFAULT_BBOX
-LAYERS = ("Dist_to_Shipping_Lane_km", "Depth_m", "Slope_deg", "Oxygen_bottom_ml_L")
+#: Static layers and the checked products that they come from.
+SOURCES = {"lane_distance": ("Dist_to_Shipping_Lane_km",), "product_bathymetry": ("Depth_m", "Slope_deg"),
+           "product_oxygen": ("Oxygen_bottom_ml_L",), "product_rookery_distance": ("Dist_to_Rookery_km",),
+           "product_orca_density": ("Orca_Density_Index",), "nursery_layer": ("Nursery_Index",)}
+LAYERS = tuple(v for values in SOURCES.values() for v in values)
+STATIC_VIEWS = ["v_lane_vertices", "v_surface", "v_oxygen", "v_occurrences"]
+
+
+@register("nursery_layer", ["v_surface"],
+          NURSERY_SQL + f", {GRID01}, nur as (select 25.0 + cast(lat_idx as double) * 0.5 as lat, "
+          "-130.0 + cast(lon_idx as double) * 0.5 as lon, cast(Nursery_Index as double) as v from idx), "
+          f"{nearest_map_sql('lat_', 'nur', 'lat', 'grid', 'lat_idx')}, "
+          f"{nearest_map_sql('lon_', 'nur', 'lon', 'grid', 'lon_idx')} "
+          "select g.lat_idx, g.lon_idx, nur.v as Nursery_Index from grid g left join lat_m la on g.lat_idx = la.idx "
+          "left join lon_m lo on g.lon_idx = lo.idx left join nur on nur.lat = la.s and nur.lon = lo.s")
+def q_nursery_layer(spark, sf):
+    """Q13 on the target grid (J8), as the training table uses it."""
+    grid = G.target_grid(spark, BBOX, 0.1)
+    index = _nursery(spark).select((F.lit(25.0) + F.col("lat_idx").cast("double") * F.lit(0.5)).alias("lat"),
+                                   (F.lit(-130.0) + F.col("lon_idx").cast("double") * F.lit(0.5)).alias("lon"),
+                                   F.col("Nursery_Index").cast("double").alias("Nursery_Index"))
+    return RS.resample(index, grid, ["Nursery_Index"], "nearest")
 
 
-def _static_layers(spark):
+def _static_layers(spark, sf):
+    """All static layers, each written once as a table and read back, as one row per cell."""
     grid = G.target_grid(spark, BBOX, 0.1)
     lane = SP.nearest_distance(grid, spark.table("v_lane_vertices"), 500.0, out="Dist_to_Shipping_Lane_km")
     elev = RS.resample(spark.table("v_surface"), grid, ["elevation"], "bilinear")
@@ -37,33 +65,40 @@ def _static_layers(spark):
     src = bottom.select((F.lit(25.0) + F.col("lat_idx").cast("double") * F.lit(1.0)).alias("lat"),
                         (F.lit(-130.0) + F.col("lon_idx").cast("double") * F.lit(1.0)).alias("lon"), "oxy")
     oxy = RS.resample(src, grid, ["oxy"], "bilinear").withColumnRenamed("oxy", "Oxygen_bottom_ml_L")
-    return FE.stack_layers([lane.select("lat_idx", "lon_idx", "Dist_to_Shipping_Lane_km"),
-                            bathy.select("lat_idx", "lon_idx", "Depth_m", "Slope_deg"),
-                            oxy.select("lat_idx", "lon_idx", "Oxygen_bottom_ml_L")], ["lat_idx", "lon_idx"])
-
-
-def _stack_sql() -> str:
-    lane, bathy, oxy = (RAW_ORACLES[k] for k in ("lane_distance", "product_bathymetry", "product_oxygen"))
-    return (
-        "select lat_idx, lon_idx, max(Dist_to_Shipping_Lane_km) as Dist_to_Shipping_Lane_km, max(Depth_m) as Depth_m, "
-        "max(Slope_deg) as Slope_deg, max(Oxygen_bottom_ml_L) as Oxygen_bottom_ml_L from ("
-        "select lat_idx, lon_idx, Dist_to_Shipping_Lane_km, cast(null as double) as Depth_m, "
-        f"cast(null as double) as Slope_deg, cast(null as double) as Oxygen_bottom_ml_L from ({lane}) l1 union all "
-        "select lat_idx, lon_idx, null, Depth_m, Slope_deg, null from "
-        f"({bathy}) l2 union all select lat_idx, lon_idx, null, null, null, Oxygen_bottom_ml_L from ({oxy}) l3) u "
-        "group by 1, 2")
-
-
-@register("stack_layers", ["v_lane_vertices", "v_surface", "v_oxygen"], _stack_sql())
+    rookery = SP.nearest_distance(grid, CL.filter_rookeries(_prey(spark), MIN_SAMPLES, EPS_KM, "occ_id"), 500.0,
+                                  out="Dist_to_Rookery_km")
+    orca = D.density_index(grid, _orca(spark))
+    layers = [(lane, SOURCES["lane_distance"]), (bathy, SOURCES["product_bathymetry"]), (oxy, SOURCES["product_oxygen"]),
+              (rookery, SOURCES["product_rookery_distance"]), (orca, SOURCES["product_orca_density"]),
+              (q_nursery_layer.__wrapped__(spark, sf), SOURCES["nursery_layer"])]
+    written = [materialize(layer.select("lat_idx", "lon_idx", *values), "layer") for layer, values in layers]
+    return FE.stack_layers(written, ["lat_idx", "lon_idx"])
+
+
+def _stack_sql(alias: str) -> str:
+    """The stack as a grouped union; ``with recursive`` parts stay inside their own subquery."""
+    parts = []
+    for n, (key, values) in enumerate(SOURCES.items()):
+        cols = ", ".join(v if v in values else f"cast(null as double) as {v}" for v in LAYERS)
+        parts.append(f"select lat_idx, lon_idx, {cols} from ({RAW_ORACLES[key]}) {alias}{n}")
+    return (f"select lat_idx, lon_idx, {', '.join(f'max({v}) as {v}' for v in LAYERS)} from ("
+            + " union all ".join(parts) + ") u group by 1, 2")
+
+
+@register("stack_layers", STATIC_VIEWS, _stack_sql("l"))
 def q_stack(spark, sf):
-    """Lane distance, depth, slope and bottom oxygen as one row per cell."""
-    return report(_static_layers(spark))
+    """All static layers as one row per cell."""
+    return report(_static_layers(spark, sf))
 
 
 def _points(spark, buffer_km: float = 5.0):
     presence = S.presence_points(spark.table("v_tracks"), spark.table("v_individuals"))
     absence = S.generate_absence(presence, BBOX, buffer_km)
-    return FE.combine_presence_absence(presence, absence)
+    p = presence.select(F.col("event_id").cast("string").alias("point_id"), F.col("life_stage").alias("Life_Stage"),
+                        F.col("ts").alias("Date"), "lon", "lat")
+    a = absence.select(F.concat_ws(":", "Life_Stage", F.col("attempt").cast("string")).alias("point_id"),
+                       "Life_Stage", "lon", "lat")
+    return FE.combine_presence_absence(p, a)
 
 
 COMBINED_SQL = (
@@ -110,15 +145,14 @@ def q_extract(spark, sf):
     return report(out.select("event_id", "lat_idx", "lon_idx", "Fishing_Effort_h_km2"))
 
 
-@register("product_training_table", ["v_tracks", "v_individuals", "v_effort", "v_lane_vertices", "v_surface",
-                                     "v_oxygen"],
-          f"with {PRESENCE_SQL}, {_combined_sql()}, {EFFORT_LAYER_SQL}, st as ({_stack_sql()}), "
+@register("product_training_table", ["v_tracks", "v_individuals", "v_effort", *STATIC_VIEWS],
+          f"with {PRESENCE_SQL}, {_combined_sql()}, {EFFORT_LAYER_SQL}, st as ({_stack_sql('s')}), "
           "pts as (select *, cast(date_trunc('week', Date) as date) + 6 as week, "
           "cast(floor((lat - 25.0) / 0.1 + 0.5) as int) as lat_idx, "
           "cast(floor((lon - -130.0) / 0.1 + 0.5) as int) as lon_idx from pf) "
           "select p.point_id, p.Shark_Presence_Status, p.Life_Stage, p.Date, round(p.lon, 9) + 0.0 as lon, "
           "round(p.lat, 9) + 0.0 as lat, p.Month, p.Week_of_Year, p.Season, p.lat_idx, p.lon_idx, "
-          "st.Dist_to_Shipping_Lane_km, st.Depth_m, st.Slope_deg, st.Oxygen_bottom_ml_L, "
+          f"{', '.join(f'st.{v}' for v in LAYERS)}, "
           "round(e.Fishing_Effort_h_km2, 9) + 0.0 as Fishing_Effort_h_km2 from pts p "
           "left join st on p.lat_idx = st.lat_idx and p.lon_idx = st.lon_idx "
           "left join eff e on p.week = e.week and p.lat_idx = e.lat_idx and p.lon_idx = e.lon_idx")
@@ -127,6 +161,6 @@ def q_training(spark, sf):
     (stacked per cell) and weekly fishing effort."""
     pts = _points(spark)
     effort = T.effort_grid(C.filter_gear(spark.table("v_effort"))).drop("n_records")
-    out = FE.extract_features(pts, dynamic=[effort], static=[_static_layers(spark)], date_col="Date")
+    out = FE.extract_features(pts, dynamic=[effort], static=[_static_layers(spark, sf)], date_col="Date")
     return report(out.select("point_id", "Shark_Presence_Status", "Life_Stage", "Date", "lon", "lat", "Month",
                              "Week_of_Year", "Season", "lat_idx", "lon_idx", *LAYERS, "Fishing_Effort_h_km2"))

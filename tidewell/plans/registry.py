@@ -35,6 +35,7 @@ def register(key: str, views=(), oracle: str | None = None):
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         if key in QUERIES:
             raise KeyError(f"duplicate query key {key}")
         QUERIES[key] = run
