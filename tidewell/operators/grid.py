@@ -24,7 +24,7 @@ def target_grid(spark: SparkSession, bbox: dict = tf.DEFAULT_BBOX,
     n_lat = axis_length(bbox["min_lat"], bbox["max_lat"], res)
     n_lon = axis_length(bbox["min_lon"], bbox["max_lon"], res)
     n = n_lat * n_lon
-    parts = num_partitions or max(1, min(spark.sparkContext.defaultParallelism * 4, n // 250_000 + 1))
+    parts = num_partitions or n // 250_000 + 1
     return (spark.range(0, n, 1, parts)
             .select((F.col("id") / n_lon).cast("int").alias("lat_idx"),
                     (F.col("id") % n_lon).cast("int").alias("lon_idx"))
@@ -78,7 +78,7 @@ def absence_candidates(spark: SparkSession, targets: DataFrame, bbox: dict,
         n = int(row["n_target"]) * attempts_per_target
         if n <= 0:
             continue
-        parts = max(1, min(spark.sparkContext.defaultParallelism * 4, n // 200_000 + 1))
+        parts = n // 200_000 + 1
         frames.append(spark.range(0, n, 1, parts).select(
             F.lit(row["stage"]).alias("stage"), F.col("id").alias("attempt"),
             F.lit(int(row["n_target"])).cast("bigint").alias("n_target")))

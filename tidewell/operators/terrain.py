@@ -34,8 +34,9 @@ def densify_weeks(layer: DataFrame, grid: DataFrame, week_col: str = "week", lo=
     """Every (week, cell) between the layer's first and last week, left-joined.
 
     The week range is two scalars; each grid cell explodes its own week
-    sequence (a generator spread over the grid's partitions, no Cartesian
-    product), then one equi-join brings the values. ``lo``/``hi`` (Sundays)
+    sequence (a generator, no Cartesian product), then one equi-join brings
+    the values. Cells are dealt to as many tasks as the session has shuffle
+    partitions first: a row of cells becomes hundreds of weeks. ``lo``/``hi`` (Sundays)
     override the range taken from the layer.
     """
     if lo is None or hi is None:
@@ -43,7 +44,9 @@ def densify_weeks(layer: DataFrame, grid: DataFrame, week_col: str = "week", lo=
         lo, hi = b["lo"], b["hi"]
     if lo is None:
         return layer
-    spine = grid.select("lat_idx", "lon_idx", F.explode(F.sequence(
+    tasks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = grid.select("lat_idx", "lon_idx").repartition(tasks, "lat_idx", "lon_idx")
+    spine = dealt.select("lat_idx", "lon_idx", F.explode(F.sequence(
         F.lit(lo), F.lit(hi), F.expr("interval 7 days"))).alias(week_col))
     return spine.join(layer, [week_col, "lat_idx", "lon_idx"], "left")
 

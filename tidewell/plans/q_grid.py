@@ -166,9 +166,9 @@ def q_bathymetry(spark, sf):
     return report(out.select("lat_idx", "lon_idx", "Depth_m", "Slope_deg"))
 
 
-def _cube_weekly_sql(out: str, with_gradient: bool) -> str:
+def _cube_weekly_sql(out: str, with_gradient: bool, grid: str = GRID05, h: float = H_KM_05, last: int = 40) -> str:
     sql = (
-        f"with {GRID05}, {linear_map_sql('lat_', 'v_cube', 'lat', 'grid', 'lat_idx')}, "
+        f"with {grid}, {linear_map_sql('lat_', 'v_cube', 'lat', 'grid', 'lat_idx')}, "
         f"{linear_map_sql('lon_', 'v_cube', 'lon', 'grid', 'lon_idx')}, "
         f"r as ({bilinear_sql('v_cube', ['value'], ['time'])}), "
         "w as (select cast(date_trunc('week', time) as date) + 6 as week, lat_idx, lon_idx, avg(value) as v "
@@ -181,10 +181,10 @@ def _cube_weekly_sql(out: str, with_gradient: bool) -> str:
         return sql + f" select week, lat_idx, lon_idx, round(v, 9) + 0.0 as {out} from d"
     return sql + (
         ", dd as (select week, lat_idx, lon_idx, v, "
-        f"case when lon_idx = 0 then (lead(v) over wr - v) / {H_KM_05!r} when lon_idx = 40 then "
-        f"(v - lag(v) over wr) / {H_KM_05!r} else (lead(v) over wr - lag(v) over wr) / {2.0 * H_KM_05!r} end as dx, "
-        f"case when lat_idx = 0 then (lead(v) over wc - v) / {H_KM_05!r} when lat_idx = 40 then "
-        f"(v - lag(v) over wc) / {H_KM_05!r} else (lead(v) over wc - lag(v) over wc) / {2.0 * H_KM_05!r} end as dy "
+        f"case when lon_idx = 0 then (lead(v) over wr - v) / {h!r} when lon_idx = {last} then "
+        f"(v - lag(v) over wr) / {h!r} else (lead(v) over wr - lag(v) over wr) / {2.0 * h!r} end as dx, "
+        f"case when lat_idx = 0 then (lead(v) over wc - v) / {h!r} when lat_idx = {last} then "
+        f"(v - lag(v) over wc) / {h!r} else (lead(v) over wc - lag(v) over wc) / {2.0 * h!r} end as dy "
         "from d window wr as (partition by week, lat_idx order by lon_idx), "
         "wc as (partition by week, lon_idx order by lat_idx)) "
         f"select week, lat_idx, lon_idx, round(v, 9) + 0.0 as {out}, "
@@ -199,9 +199,9 @@ def _sunday(t):
     return d + datetime.timedelta(days=6 - d.weekday())
 
 
-def cube_product(spark, out: str, with_gradient: bool, res: float = 0.5):
+def cube_product(spark, out: str, with_gradient: bool, res: float = tf.DEFAULT_RESOLUTION):
     """Resample the daily cube (J9) -> weekly mean (A1) -> dense weeks x grid
-    (W6) -> optional per-week gradient (W1)."""
+    (W6) -> optional per-week gradient (W1). Not rounded."""
     grid = G.target_grid(spark, BBOX, res)
     cube = spark.table("v_cube")
     # only cells with all four corners carry a value; the week range is the
@@ -212,32 +212,45 @@ def cube_product(spark, out: str, with_gradient: bool, res: float = 0.5):
     if with_gradient:
         n_lat, n_lon = G.grid_shape(BBOX, res)
         dense = TR.gradient_magnitude(dense, out, res, n_lat, n_lon, keys=["week"], out="SST_grad_C_km")
-        return report(dense.select("week", "lat_idx", "lon_idx", out, "SST_grad_C_km"))
-    return report(dense.select("week", "lat_idx", "lon_idx", out))
+        return dense.select("week", "lat_idx", "lon_idx", out, "SST_grad_C_km")
+    return dense.select("week", "lat_idx", "lon_idx", out)
 
 
 @register("product_sst", ["v_cube"], _cube_weekly_sql("SST_mean_C", True))
 def q_sst(spark, sf):
     """Q1: SST weekly mean and front gradient on the 0.5-degree grid."""
-    return cube_product(spark, "SST_mean_C", True)
+    return report(cube_product(spark, "SST_mean_C", True, 0.5))
+
+
+@register("product_sst_weeks", ["v_cube"],
+          "select week, count(*) as n_cells, count(SST_mean_C) as n_values, round(avg(SST_mean_C), 6) as sst_mean, "
+          "round(max(SST_grad_C_km), 9) + 0.0 as grad_max, count(SST_grad_C_km) as n_grad from ("
+          + _cube_weekly_sql("SST_mean_C", True, GRID01, H_KM_01, 200) + ") p group by week")
+def q_sst_weeks(spark, sf):
+    """Q1 on the whole 0.1-degree grid (13.9 M week-cells), reported week by week."""
+    p = cube_product(spark, "SST_mean_C", True)
+    return p.groupBy("week").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count("SST_mean_C").alias("n_values"),
+        F.round(F.avg("SST_mean_C"), 6).alias("sst_mean"), tf.rnd(F.max("SST_grad_C_km"), 9).alias("grad_max"),
+        F.count("SST_grad_C_km").alias("n_grad"))
 
 
 @register("product_chlorophyll", ["v_cube"], _cube_weekly_sql("Chla_mean_mg_m3", False))
 def q_chl(spark, sf):
     """Q2: chlorophyll weekly mean."""
-    return cube_product(spark, "Chla_mean_mg_m3", False)
+    return report(cube_product(spark, "Chla_mean_mg_m3", False, 0.5))
 
 
 @register("product_sea_level", ["v_cube"], _cube_weekly_sql("SSHA_mean_m", False))
 def q_ssha(spark, sf):
     """Q3: sea-level anomaly weekly mean."""
-    return cube_product(spark, "SSHA_mean_m", False)
+    return report(cube_product(spark, "SSHA_mean_m", False, 0.5))
 
 
 @register("product_salinity", ["v_cube"], _cube_weekly_sql("Salinity_mean_PSU", False))
 def q_sss(spark, sf):
     """Q4: salinity weekly mean."""
-    return cube_product(spark, "Salinity_mean_PSU", False)
+    return report(cube_product(spark, "Salinity_mean_PSU", False, 0.5))
 
 
 OXY_SRC = ("ox as (select 25.0 + cast(lat_idx as double) * 1.0 as lat, -130.0 + cast(lon_idx as double) * 1.0 as lon, "
