@@ -30,6 +30,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,9 +212,45 @@ def decode(docs: DataFrame, ids_col: str = "token_ids", out_col: str = "decoded"
 
 
 def encode_checked(docs: DataFrame, text_col: str = "text", model: bytes | None = None) -> DataFrame:
-    """``docs`` with ``token_ids``, ``n_tokens`` and ``round_trip``: whether the ids decode to the text."""
+    """``docs`` with ``token_ids``, ``n_tokens`` and ``round_trip``: whether the ids decode to the text.
+
+    Encoding and decoding share one pass, and the decoded text stays in its task.
+    """
+    data = model or read_model()
     plain, at = own_names(docs)
-    both = decode(encode(plain, at[text_col], model=model), model=model)
-    kept = [F.col(n).alias(c) for c, n in at.items() if c not in ("token_ids", "n_tokens", "round_trip")]
-    return both.select(*kept, "token_ids", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
-                       F.col("decoded").eqNullSafe(F.col(at[text_col])).alias("round_trip"))
+    kept = {c: n for c, n in at.items() if c not in ("token_ids", "n_tokens", "round_trip")}
+    text, carried = at[text_col], list(kept.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(data)
+        for whole in batches:
+            for batch in _by_chars(whole, text):  # small batches out: a task holds few ids at a time
+                texts = batch.column(text).to_pylist()
+                ids = encoder.encode_all(texts)
+                same = [t is None if x is None else encoder.vocabulary.decode(x.tolist()) == t
+                        for x, t in zip(ids, texts, strict=True)]
+                counts = np.array([0 if x is None else len(x) for x in ids], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(n) for n in carried], _as_lists(ids, counts), pa.array(counts), pa.array(same, pa.bool_())],
+                    names=[*carried, "token_ids", "n_tokens", "round_trip"])
+
+    fields = ", ".join([f"{n} {t}" for n, t in plain.dtypes if n in carried]
+                       + ["token_ids array<int>", "n_tokens long", "round_trip boolean"])
+    found = plain.mapInArrow(run, fields)
+    return found.select(*[F.col(n).alias(c) for c, n in kept.items()], "token_ids", "n_tokens", "round_trip")
+
+
+def _by_chars(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``CHUNK`` bytes of text."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
+    part = (np.cumsum(sizes) - sizes) // CHUNK
+    cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), len(sizes)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
+def _as_lists(ids: list[np.ndarray | None], counts: np.ndarray) -> pa.ListArray:
+    ends = np.cumsum(counts)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32),
+                       mask=np.array([x is None for x in ids] + [False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])))
