@@ -2,10 +2,14 @@
 
 Two zstandard dictionaries are built, one from good and one from bad labelled
 text. A text is compressed against both, block by block, so that the
-dictionary matters in every part of a long text; the normalised difference of
-the two compressed sizes, ``(bad - good) / (bad + good)``, is positive when
-the good dictionary helps more. A one-variable logistic regression on
-labelled rows that built no dictionary turns it into a probability.
+dictionary matters in every part of a long text. The normalised difference of
+the two compressed sizes, ``(bad - good) / bytes``, is positive when the good
+dictionary helps more, and near zero for text that needs neither, such as one
+word over and over. Labelled rows that built no dictionary calibrate it: a
+monotone fit (pool adjacent violators) gives the share of good text at each
+difference, one fit for each class of text sizes, as a short text's difference
+says less; a small part of a logistic fit keeps the order of texts with the
+same share.
 
 Fitting uses a bounded sample: ``max_rows`` labelled rows of each class (those
 with the smallest hash of their id) and of each the ``span`` characters from a
@@ -34,12 +38,15 @@ from pyspark.sql import functions as F
 
 from .common import as_blocks
 
-MAX_ROWS = 1000
-SPAN = 8192
+MAX_ROWS = 3000
+SPAN = 4096
 DICT_BYTES = 65536
 BLOCK = 2048
 LEVEL = 3
 THRESHOLD = 0.3
+SMOOTH = 0.02
+SIZES = (200, 1000)
+LEAST_ROWS = 20
 
 
 @dataclass(frozen=True)
@@ -49,6 +56,20 @@ class QualityModel:
     bad: bytes | None
     weight: float
     bias: float
+    steps: tuple[tuple[tuple[float, ...], tuple[float, ...]], ...] = ()  # by size class: differences, shares of good
+
+    def score(self, texts) -> np.ndarray:
+        x = np.array([size_difference(t, self.good, self.bad) for t in texts], dtype=np.float64)
+        smooth = 1 / (1 + np.exp(-np.clip(self.weight * x + self.bias, -30, 30)))
+        if not self.steps:
+            return smooth
+        size = size_class(texts)
+        shares = [np.interp(x, *fit) for fit in self.steps]
+        return (1 - SMOOTH) * np.choose(size, shares) + SMOOTH * smooth
+
+
+def size_class(texts) -> np.ndarray:
+    return np.searchsorted(SIZES, [len(t.encode("utf-8")) if t else 0 for t in texts], side="right")
 
 
 def held_out(id_col: str) -> Column:
@@ -84,15 +105,14 @@ def _compressors(good: bytes, bad: bytes):
 
 
 def size_difference(text: str | None, good: bytes | None, bad: bytes | None) -> float:
-    """Normalised difference of the whole text's two compressed sizes, -1 to 1."""
+    """Difference of the whole text's two compressed sizes over its own size."""
     if not text or good is None or bad is None:
         return 0.0
     with_good, with_bad = _compressors(good, bad)
-    g = b = 0
-    for block in as_blocks(text.encode("utf-8"), BLOCK):
-        g += len(with_good.compress(block))
-        b += len(with_bad.compress(block))
-    return (b - g) / (b + g)
+    data, difference = text.encode("utf-8"), 0
+    for block in as_blocks(data, BLOCK):
+        difference += len(with_bad.compress(block)) - len(with_good.compress(block))
+    return difference / len(data)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -111,6 +131,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3)
     return float(beta[0] / scale), float(beta[1])
 
 
+def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Pool adjacent violators: differences and the share of ones there, never falling; half a row of either class added."""
+    pools: list[list[float]] = []  # ones, weight, first and last difference
+    for i in np.argsort(x, kind="stable"):
+        pools.append([y[i] * w[i], w[i], x[i], x[i]])
+        while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
+            ones, weight, _, last = pools.pop()
+            pools[-1] = [pools[-1][0] + ones, pools[-1][1] + weight, pools[-1][2], last]
+    share = np.maximum.accumulate([(ones + 0.5) / (weight + 1) for ones, weight, _, _ in pools])
+    points = [(float(a), float(s)) for (_, _, *ends), s in zip(pools, share, strict=True) for a in ends]
+    return tuple(a for a, _ in points), tuple(s for _, s in points)
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "quality", max_rows: int = MAX_ROWS, span: int = SPAN) -> QualityModel:
     """Dictionaries and calibration from the labelled rows that aren't held out."""
@@ -135,22 +168,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     prior = math.log((rates[1] + 1) / (rates[0] + 1))
     if good is None or bad is None:
         return QualityModel(None, None, 0.0, prior)
-    x = np.array([size_difference(t, good, bad) for k in (0, 1) for t in check[k]])
+    texts = check[0] + check[1]
+    x = np.array([size_difference(t, good, bad) for t in texts])
     y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
     share = {k: rates[k] / sum(rates.values()) for k in (0, 1)}  # the sample is balanced, the labels are not
     w = np.where(y == 1, share[1] / len(check[1]), share[0] / len(check[0])) * len(y)
-    weight, bias = _logistic(x, y, w)
-    return QualityModel(good, bad, weight, bias)
+    steps, size = [], size_class(texts)
+    for k in range(len(SIZES) + 1):
+        own = size == k
+        if own.sum() < LEAST_ROWS:  # too few for a fit of their own
+            own = np.ones(len(x), dtype=bool)
+        steps.append(_monotone(x[own], y[own], w[own]))
+    return QualityModel(good, bad, *_logistic(x, y, w), tuple(steps))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with the probability that a text is good."""
-    good, bad, weight, bias = model.good, model.bad, model.weight, model.bias
-
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        x = np.array([size_difference(t, good, bad) for t in texts], dtype=np.float64)
-        return pd.Series(1 / (1 + np.exp(-np.clip(weight * x + bias, -700, 700))))
+        return pd.Series(model.score(texts))
 
     return docs.withColumn(score_col, score(F.col(text_col)))
 
