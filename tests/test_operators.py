@@ -186,13 +186,13 @@ def test_block_rank_and_first_n(spark):
         map(tuple, want[want["rank"] <= 700][["g", "o"]].values))
 
 
-@pytest.mark.parametrize("bins", [256, 4])
-def test_exact_median_matches_numpy(spark, bins):
+@pytest.mark.parametrize(("bins", "direct"), [(256, 10_000), (256, 0), (4, 30)])
+def test_exact_median_matches_numpy(spark, bins, direct):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"k": rng.integers(0, 5, 999), "v": rng.integers(0, 20, 999).astype(float)})
     pdf.loc[pdf["k"] == 4, "v"] = rng.normal(size=(pdf["k"] == 4).sum())  # many distinct values
     pdf = pd.concat([pdf, pd.DataFrame({"k": [9, 9], "v": [1.0, 2.0]}), pd.DataFrame({"k": [8], "v": [5.0]})])
-    got = T.exact_median(spark.createDataFrame(pdf), ["k"], "v", "m", bins=bins).toPandas().set_index("k")["m"].sort_index()
+    got = T.exact_median(spark.createDataFrame(pdf), ["k"], "v", "m", bins, direct).toPandas().set_index("k")["m"].sort_index()
     want = pdf.groupby("k")["v"].median().sort_index()
     assert np.allclose(got.to_numpy(), want.to_numpy())
 

@@ -15,52 +15,68 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from .lineage import materialize
 
 WEEKLY_METHODS = ("mean", "sum", "median", "max", "min")
 
 
 MEDIAN_BINS = 256
+# groups with at most this many distinct values are ranked by one window
+MEDIAN_DIRECT = 10_000
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                 bins: int = MEDIAN_BINS) -> DataFrame:
+                 bins: int = MEDIAN_BINS, direct: int = MEDIAN_DIRECT) -> DataFrame:
     """Exact median per group (even counts averaged), with bounded tasks.
 
-    Equal values are pre-counted (map-side combine). Each group's distinct
-    values are cut into ``bins`` value ranges at approximate quantiles (a
-    mergeable, bounded sketch; the answer stays exact because any monotone
-    split works). Exact running counts over the few bins of a group locate
-    the bin(s) holding the middle position(s); only those bins' values are
-    ranked, so no task sorts a whole hot group.
+    Equal values are pre-counted (map-side combine), once. A group with at
+    most ``direct`` distinct values is ranked by one window. The distinct
+    values of any larger group are cut into ``bins`` ranges at approximate
+    quantiles (a mergeable, bounded sketch; the answer stays exact because
+    any monotone split works); exact running counts over the bins locate the
+    one(s) holding the middle position(s), and only those are ranked, so no
+    task sorts a whole hot group.
     """
     keys = list(keys)
-    counts = (df.filter(F.col(value).isNotNull())
-                .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    qs = [i / bins for i in range(1, bins)]
-    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, qs, 10000).alias("_b"),
-                                       F.sum("_c").alias("_n"))
+    counts = materialize(df.filter(F.col(value).isNotNull())
+                           .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")), "median-counts")
+    sizes = materialize(counts.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")), "median-sizes")
+    small = counts.join(sizes.filter(F.col("_d") <= direct), keys).withColumn("_lo", F.lit(1).cast("bigint"))
+    picked = _middle_values(small, keys, [], value)
+    large = sizes.filter(F.col("_d") > direct)
+    if not large.isEmpty():
+        picked = picked.unionByName(_middle_values(_middle_bins(counts.join(large, keys), keys, value, bins),
+                                                   keys, ["_bin"], value))
+    return picked.groupBy(*keys).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out))
+
+
+def _middle_positions():
+    """1-based positions of the middle element(s) of ``_n``."""
+    return F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+
+
+def _middle_values(rows: DataFrame, keys: list[str], within: list[str], value: str) -> DataFrame:
+    """``_v1`` and ``_v2`` where a value covers a middle position; ``_lo`` is the first position of the rows' part."""
+    p1, p2 = _middle_positions()
+    w = Window.partitionBy(*keys, *within).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (rows.withColumn("_vhi", F.col("_lo") - 1 + F.sum("_c").over(w))
+                  .withColumn("_vlo", F.col("_vhi") - F.col("_c") + 1))
+    return ranked.select(*keys,
+                         F.when((F.col("_vlo") <= p1) & (F.col("_vhi") >= p1), F.col(value)).alias("_v1"),
+                         F.when((F.col("_vlo") <= p2) & (F.col("_vhi") >= p2), F.col(value)).alias("_v2"))
+
+
+def _middle_bins(counts: DataFrame, keys: list[str], value: str, bins: int) -> DataFrame:
+    """Of each group the bins that hold its middle, with ``_lo``, the bin's first position."""
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx(value, [i / bins for i in range(1, bins)], 10000).alias("_b"))
     binned = (counts.join(bounds, keys)
-                    .withColumn("_bin", F.size(F.filter("_b", lambda b: b < F.col(value))))
-                    .drop("_b"))
+                    .withColumn("_bin", F.size(F.filter("_b", lambda b: b < F.col(value)))).drop("_b"))
     per_bin = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
-    wb = Window.partitionBy(*keys).orderBy("_bin")
-    per_bin = (per_bin.withColumn("_hi", F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-                      .withColumn("_lo", F.col("_hi") - F.col("_bc") + 1))
-    # positions (1-based) of the middle element(s)
-    p1 = F.floor((F.col("_n") + 1) / 2)
-    p2 = F.floor(F.col("_n") / 2) + 1
-    target = per_bin.filter(((F.col("_lo") <= p1) & (F.col("_hi") >= p1))
-                            | ((F.col("_lo") <= p2) & (F.col("_hi") >= p2))).select(*keys, "_bin", "_lo", "_n")
-    w = Window.partitionBy(*keys, "_bin").orderBy(value)
-    ranked = (binned.drop("_n").join(target, [*keys, "_bin"])
-                    .withColumn("_vhi", F.col("_lo") - 1
-                                + F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                    .withColumn("_vlo", F.col("_vhi") - F.col("_c") + 1))
-    picked = ranked.select(
-        *keys,
-        F.when((F.col("_vlo") <= p1) & (F.col("_vhi") >= p1), F.col(value)).alias("_v1"),
-        F.when((F.col("_vlo") <= p2) & (F.col("_vhi") >= p2), F.col(value)).alias("_v2"))
-    return picked.groupBy(*keys).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out))
+    wb = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    p1, p2 = _middle_positions()
+    per_bin = (per_bin.withColumn("_hi", F.sum("_bc").over(wb)).withColumn("_lo", F.col("_hi") - F.col("_bc") + 1)
+                      .filter(((F.col("_lo") <= p1) & (F.col("_hi") >= p1)) | ((F.col("_lo") <= p2) & (F.col("_hi") >= p2))))
+    return binned.join(per_bin.select(*keys, "_bin", "_lo"), [*keys, "_bin"])
 
 
 def _agg_expr(method: str, value: str, out: str):
