@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import functions as tf
 from ..operators import columns as C
 from ..operators import grid as G
+from ..operators import ranking as RK
 from ..operators import spatial as SP
 from ..operators import synthetic as S
 from ..operators import temporal as T
@@ -218,6 +219,60 @@ def q_read_points(spark, sf):
     return R.read_points(spark, path).select("event_id", "life_stage", "lon", "lat")
 
 
+@register("write_cube", ["v_cube"],
+          "with w as (select cast(date_trunc('week', time) as date) + 6 as week, lat, lon, avg(value) as value "
+          "from v_cube group by 1, 2, 3), l as (select max(week) as last from w) "
+          "select week, lat, lon, round(case when week = l.last then value + 1.0 else value end, 9) + 0.0 as value from w, l")
+def q_write_cube(spark, sf):
+    """K3: overwriting with one week's rows replaces that week and no other."""
+    wk = T.aggregate_weekly(spark.table("v_cube"), "value", "mean", fill=False)
+    path = K.write_cube(wk, K.scratch_path(spark, "cube"))
+    cube = R.read_cube(spark, path)
+    last = cube.agg(F.max("week")).first()[0]
+    changed = wk.filter(F.col("week") == F.lit(last)).withColumn("value", F.col("value") + 1.0)
+    K.write_cube(changed, path)
+    return report(R.read_cube(spark, path).select("week", "lat", "lon", "value"))
+
+
+@register("write_points", ["v_tracks", "v_individuals"],
+          f"with {PRESENCE_SQL} select event_id, lon, lat from presence where life_stage = 'Juvenile'")
+def q_write_points(spark, sf):
+    """K1: one partition of a point layer, read by its own folder."""
+    p = S.presence_points(spark.table("v_tracks"), spark.table("v_individuals"))
+    path = K.write_points(p.select("event_id", "lon", "lat", "life_stage"), K.scratch_path(spark, "points"),
+                          partition_by="life_stage")
+    return R.read_points(spark, f"{path}/life_stage=Juvenile").select("event_id", "lon", "lat")
+
+
+@register("write_raster", ["v_surface"],
+          "select cast(lat_idx as int) as lat_idx, cast(lon_idx as int) as lon_idx, "
+          "round(coalesce(sst, -9999.0), 9) + 0.0 as stored from v_surface")
+def q_write_raster(spark, sf):
+    """K2: a raster band as stored, missing values as the nodata value."""
+    path = K.write_raster(spark.table("v_surface"), K.scratch_path(spark, "raster"), "sst")
+    return report(R.read_raster(spark, path, nodata=None).select(
+        F.col("lat_idx").cast("int").alias("lat_idx"), F.col("lon_idx").cast("int").alias("lon_idx"),
+        F.col("value").alias("stored")))
+
+
+@register("write_csv", ["v_tracks"],
+          "select event_id, shark_id, ts, round(lon, 9) + 0.0 as lon, round(lat, 9) + 0.0 as lat from v_tracks")
+def q_write_csv(spark, sf):
+    """K4: a table as CSV with a header, read back with its schema."""
+    t = spark.table("v_tracks").select("event_id", "shark_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "lon", "lat")
+    path = K.write_csv(t, K.scratch_path(spark, "csv"))
+    return report(spark.read.option("header", True).option("timestampNTZFormat", K.TS_FORMAT).schema(t.schema).csv(path))
+
+
+@register("first_n", ["v_tracks"],
+          "select event_id, shark_id from (select event_id, shark_id, row_number() over (partition by shark_id "
+          "order by event_id) as rn from v_tracks) q where rn <= 5")
+def q_first_n(spark, sf):
+    """The first five pings of every individual, in order."""
+    t = spark.table("v_tracks").select("event_id", "shark_id").withColumn("n", F.lit(5))
+    return RK.first_n(t, "event_id", "n", ["shark_id"]).select("event_id", "shark_id")
+
+
 META_SQL = " union all ".join(
     f"select '{name}' as layer, '{unit}' as unit, 'EPSG:4326' as crs, cast(0.1 as double) as resolution_deg, "
     f"cast(-130.0 as double) as min_lon, cast(-110.0 as double) as max_lon, cast(25.0 as double) as min_lat, "
