@@ -112,7 +112,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         dice = 2.0 * shared / (F.size("pairs") + len(grams))
         # sorted by similarity, then the first name: struct order with the similarity negated
         scored.append(F.when(F.col("words").between(least, most), F.struct((-dice).alias("minus"), F.lit(name).alias("license"))))
-    best = computed(paired, "id", "kind", "first_line", "words", F.least(*scored).alias("best"))
+    first = F.least(*scored) if len(scored) > 1 else scored[0]
+    best = computed(paired, "id", "kind", "first_line", "words", first.alias("best"))
     found = best.filter(F.col("best.minus") <= -threshold)
     return found.select(F.col("id").alias(id_col), "kind", F.col("first_line").cast("int").alias("first_line"), "words",
                         F.col("best.license").alias("license"), (-F.col("best.minus")).alias("dice"))

@@ -95,9 +95,7 @@ def _links_within(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.
         held, shift = held + len(near), shift + 1
         if held > HELD_LINKS:
             u, v = _as_stars(np.concatenate(ends_u), np.concatenate(ends_v))
-            ends_u, ends_v, held = [u], [v], len(u)
-            if held > HELD_LINKS // 2:  # a chunk of many small groups: nothing more to fold
-                held = -(1 << 60)
+            ends_u, ends_v, held = [u], [v], len(u)  # fewer than rows, and a batch has few of those
     return _as_stars(np.concatenate(ends_u), np.concatenate(ends_v))
 
 
