@@ -1,6 +1,7 @@
 """Operators on documents, each against a brute-force version, with every kind of odd row."""
 
 import random
+import re
 
 import pytest
 import xxhash
@@ -129,8 +130,6 @@ def test_quality_separates_and_survives_odd_rows(spark, docs, clashing, rows, em
 # licences
 
 def test_licences_against_brute_force(spark, clashing, empty):
-    import re
-
     notice = licenses.TEMPLATES["MIT-notice"]
     half = notice.split(" with")[0]
     texts = ["Released under the MIT License.", "intro\nreleased UNDER the mit license\nend", "released by the MIT people",
@@ -282,8 +281,6 @@ def test_links_of_any_distance(spark, bits):
 # line deduplication
 
 def slow_line_dedup(rows, window=2, k=3, min_chars=80):
-    import re
-
     pattern = re.compile(linededup.unit_pattern())
     cut, whole = {}, {}
     for key in {(r[0], r[1]) for r in rows}:
@@ -356,6 +353,28 @@ def test_line_dedup_against_brute_force(docs, rows, clashing, empty):
     assert linededup.drop_repeated_lines(empty).count() == 0
 
 
+def test_passages_that_repeat_are_found_wherever_they_stand(spark):
+    rng = random.Random(12)
+    texts = {i: "\n".join(words(rng, 40) + "." for _ in range(8)) for i in range(40)}
+    places = {}
+    for k in range(4):
+        passage = ". ".join(words(rng, 9).replace(".", "") for _ in range(7)) + "."  # 63 words
+        for n, i in enumerate(rng.sample(sorted(texts), 5)):
+            parts = re.split("(\n| )", texts[i])
+            at = rng.randrange(0, len(parts), 2)
+            parts.insert(at, passage + ("\n" if n % 2 else " "))  # at any word, in the middle of a line
+            texts[i] = "".join(parts)
+            places.setdefault(passage, []).append(i)
+    out = {r.doc_id: r for r in linededup.drop_repeated_lines(
+        spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()}
+    for passage, ids in places.items():
+        fives = [" ".join(passage.split()[j:j + 5]) for j in range(59)]
+        for i in ids:
+            left = sum(f in " ".join(out[i].text.split()) for f in fives)
+            assert left == 59 if i == min(ids) else left <= 12, (i, left)
+    assert all(r.removed_units == 0 for i, r in out.items() if not any(i in ids for ids in places.values()))
+
+
 def test_units_are_the_text(docs):
     cut = docs.filter("text rlike '[^ \n\t\r]'").select("text", F.array_join(linededup.line_units(F.col("text")), "").alias("all"))
     assert all(r["all"] == r["text"] for r in cut.collect())
