@@ -12,13 +12,13 @@ hash is that of its trimmed content.
   that holds ``window`` such shingles therefore keep the same fingerprint;
   runs that hold none are never touched.
 * Fingerprints that come at more than one position are joined to their
-  positions and extended both ways, unit by unit, by up to ``window`` units:
-  beyond that the guarantee places another fingerprint of the same run. Each
-  extension is itself a run, and runs with equal content are grouped by their
-  hash: the first position in the order (id, text hash, unit) stays, the
-  units of all later ones are deleted. Only the least position of a group is
-  ever aggregated, so a passage in a third of all documents costs no more
-  than its rows.
+  positions: the first in the order (id, text hash, unit) stays, the units of
+  all later ones are deleted. At the ends of a deleted stretch the shingle is
+  extended unit by unit, by up to ``window`` units: beyond that the guarantee
+  places another fingerprint of the same run. An extension is itself a run,
+  and again all but the first of equal content are deleted. Only the least
+  position of a group is ever aggregated, so a passage in a third of all
+  documents costs no more than its rows.
 
 DataFrame functions only. Texts are read once for the units and once when the
 deleted units are cut out; everything between is hashes.
@@ -33,7 +33,7 @@ runs too. Extra columns are kept; input columns called ``removed_units`` or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import computed, own_names, pinned
@@ -71,48 +71,65 @@ def _is_picked(hashes: Column, h: Column, i: Column, window: int) -> Column:
     return any_window
 
 
-def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars: int, window: int) -> DataFrame:
-    """``(id, th, units, picks)`` of ``docs(id, text)``: unit hashes and winnowed shingles."""
+def unit_table(docs: DataFrame, unit_words: int) -> DataFrame:
+    """``(row, id, th, units, lengths)`` of ``docs(id, text)``: the units' hashes and characters.
+
+    ``row`` numbers the rows; it is settled by writing the table.
+    """
     cut = computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words, 1).alias("u"))
-    hashed = computed(cut, "id", "th", F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
-                       F.transform("u", lambda x: F.length(x).cast("long")).alias("lengths"))
+    return cut.select(F.monotonically_increasing_id().alias("row"), "id", "th",
+                      F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
+                      F.transform("u", lambda x: F.length(x)).alias("lengths"))
+
 
+def fingerprints(units: DataFrame, shingle_units: int, min_chars: int, window: int) -> DataFrame:
+    """``(row, pos, h)``: the shingles that winnowing keeps, by the row and first unit."""
     def shingle(h: Column, i: Column) -> Column:
-        chars = sum((F.get("lengths", i + k) for k in range(1, shingle_units)), F.get("lengths", i))
+        chars = sum((F.get("lengths", i + k) for k in range(1, shingle_units)), F.get("lengths", i).cast("long"))
         return F.when(chars >= min_chars, F.struct(  # null at the end of the text
             i.alias("pos"), F.xxhash64(h, *[F.get("units", i + k) for k in range(1, shingle_units)]).alias("h")))
 
-    shingled = computed(hashed, "id", "th", "units",
-                         F.filter(F.transform("units", shingle), lambda s: s.isNotNull()).alias("shingles"))
-    keyed = computed(shingled, "id", "th", "units", "shingles", F.col("shingles.h").alias("hashes"))
-    return keyed.select("id", "th", "units", F.filter(
-        "shingles", lambda s, i: _is_picked(F.col("hashes"), s["h"], i, window)).alias("picks"))
+    shingled = computed(units, "row", F.filter(F.transform("units", shingle), lambda s: s.isNotNull()).alias("shingles"))
+    keyed = computed(shingled, "row", "shingles", F.col("shingles.h").alias("hashes"))
+    picks = F.filter("shingles", lambda s, i: _is_picked(F.col("hashes"), s["h"], i, window))
+    return keyed.select("row", F.explode(picks).alias("p")).select("row", "p.pos", "p.h")
+
+
+def _not_first(runs: DataFrame, run: str, pos: str) -> DataFrame:
+    """The rows of ``runs`` whose content comes at an earlier place too."""
+    place = F.struct("id", "th", pos)
+    least = (runs.groupBy(run).agg(F.min(place).alias("least"), F.count("*").alias("times"))
+                 .filter("times > 1").select(run, "least"))
+    return runs.join(least, run).filter(place > F.col("least")).drop("least")
 
 
 def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units: int = SHINGLE_UNITS,
                    min_chars: int = MIN_CHARS, window: int = WINDOW) -> DataFrame:
     """``(id, th, gone)``: the unit positions to delete, for documents that lose any."""
-    units = pinned(unit_table(docs, unit_words, shingle_units, min_chars, window), "units")
-    prints = units.select("id", "th", F.explode("picks").alias("p")).select("id", "th", "p.pos", "p.h")
+    units = pinned(unit_table(docs, unit_words), "units")
+    # nearly all rows of the job are prints: they carry a row number only
+    prints = fingerprints(units, shingle_units, min_chars, window)
     often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
-    found = prints.join(often, "h", "left_semi").groupBy("id", "th").agg(F.collect_set("pos").alias("found"))
-    whole = units.groupBy("id", "th").agg(F.first("units").alias("units"))
-    near = (found.alias("f").join(whole.alias("w"), F.col("f.id").eqNullSafe(F.col("w.id")) & (F.col("f.th") == F.col("w.th")))
-                 .select("f.id", "f.th", "w.units", F.explode("f.found").alias("pos")))
-    # runs [first, first + n): the shingle, and longer ones to the left and to the right
-    longer = F.array(*[F.struct((F.col("pos") + min(k, 0)).alias("first"), F.lit(shingle_units + abs(k)).alias("n"))
-                       for k in range(-window, window + 1)])
-    runs = (near.select("id", "th", "units", F.explode(longer).alias("r")).select("id", "th", "units", "r.*")
-                .filter((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.size("units")))
-                .select("id", "th", "first", "n", F.xxhash64("n", F.slice("units", F.col("first") + 1, F.col("n"))).alias("run")))
-    runs = pinned(runs, "runs")
-    place = F.struct("id", "th", "first")
-    least = (runs.groupBy("run").agg(F.min(place).alias("least"), F.count("*").alias("times"))
-                 .filter("times > 1").select("run", "least"))
-    later = runs.join(least, "run").filter(place > F.col("least"))
-    return (later.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
-                 .select("id", "th", F.array_distinct(F.flatten(F.transform(
-                     "runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))).alias("gone")))
+    found = pinned(prints.join(often, "h", "left_semi").join(units.select("row", "id", "th"), "row"), "found")
+    later = pinned(_not_first(found, "h", "pos"), "later")
+    # a shingle is extended on a side where no other deleted one covers the next unit; all its copies are, to compare
+    by_row = Window.partitionBy("row").orderBy("pos")
+    open_left = F.coalesce(F.lag("pos").over(by_row) < F.col("pos") - shingle_units, F.lit(True))
+    open_right = F.coalesce(F.lead("pos").over(by_row) > F.col("pos") + shingle_units, F.lit(True))
+    sides = F.array_compact(F.array(F.when(open_left, F.lit(-1)), F.when(open_right, F.lit(1))))
+    edges = later.select("h", sides.alias("sides")).select("h", F.explode("sides").alias("side")).distinct()
+    longer = (found.join(edges, "h").join(units.select("row", "units"), "row")
+                   .withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(1, window + 1)])))
+                   .withColumn("first", F.when(F.col("side") < 0, F.col("pos") - F.col("k")).otherwise(F.col("pos")))
+                   .withColumn("n", F.lit(shingle_units) + F.col("k"))
+                   .filter((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.size("units")))
+                   .select("id", "th", "first", "n", F.xxhash64("n", F.slice("units", F.col("first") + 1, F.col("n"))).alias("run")))
+    longer = _not_first(pinned(longer, "longer"), "run", "first")
+    runs = (later.select("id", "th", F.col("pos").alias("first"), F.lit(shingle_units).alias("n"))
+                 .unionByName(longer.select("id", "th", "first", "n")))
+    return (runs.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
+                .select("id", "th", F.array_distinct(F.flatten(F.transform(
+                    "runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))).alias("gone")))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
