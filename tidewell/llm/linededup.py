@@ -5,19 +5,23 @@ and after ``unit_words`` words, so that a passage is found wherever it begins.
 Units keep their trailing space; all units together are the text. A unit's
 hash is that of its trimmed content.
 
-* A shingle is ``shingle_units`` consecutive units with at least ``min_chars``
-  characters together; its hash is taken over its units' hashes.
+* A shingle is ``shingle_units`` consecutive units, or as many more as it takes
+  to reach ``min_chars`` characters together: short sentences, short lines and
+  single shouted words have shingles too. Where it ends depends on the text
+  behind its start only; its hash is taken over its units' hashes.
 * Winnowing keeps, in every window of ``window`` consecutive shingles of a
   document, the smallest hash (the leftmost of equals). Two copies of a run
-  that holds ``window`` such shingles therefore keep the same fingerprint;
-  runs that hold none are never touched.
+  that holds ``window`` shingles therefore keep the same fingerprint. With the
+  defaults that is every run of over 50 words of 2.6 letters or more on
+  average. Shorter runs that hold no fingerprint are left alone.
+* A whole line of ``min_chars`` characters or more is a fingerprint as well,
+  however few its units.
 * Fingerprints that come at more than one position are joined to their
   positions: the first in the order (id, text hash, unit) stays, the units of
   all later ones are deleted. At the ends of a deleted stretch the shingle is
-  extended unit by unit, by up to ``window`` units: beyond that the guarantee
-  places another fingerprint of the same run. An extension is itself a run,
-  and again all but the first of equal content are deleted. Only the least
-  position of a group is ever aggregated, so a passage in a third of all
+  extended unit by unit, by up to ``window`` units. An extension is itself a
+  run, and again all but the first of equal content are deleted. Only the
+  least position of a group is ever aggregated, so a passage in a third of all
   documents costs no more than its rows.
 
 DataFrame functions only. Texts are read once for the units and once when the
@@ -42,6 +46,8 @@ UNIT_WORDS = 10
 SHINGLE_UNITS = 3
 MIN_CHARS = 80
 WINDOW = 2
+SPACE = " \t\n\x0b\f\r"  # the pattern's white space
+STEPS = 4  # shingle sizes tried one by one before units are counted
 
 
 def unit_pattern(unit_words: int = UNIT_WORDS) -> str:
@@ -71,28 +77,60 @@ def _is_picked(hashes: Column, h: Column, i: Column, window: int) -> Column:
     return any_window
 
 
-def unit_table(docs: DataFrame, unit_words: int) -> DataFrame:
-    """``(row, id, th, units, lengths)`` of ``docs(id, text)``: the units' hashes and characters.
+def shingle_size(lengths: str, i: Column, shingle_units: int, min_chars: int) -> Column:
+    """Units of the shingle that starts at ``i``; null if the text ends before it does."""
+    def whole(a):
+        return (a["n"] >= shingle_units) & (a["chars"] >= min_chars)
 
-    ``row`` numbers the rows; it is settled by writing the table.
-    """
-    cut = computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words, 1).alias("u"))
-    return cut.select(F.monotonically_increasing_id().alias("row"), "id", "th",
-                      F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
-                      F.transform("u", lambda x: F.length(x)).alias("lengths"))
+    # every unit has a character
+    ahead = F.slice(lengths, i + 1, F.lit(max(shingle_units, min_chars)))
+    counted = F.aggregate(ahead, F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("chars")),
+                          lambda a, x: F.when(whole(a), a).otherwise(
+                              F.struct((a["n"] + 1).alias("n"), (a["chars"] + x).alias("chars"))),
+                          lambda a: F.when(whole(a), a["n"]))
+    chars = sum((F.get(lengths, i + k) for k in range(1, shingle_units)), F.get(lengths, i).cast("long"))
+    size = F.when(chars >= min_chars, F.lit(shingle_units))
+    for n in range(shingle_units + 1, shingle_units + STEPS):
+        chars = chars + F.get(lengths, i + n - 1)
+        size = size.when(chars >= min_chars, F.lit(n))
+    return size.otherwise(counted)
 
 
-def fingerprints(units: DataFrame, shingle_units: int, min_chars: int, window: int) -> DataFrame:
-    """``(row, pos, h)``: the shingles that winnowing keeps, by the row and first unit."""
-    def shingle(h: Column, i: Column) -> Column:
-        chars = sum((F.get("lengths", i + k) for k in range(1, shingle_units)), F.get("lengths", i).cast("long"))
-        return F.when(chars >= min_chars, F.struct(  # null at the end of the text
-            i.alias("pos"), F.xxhash64(h, *[F.get("units", i + k) for k in range(1, shingle_units)]).alias("h")))
+def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars: int) -> DataFrame:
+    """``(row, id, th, units, sizes, lines)`` of ``docs(id, text)``.
 
-    shingled = computed(units, "row", F.filter(F.transform("units", shingle), lambda s: s.isNotNull()).alias("shingles"))
-    keyed = computed(shingled, "row", "shingles", F.col("shingles.h").alias("hashes"))
+    ``units`` are the units' hashes, ``sizes`` the units of the shingle that starts at each, ``lines`` the first
+    unit and the units of every line of ``min_chars`` characters. ``row`` numbers the rows; it is settled by writing
+    the table.
+    """
+    cut = computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words).alias("u"))
+    ends = F.filter(F.transform("u", lambda x, i: F.when(
+        F.ltrim(x, F.lit(SPACE)).contains("\n") | (i == F.size("u") - 1), i + 1)), lambda i: i.isNotNull())
+    bare = F.transform("u", lambda x: F.btrim(x, F.lit(SPACE)))
+    bare = computed(cut, "id", "th", bare.alias("u"), ends.alias("ends"))
+    sized = computed(bare, "id", "th", F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
+                     F.transform("u", lambda x: F.length(x)).alias("lengths"),
+                     F.transform("ends", lambda e, j: F.struct(
+                         F.coalesce(F.get("ends", j - 1), F.lit(0)).alias("pos"),
+                         (e - F.coalesce(F.get("ends", j - 1), F.lit(0))).alias("n"))).alias("lines"))
+    chars = lambda r: F.aggregate(F.slice("lengths", r["pos"] + 1, r["n"]), F.lit(0).cast("long"),
+                                  lambda a, x: a + x)
+    return sized.select(F.monotonically_increasing_id().alias("row"), "id", "th", "units",
+                        F.transform("lengths", lambda _, i: shingle_size("lengths", i, shingle_units, min_chars)).alias("sizes"),
+                        F.filter("lines", lambda r: chars(r) >= min_chars).alias("lines"))
+
+
+def fingerprints(units: DataFrame, window: int) -> DataFrame:
+    """``(row, pos, n, h)``: the shingles that winnowing keeps and the whole lines, by the row, first unit and units."""
+    def run(pos: Column, n: Column) -> Column:
+        return F.struct(pos.alias("pos"), n.alias("n"), F.xxhash64(F.slice("units", pos + 1, n)).alias("h"))
+
+    shingles = F.filter(F.transform("sizes", lambda n, i: F.when(n.isNotNull(), run(i, n))), lambda s: s.isNotNull())
+    shingled = computed(units, "row", shingles.alias("shingles"), F.transform("lines", lambda r: run(r["pos"], r["n"])).alias("lines"))
+    keyed = computed(shingled, "row", "shingles", "lines", F.col("shingles.h").alias("hashes"))
     picks = F.filter("shingles", lambda s, i: _is_picked(F.col("hashes"), s["h"], i, window))
-    return keyed.select("row", F.explode(picks).alias("p")).select("row", "p.pos", "p.h")
+    return (keyed.select("row", F.explode(F.array_union(picks, "lines")).alias("p"))
+                 .select("row", "p.pos", "p.n", "p.h"))
 
 
 def _not_first(runs: DataFrame, run: str, pos: str) -> DataFrame:
@@ -106,26 +144,26 @@ def _not_first(runs: DataFrame, run: str, pos: str) -> DataFrame:
 def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units: int = SHINGLE_UNITS,
                    min_chars: int = MIN_CHARS, window: int = WINDOW) -> DataFrame:
     """``(id, th, gone)``: the unit positions to delete, for documents that lose any."""
-    units = pinned(unit_table(docs, unit_words), "units")
+    units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units")
     # nearly all rows of the job are prints: they carry a row number only
-    prints = fingerprints(units, shingle_units, min_chars, window)
+    prints = fingerprints(units, window)
     often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
     found = pinned(prints.join(often, "h", "left_semi").join(units.select("row", "id", "th"), "row"), "found")
     later = pinned(_not_first(found, "h", "pos"), "later")
     # a shingle is extended on a side where no other deleted one covers the next unit; all its copies are, to compare
-    by_row = Window.partitionBy("row").orderBy("pos")
-    open_left = F.coalesce(F.lag("pos").over(by_row) < F.col("pos") - shingle_units, F.lit(True))
-    open_right = F.coalesce(F.lead("pos").over(by_row) > F.col("pos") + shingle_units, F.lit(True))
+    by_row, end = Window.partitionBy("row").orderBy("pos", "n"), F.col("pos") + F.col("n")
+    open_left = F.coalesce((F.lag("pos").over(by_row) == F.col("pos")) | (F.lag(end).over(by_row) < F.col("pos")), F.lit(True))
+    open_right = F.coalesce((F.lead("pos").over(by_row) > end) | (F.lead(end).over(by_row) <= end), F.lit(True))
     sides = F.array_compact(F.array(F.when(open_left, F.lit(-1)), F.when(open_right, F.lit(1))))
     edges = later.select("h", sides.alias("sides")).select("h", F.explode("sides").alias("side")).distinct()
     longer = (found.join(edges, "h").join(units.select("row", "units"), "row")
                    .withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(1, window + 1)])))
                    .withColumn("first", F.when(F.col("side") < 0, F.col("pos") - F.col("k")).otherwise(F.col("pos")))
-                   .withColumn("n", F.lit(shingle_units) + F.col("k"))
+                   .withColumn("n", F.col("n") + F.col("k"))
                    .filter((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.size("units")))
                    .select("id", "th", "first", "n", F.xxhash64("n", F.slice("units", F.col("first") + 1, F.col("n"))).alias("run")))
     longer = _not_first(pinned(longer, "longer"), "run", "first")
-    runs = (later.select("id", "th", F.col("pos").alias("first"), F.lit(shingle_units).alias("n"))
+    runs = (later.select("id", "th", F.col("pos").alias("first"), "n")
                  .unionByName(longer.select("id", "th", "first", "n")))
     return (runs.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
                 .select("id", "th", F.array_distinct(F.flatten(F.transform(
