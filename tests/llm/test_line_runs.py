@@ -50,3 +50,24 @@ def test_repeated_lines_of_few_units_are_found(spark):
     assert len(line) > 80 and out[0].text == rows[0][1] and out[2].text == rows[2][1]
     assert line not in out[1].text and unbroken not in out[3].text
     assert out[1].removed_units == out[3].removed_units == 1
+
+
+def test_no_copy_keeps_a_rest(spark):
+    rng = random.Random(7)
+    kinds = [short_sentences, shouted, listed, lambda r: " ".join(words(r, 30)) + "."]
+    texts = ["\n".join(rng.choice(kinds)(rng) for _ in range(6)) for _ in range(12)]
+    rows = [(100 * j + i, t) for i, t in enumerate(texts) for j in range(2)]
+    out = deduped(spark, rows)
+    assert all(out[i].text == t and out[100 + i].text == "" for i, t in enumerate(texts))
+
+
+def test_runs_end_where_the_units_differ(spark):
+    rng = random.Random(8)
+    head, tail = " ".join(words(rng, 20)) + ".", " ".join(words(rng, 20)) + "."
+    run, more = shouted(rng), " ".join(words(rng, 12, "!"))
+    rows = [(0, f"{head}\n{run}\n{tail}"), (1, f"other start here.\n{run}\n{more}\nend of one."),
+            (2, f"a third start.\n{run}\n{more}\nend of two.")]
+    out = deduped(spark, rows)
+    assert out[0].removed_units == 0
+    assert out[1].text == f"other start here.\n{more}\nend of one."
+    assert out[2].text == "a third start.\nend of two."  # more is shared with 1 alone

@@ -19,10 +19,13 @@ hash is that of its trimmed content.
 * Fingerprints that come at more than one position are joined to their
   positions: the first in the order (id, text hash, unit) stays, the units of
   all later ones are deleted. At the ends of a deleted stretch the shingle is
-  extended unit by unit, by up to ``window`` units. An extension is itself a
-  run, and again all but the first of equal content are deleted. Only the
-  least position of a group is ever aggregated, so a passage in a third of all
-  documents costs no more than its rows.
+  extended unit by unit as far as the run can go without another fingerprint:
+  to the left by ``window`` units, to the right to the end of the shingle that
+  starts where this one ends (of a later one in a wide window), or of the text.
+  An extension is itself a run, and again all but the first of equal content
+  are deleted; so every place is compared with all others, not with the first
+  alone. Only the least position of a group is ever aggregated, so a passage
+  in a third of all documents costs no more than its rows.
 
 DataFrame functions only. Texts are read once for the units and once when the
 deleted units are cut out; everything between is hashes.
@@ -156,11 +159,14 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
     open_right = F.coalesce((F.lead("pos").over(by_row) > end) | (F.lead(end).over(by_row) <= end), F.lit(True))
     sides = F.array_compact(F.array(F.when(open_left, F.lit(-1)), F.when(open_right, F.lit(1))))
     edges = later.select("h", sides.alias("sides")).select("h", F.explode("sides").alias("side")).distinct()
-    longer = (found.join(edges, "h").join(units.select("row", "units"), "row")
-                   .withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(1, window + 1)])))
+    # a run that goes on beyond these bounds holds another fingerprint there
+    after = F.greatest(F.col("pos") + F.col("n"), F.col("pos") + window)
+    to_right = F.least(F.coalesce(after + F.get("sizes", after), F.size("units")), F.size("units")) - F.col("pos") - F.col("n")
+    most = F.when(F.col("side") < 0, F.least("pos", F.lit(max(window, shingle_units - 1)))).otherwise(to_right)
+    longer = (found.join(edges, "h").join(units.select("row", "units", "sizes"), "row").withColumn("most", most)
+                   .filter("most > 0").withColumn("k", F.explode(F.sequence(F.lit(1), "most")))
                    .withColumn("first", F.when(F.col("side") < 0, F.col("pos") - F.col("k")).otherwise(F.col("pos")))
                    .withColumn("n", F.col("n") + F.col("k"))
-                   .filter((F.col("first") >= 0) & (F.col("first") + F.col("n") <= F.size("units")))
                    .select("id", "th", "first", "n", F.xxhash64("n", F.slice("units", F.col("first") + 1, F.col("n"))).alias("run")))
     longer = _not_first(pinned(longer, "longer"), "run", "first")
     runs = (later.select("id", "th", F.col("pos").alias("first"), "n")
