@@ -123,16 +123,21 @@ def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars:
                         F.filter("lines", lambda r: chars(r) >= min_chars).alias("lines"))
 
 
-def fingerprints(units: DataFrame, window: int) -> DataFrame:
+def fingerprints(units: DataFrame, shingle_units: int, window: int) -> DataFrame:
     """``(row, pos, n, h)``: the shingles that winnowing keeps and the whole lines, by the row, first unit and units."""
     def run(pos: Column, n: Column) -> Column:
-        return F.struct(pos.alias("pos"), n.alias("n"), F.xxhash64(F.slice("units", pos + 1, n)).alias("h"))
+        few = F.xxhash64(*[F.get("units", pos + k) for k in range(shingle_units)])  # the same hash, without a slice
+        h = F.when(n == shingle_units, few).otherwise(F.xxhash64(F.slice("units", pos + 1, n)))
+        return F.struct(pos.alias("pos"), n.alias("n"), h.alias("h"))
 
     shingles = F.filter(F.transform("sizes", lambda n, i: F.when(n.isNotNull(), run(i, n))), lambda s: s.isNotNull())
     shingled = computed(units, "row", shingles.alias("shingles"), F.transform("lines", lambda r: run(r["pos"], r["n"])).alias("lines"))
     keyed = computed(shingled, "row", "shingles", "lines", F.col("shingles.h").alias("hashes"))
     picks = F.filter("shingles", lambda s, i: _is_picked(F.col("hashes"), s["h"], i, window))
-    return (keyed.select("row", F.explode(F.array_union(picks, "lines")).alias("p"))
+    # a line that is a kept shingle as well comes once; shingles stand at their units' places
+    lines = F.filter("lines", lambda r: ~(F.coalesce(F.get("shingles", r["pos"])["n"] == r["n"], F.lit(False))
+                                          & _is_picked(F.col("hashes"), r["h"], r["pos"], window)))
+    return (keyed.select("row", F.explode(F.concat(picks, lines)).alias("p"))
                  .select("row", "p.pos", "p.n", "p.h"))
 
 
@@ -149,7 +154,7 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
     """``(id, th, gone)``: the unit positions to delete, for documents that lose any."""
     units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units")
     # nearly all rows of the job are prints: they carry a row number only
-    prints = fingerprints(units, window)
+    prints = fingerprints(units, shingle_units, window)
     often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
     found = pinned(prints.join(often, "h", "left_semi").join(units.select("row", "id", "th"), "row"), "found")
     later = pinned(_not_first(found, "h", "pos"), "later")
