@@ -5,11 +5,13 @@ of lines without a blank one). A span and a template are normalised to their
 lower-case words of letters and digits; their similarity is the Dice
 coefficient of their sets of word bigrams, ``2 * shared / (a + b)``.
 
-A template is a candidate for a span only within the size bounds that a Dice
-coefficient of ``threshold`` puts on equally dense sets: the span's word count
-lies between ``threshold / (2 - threshold)`` times the template's and its
-inverse. Most spans have no candidate and are dropped on their word count;
-bigrams are built for the rest only.
+A Dice coefficient of ``threshold`` takes ``threshold / (2 - threshold)`` of
+the template's distinct bigrams in the span. A span without any of a choice of
+words (``anchors``) that more than the rest of the bigrams hold can't match
+that template; neither can one of fewer words than the bigrams it needs, nor
+one whose distinct bigrams outnumber the template's by the inverse. Most spans
+are dropped on their words, and bigrams are built for the rest only. Repeated
+words and bigrams change none of these bounds.
 
 DataFrame functions only, no shuffle: templates are a bounded list of
 constants. A row is a matching span with its best template (of equals the
@@ -20,6 +22,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -72,13 +75,30 @@ def template_bigrams(text: str) -> tuple[int, list[str]]:
 
 
 def size_bounds(words: int, threshold: float) -> tuple[float, float]:
+    """Bounds on the words of a span without repeated bigrams; the scan itself does not rely on them."""
     return words * threshold / (2 - threshold), words * (2 - threshold) / threshold
 
 
+def least_shared(grams: int, threshold: float) -> int:
+    """Bigrams that a span shares at least with a template of ``grams`` distinct ones if it matches."""
+    return max(1, math.ceil(grams * threshold / (2 - threshold) - 1e-9))
+
+
+def anchors(grams: list[str], threshold: float) -> set[str]:
+    """Words of which every match of the template holds one, long ones first."""
+    spare = len(grams) - least_shared(len(grams), threshold)
+    chosen: set[str] = set()
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+        if sum(not chosen.isdisjoint(g.split()) for g in grams) > spare:
+            break
+        chosen.add(word)
+    return chosen
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                   templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """``(id_col, kind, first_line, words, license, dice)`` of every span that matches a template."""
-    known = [(name, *template_bigrams(text)) for name, text in sorted(templates.items())]
+    known = [(name, template_bigrams(text)[1]) for name, text in sorted(templates.items())]
     lines = F.split(F.col(text_col), "\n")
     numbered = computed(docs.filter(F.col(text_col).isNotNull()), F.col(id_col).alias("id"), lines.alias("lines"))
     starts = F.filter(F.transform("lines", lambda x, i: F.when(  # a line that is not blank, after one that is or none
@@ -96,24 +116,23 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = opened.select("id", F.explode(F.concat(single, F.filter(F.transform("starts", paragraph),
                                                                     lambda s: s.isNotNull()))).alias("s")).select("id", "s.*")
     word = r"[\p{L}\p{N}]+"
-    bounds = [size_bounds(n, threshold) for _, n, _ in known]
     n_words = F.size("w")
-    any_size = F.lit(False)
-    for least, most in bounds:
-        any_size = any_size | n_words.between(least, most)
+    needed = min(least_shared(len(grams), threshold) for _, grams in known)
+    most = max(len(grams) for _, grams in known) * (2 - threshold) / threshold + 1e-9
+    any_word = F.array(*map(F.lit, sorted(set().union(*(anchors(grams, threshold) for _, grams in known)))))
     worded = computed(spans, "id", "kind", "first_line", F.regexp_extract_all(F.lower("span"), F.lit(word), F.lit(0)).alias("w"))
-    sized = worded.filter((n_words >= 2) & any_size)
+    sized = worded.filter((n_words > needed) & F.arrays_overlap("w", any_word.cast("array<string>")))
     pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), n_words - 1),
                                          lambda i: F.concat(F.get("w", i - 1), F.lit(" "), F.get("w", i))))
     paired = computed(sized, "id", "kind", "first_line", n_words.alias("words"), pairs.alias("pairs"))
     scored = []
-    for (name, _, grams), (least, most) in zip(known, bounds, strict=True):
-        shared = F.size(F.array_intersect(F.col("pairs"), F.array(*map(F.lit, grams))))
+    for name, grams in known:
+        shared = F.size(F.array_intersect(F.col("pairs"), F.array(*map(F.lit, grams)).cast("array<string>")))
         dice = 2.0 * shared / (F.size("pairs") + len(grams))
         # sorted by similarity, then the first name: struct order with the similarity negated
-        scored.append(F.when(F.col("words").between(least, most), F.struct((-dice).alias("minus"), F.lit(name).alias("license"))))
+        scored.append(F.struct((-dice).alias("minus"), F.lit(name).alias("license")))
     first = F.least(*scored) if len(scored) > 1 else scored[0]
-    best = computed(paired, "id", "kind", "first_line", "words", first.alias("best"))
+    best = computed(paired.filter(F.size("pairs") <= most), "id", "kind", "first_line", "words", first.alias("best"))
     found = best.filter(F.col("best.minus") <= -threshold)
     return found.select(F.col("id").alias(id_col), "kind", F.col("first_line").cast("int").alias("first_line"), "words",
                         F.col("best.license").alias("license"), (-F.col("best.minus")).alias("dice"))
