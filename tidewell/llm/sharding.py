@@ -108,11 +108,15 @@ def shuffle_to_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_block:
 
 def shard_documents(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
                     seed: int = 0) -> DataFrame:
-    """Places of all documents under the law ``rows``: shard counts are at most one apart."""
-    narrow = docs.select(id_col, (F.coalesce(F.octet_length(text_col), F.lit(0)) + 16).cast("long").alias("size"),
-                         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = shuffle_to_shards(narrow, shards, seed)
-    return placed.select(id_col, "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    """Places of all documents under the law ``rows``: shard counts are at most one apart.
+
+    The texts themselves are exchanged; size and checksum are those of the shards' rows.
+    """
+    placed = shuffle_to_shards(docs.select(id_col, text_col), shards, seed)
+    # of the text that came to the shard
+    size = (F.coalesce(F.octet_length(text_col), F.lit(0)) + 16).cast("long")
+    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    return placed.select(id_col, size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
