@@ -103,6 +103,10 @@ class Best:
         return [x[self.k - 1] if len(x) >= self.k else None for x in self.found]
 
     def add(self, which: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        starts = np.nonzero(np.diff(ids[order], prepend=ids[order[:1]] - 1))[0]
+        if len(starts) < len(ids):  # ids with several vectors: k rows would be fewer than k ids
+            ids, scores = ids[order[starts]], np.maximum.reduceat(scores[:, order], starts, axis=1)
         for at, row in zip(which.tolist(), scores, strict=True):
             held, other = self.found[at], ids != self.ids[at]
             if len(held) >= self.k:
