@@ -3,9 +3,12 @@
 An item of ``n`` characters may differ from a passage by ``k = rate * n``
 edits. Cut into ``k + 1`` pieces, at least one piece of a passage within that
 budget is unchanged. All pieces of all items go into one Aho-Corasick
-automaton; every exact piece hit names a window of the document, overlapping
-windows of an item are merged, and Myers' bit-parallel distance finds the
-best place in the window. Whole texts are read; nothing is shuffled.
+automaton; every exact piece hit names a window of the document, and
+overlapping windows of an item are merged. In a window the exact passages are
+taken first, from the left; between them Myers' bit-parallel distance finds
+the others: behind the first end within the budget the best of those less than
+an item's length away, and so on before and behind it. Passages of one item
+do not overlap. Whole texts are read; nothing is shuffled.
 
 Text and items are compared in lower case and with ASCII white space as
 blanks, which keeps offsets; blanks in a row within an item are one.
@@ -90,6 +93,55 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def near(pattern: str, text: str, k: int, reach: int) -> tuple[int, int, int] | None:
+    """Edits and end of the best passage within ``k`` whose end is less than ``reach`` behind the first end; and that."""
+    m = len(pattern)
+    at: dict[str, int] = {}
+    for i, c in enumerate(pattern):
+        at[c] = at.get(c, 0) | 1 << i
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    plus, minus, dist, best, end, first = full, 0, m, k + 1, 0, 0
+    for j, c in enumerate(text):
+        eq = at.get(c, 0)
+        vertical = eq | minus
+        eq |= (((eq & plus) + plus) ^ plus) & full
+        up = minus | (full & ~(eq | plus))
+        down = plus & eq
+        if up & top:
+            dist += 1
+        elif down & top:
+            dist -= 1
+        if dist < best:
+            best, end, first = dist, j + 1, first or j + 1
+        if first and j + 1 >= first + reach:
+            break
+        up = up << 1 & full
+        down = down << 1 & full
+        plus = down | (full & ~(vertical | up))
+        minus = up & vertical
+    return (best, end, first) if first else None
+
+
+def passages(item: str, text: str, k: int) -> list[tuple[int, int, int]]:
+    """``(start, end, edits)`` of passages of ``item`` in ``text`` within ``k`` edits; none overlap."""
+    out, gaps, a = [], [], 0
+    while (at := text.find(item, a)) >= 0:
+        out.append((at, at + len(item), 0))
+        gaps.append((a, at))
+        a = at + len(item)
+    gaps.append((a, len(text)))
+    while gaps and k:
+        a, b = gaps.pop()
+        if b - a < len(item) - k or not (hit := near(item, text[a:b], k, len(item))):
+            continue
+        edits, end, first = hit
+        start = end - myers(item[::-1], text[max(a, a + end - len(item) - k):a + end][::-1])[1]
+        out.append((a + start, a + end, edits))
+        gaps.append((a + end, b))
+        gaps.append((max(a, a + first - len(item) - k), a + start))  # nothing ends before the first
+    return out
+
+
 class Matcher:
     """The automaton of one block of items."""
 
@@ -132,15 +184,8 @@ class Matcher:
         for n, spans in self.windows(text).items():
             item_id, item, k = self.items[n]
             for a, b in spans:
-                part = text[a:b]
-                if (at := part.find(item)) >= 0:
-                    edits, start, end = 0, at, at + len(item)
-                else:
-                    edits, end = myers(item, part)
-                    if edits > k:
-                        continue
-                    start = end - myers(item[::-1], part[max(0, end - len(item) - k):end][::-1])[1]
-                out.append({"item_id": item_id, "start": a + start, "end": a + end, "edits": edits})
+                for start, end, edits in passages(item, text[a:b], k):
+                    out.append({"item_id": item_id, "start": a + start, "end": a + end, "edits": edits})
         return sorted(out, key=lambda m: (m["start"], m["item_id"]))
 
 
