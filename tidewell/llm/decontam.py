@@ -17,8 +17,8 @@ The items are read in blocks of about ``block_chars`` characters, a block is
 the only thing sent to the tasks, and each block is a pass over the
 documents, so a benchmark of any size stays within bounds.
 
-Defined results: null and empty texts have no match; null, empty and blank
-items are ignored; items shorter than two pieces must match exactly; repeated
+Defined results: null and empty texts have no match; items of null, empty or
+blank text are ignored; items of a null id are reported with it; items shorter than two pieces must match exactly; repeated
 items of different id are all reported, repeated rows of an item once, and
 repeated documents each for itself. Extra columns are kept; an input column
 called ``matches`` is replaced.
@@ -186,7 +186,7 @@ class Matcher:
             for a, b in spans:
                 for start, end, edits in passages(item, text[a:b], k):
                     out.append({"item_id": item_id, "start": a + start, "end": a + end, "edits": edits})
-        return sorted(out, key=lambda m: (m["start"], m["item_id"]))
+        return sorted(out, key=lambda m: (m["start"], m["item_id"] is not None, m["item_id"] or 0))
 
 
 @lru_cache(maxsize=2)
@@ -207,13 +207,13 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
                 block_chars: int = BLOCK_CHARS):
     """Folded items, block by block, each of about ``block_chars`` characters."""
     items = (benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-                      .filter("id is not null and text is not null and trim(text) != ''").distinct())
+                      .filter("text is not null and trim(text) != ''").distinct())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(chars / block_chars))
     for i in range(n):
         rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i).collect() if chars else []
         folded = {(r["id"], re.sub(" +", " ", fold(r["text"])).strip()) for r in rows}
-        yield sorted(x for x in folded if x[1])
+        yield sorted((x for x in folded if x[1]), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rate: float = RATE,
