@@ -253,6 +253,36 @@ def q_sss(spark, sf):
     return report(cube_product(spark, "Salinity_mean_PSU", False, 0.5))
 
 
+def _weeks_sql(out: str) -> str:
+    return (f"select week, count(*) as n_cells, count({out}) as n_values, round(avg({out}), 6) as value_mean, "
+            f"round(min({out}), 9) + 0.0 as value_min, round(max({out}), 9) + 0.0 as value_max from ("
+            + _cube_weekly_sql(out, False, GRID01) + ") p group by week")
+
+
+def _weeks(spark, out: str):
+    return cube_product(spark, out, False).groupBy("week").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count(out).alias("n_values"), F.round(F.avg(out), 6).alias("value_mean"),
+        tf.rnd(F.min(out), 9).alias("value_min"), tf.rnd(F.max(out), 9).alias("value_max"))
+
+
+@register("product_chlorophyll_weeks", ["v_cube"], _weeks_sql("Chla_mean_mg_m3"))
+def q_chl_weeks(spark, sf):
+    """Q2 on the whole 0.1-degree grid, reported week by week."""
+    return _weeks(spark, "Chla_mean_mg_m3")
+
+
+@register("product_sea_level_weeks", ["v_cube"], _weeks_sql("SSHA_mean_m"))
+def q_ssha_weeks(spark, sf):
+    """Q3 on the whole 0.1-degree grid, reported week by week."""
+    return _weeks(spark, "SSHA_mean_m")
+
+
+@register("product_salinity_weeks", ["v_cube"], _weeks_sql("Salinity_mean_PSU"))
+def q_sss_weeks(spark, sf):
+    """Q4 on the whole 0.1-degree grid, reported week by week."""
+    return _weeks(spark, "Salinity_mean_PSU")
+
+
 OXY_SRC = ("ox as (select 25.0 + cast(lat_idx as double) * 1.0 as lat, -130.0 + cast(lon_idx as double) * 1.0 as lon, "
            "max_by(o_an, depth_m) filter (where o_an is not null) as oxy from v_oxygen group by lat_idx, lon_idx)")
 
