@@ -12,7 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pinned(df: DataFrame, name: str) -> DataFrame:
+def pinned(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the cluster's shared folder and read back.
 
     Cuts the lineage and fixes row contents: whatever is computed from the
@@ -20,7 +20,7 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -79,7 +79,7 @@ def shuffle_to_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_block:
     spark = df.sparkSession
     columns = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     names = [f"c{i}" for i in range(len(columns))]  # own names: none can clash
-    tagged = pinned(df.select(*columns).toDF(*names).withColumn("tag", F.monotonically_increasing_id()), "rows")
+    tagged = pinned(df.select(*columns).toDF(*names).withColumn("tag", F.monotonically_increasing_id()), "rows", "zstd")
     total = tagged.count()
     n_blocks = max(1, min(MAX_BLOCKS, total // rows_per_block))
     keyed = tagged.withColumns({
