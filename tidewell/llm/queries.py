@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, linededup, quality, sentencepiece, sharding, simhash, topk, warc
+from . import (chat, decontam, lexical, licenses, linededup, pii, prefixtrie, quality, sentencepiece, sharding, simhash, topk,
+               warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,67 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.drop_repeated_lines(docs).select("doc_id", "text", "removed_units", "removed_chars")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefixtrie.prefix_trie(*prefixtrie.rebuilt(turns))
+
+
+# b.h: CRC-32 of the id's digits, bit by bit
+ORACLES["op11_prefix_trie"] = r"""
+WITH s AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+         sha256(length(coalesce(role, '')) || chr(10) || coalesce(role, '') || chr(10) || coalesce(text, '')) AS x,
+         length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT c, count(*) AS n, c - c % 100 AS base,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+            lambda ch: list_prepend(ascii(ch)::BIGINT, list_transform(range(8), lambda i: (-1)::BIGINT))))),
+            lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h
+      FROM s GROUP BY c),
+k AS (SELECT b.c, b.h, b.base, b.n, least(b.h, coalesce(o.n, 0)) AS taken FROM b LEFT JOIN b o ON o.c = b.base),
+r AS (SELECT c, p - h + taken AS d, x, chars FROM s JOIN k USING (c) WHERE p > h
+      UNION ALL SELECT k.c, s.p, s.x, s.chars FROM k JOIN s ON s.c = k.base AND s.p <= k.taken),
+y AS (SELECT c, d, chars, string_agg(x, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS key FROM r
+      UNION ALL SELECT c, 0, 0, '' FROM k),
+l AS (SELECT c, max(d) AS d, max_by(key, d) AS key FROM y GROUP BY c),
+e AS (SELECT key, string_agg(c::VARCHAR, ',' ORDER BY c) AS members FROM l GROUP BY key),
+n AS (SELECT key, any_value(d) AS d, min(c) AS conv, count(*) AS n_convs, any_value(chars) AS chars FROM y GROUP BY key),
+g AS (SELECT left(key, (64 * (d - 1))::BIGINT) AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+o AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN g USING (key)),
+a AS (SELECT left(key, 64 * i) AS key, (n_children = 0)::INT AS leaf, (n_convs - 1) * chars AS saved
+      FROM o, unnest(range(0, (d + 1)::BIGINT)) AS u(i)),
+t AS (SELECT key, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY key)
+SELECT o.conv AS conv_id, o.d::BIGINT AS depth, q.conv AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(members, '')) AS ends_sha256
+FROM o JOIN t USING (key) LEFT JOIN e USING (key) LEFT JOIN n q ON o.d > 0 AND q.key = left(o.key, (64 * (o.d - 1))::BIGINT)"""
+
+
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+t AS (SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+v AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+g AS (SELECT r, sum(tf)::BIGINT AS n FROM v GROUP BY r),
+s AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM g),
+f AS (SELECT term, count(*) AS df FROM v GROUP BY term),
+i AS (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+c AS (SELECT item, item_id, r, doc_id, sum(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+      FROM q JOIN v USING (term) JOIN f USING (term) JOIN g USING (r), s GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank, doc_id, score
+FROM c WHERE score > 0 QUALIFY rank <= 10"""
