@@ -12,9 +12,11 @@ Distances are Euclidean in degrees x 111 km (flat), as in the reference.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as tf
@@ -57,22 +59,62 @@ def _d2(ax, ay, bx, by):
     return (F.col(ax) - F.col(bx)) * (F.col(ax) - F.col(bx)) + (F.col(ay) - F.col(by)) * (F.col(ay) - F.col(by))
 
 
+SPLIT = 4  # a tile is cut into SPLIT x SPLIT; a power of two, so that tiles nest exactly
+LEAF_POINTS = 32
+TILE_POINTS = 4096  # points of a tile that are compared with the cells around it as they are
+
+
+def nearest_tiles(pairs: DataFrame, pts: DataFrame, x0: float, y0: float, size: float, cell_keys: Sequence[str],
+                  leaf: int = LEAF_POINTS) -> list[tuple[DataFrame, float]]:
+    """The pairs (cell, tile) that can hold the cell's nearest point, tiles of at most ``leaf`` points, by tile size.
+
+    ``pairs`` has the cells with tiles (``_tx``, ``_ty``) of the first size to look at, and an upper bound ``_ub``. Tiles
+    nest: each round cuts those that still hold more points. A tile is known by its tight box: no point of it is nearer
+    than the box, and one at least is as near as the farther end of the box's nearer sides. A cell's upper bound is the
+    least of these; tiles whose lower bound is above it are dropped. Only the points of tiles that are still cut are
+    read again.
+    """
+    cell_keys = list(cell_keys)
+    found = []
+    while True:
+        at = [F.floor((F.col(c) - F.lit(o)) / F.lit(size)).alias(t) for c, o, t in (("_px", x0, "_tx"), ("_py", y0, "_ty"))]
+        tiled = pts.select("_px", "_py", *at)
+        tiles = tiled.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"), F.min("_px").alias("_l"), F.max("_px").alias("_r"),
+                                                F.min("_py").alias("_b"), F.max("_py").alias("_t"))
+        both = pairs.join(tiles, ["_tx", "_ty"])
+        square = lambda c: c * c
+        gap = [square(F.greatest(F.col(lo) - F.col(c), F.col(c) - F.col(hi), F.lit(0.0)))
+               for c, lo, hi in (("_cx", "_l", "_r"), ("_cy", "_b", "_t"))]
+        near, far = ([f(square(F.col(c) - F.col(lo)), square(F.col(c) - F.col(hi))) for c, lo, hi in (("_cx", "_l", "_r"), ("_cy", "_b", "_t"))]
+                     for f in (F.least, F.greatest))
+        both = both.withColumn("_lb", gap[0] + gap[1]).withColumn("_own", F.least(near[0] + far[1], far[0] + near[1]))
+        bound = F.least("_ub", F.min("_own").over(Window.partitionBy(*cell_keys)))
+        kept = both.withColumn("_ub", bound).filter(F.col("_lb") <= F.col("_ub") * (1 + 1e-12))
+        kept = materialize(kept.select(*cell_keys, "_cx", "_cy", "_ub", "_tx", "_ty", "_n"), "nearest-tiles")
+        found.append((kept.filter(F.col("_n") <= leaf), size))
+        dense = kept.filter(F.col("_n") > leaf)
+        if dense.isEmpty():
+            return found
+        pts = materialize(tiled.join(dense.select("_tx", "_ty").distinct(), ["_tx", "_ty"], "left_semi").select("_px", "_py"), "nearest-points")
+        parts = F.array(*[F.lit(i).cast("long") for i in range(SPLIT)])
+        pairs = (dense.drop("_n").withColumn("_i", F.explode(parts)).withColumn("_j", F.explode(parts))
+                      .withColumn("_tx", F.col("_tx") * SPLIT + F.col("_i")).withColumn("_ty", F.col("_ty") * SPLIT + F.col("_j")).drop("_i", "_j"))
+        size /= SPLIT
+
+
 def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float | None = None,
-                     first_radius_km: float | None = None, cell_keys: Sequence[str] = ("lat_idx", "lon_idx"),
-                     lon: str = "lon", lat: str = "lat", out: str = "distance_km",
-                     point_lon: str = "lon", point_lat: str = "lat") -> DataFrame:
+                     cell_keys: Sequence[str] = ("lat_idx", "lon_idx"), lon: str = "lon", lat: str = "lat",
+                     out: str = "distance_km", point_lon: str = "lon", point_lat: str = "lat") -> DataFrame:
     """Distance (km) from every cell centre to the nearest point, capped.
 
-    Ring search: round k uses radius r_k (doubling, last = cap). A cell whose
-    nearest point lies within r_k is resolved exactly in that round (the
-    nearest point must sit in the 3x3 tiles of size r_k); only unresolved
-    cells go to the next round. Cells still open after the cap round get the
-    cap. Without a cap the radius keeps doubling until no cell is open.
-    Work per round ~ open cells x points in nearby small tiles, instead of
-    cells x all points.
+    Branch and bound on nested tiles (``nearest_tiles``), first around each
+    cell, then for cells without a point there from the whole extent down; the
+    points of the few tiles that are left for a cell are compared exactly. Work
+    follows the cells and the tiles, not cells times the points of a dense
+    place, near or far. Cells without a point within the cap get the cap.
     """
     cell_keys = list(cell_keys)
-    pts = distinct_points(points, point_lon, point_lat).select("_px", "_py")
+    pts = materialize(distinct_points(points, point_lon, point_lat).select("_px", "_py"), "nearest-all")
     # one aggregate row: how many distinct points and over what extent
     st = pts.agg(F.count(F.lit(1)).alias("n"), F.min("_px").alias("x0"), F.max("_px").alias("x1"),
                  F.min("_py").alias("y0"), F.max("_py").alias("y1")).first()
@@ -81,38 +123,43 @@ def nearest_distance(cells: DataFrame, points: DataFrame, max_distance_km: float
                                 else F.lit(float(max_distance_km)))
     placed = F.col(lon).isNotNull() & F.col(lat).isNotNull()  # other cells have no distance
     open_cells = cells.filter(placed).select(*cell_keys, F.col(lon).alias("_cx"), F.col(lat).alias("_cy"))
-    if first_radius_km is None:
-        # typical spacing of the points: most cells resolve in the first rounds
-        area = max((st["x1"] - st["x0"]) * (st["y1"] - st["y0"]), 1e-12)
-        first_radius_km = max(2 * tf.DEFAULT_RESOLUTION * tf.KM_PER_DEG,
-                              tf.KM_PER_DEG * (area / st["n"]) ** 0.5)
-    r_km = first_radius_km
-    if max_distance_km is not None:
-        r_km = min(r_km, max_distance_km)
-    resolved = []
-    while True:
-        last = max_distance_km is not None and r_km >= max_distance_km
-        rd = tf.km_to_deg(r_km)
-        size = rd * _TILE_SLACK
-        # cells are bounded by the grid, points are not: cells are the side that is copied
-        near = explode_neighbours(open_cells, size, 1, "_cx", "_cy")
-        # each round is written as a table in the shared checkpoint folder:
-        # round-to-round lineage is cut and survives executor loss
-        found = materialize(with_tiles(pts, size, "_px", "_py")
-                            .join(near, ["_tx", "_ty"])
-                            .filter(_d2("_cx", "_cy", "_px", "_py") <= F.lit(rd * rd))
-                            .groupBy(*cell_keys).agg(F.min(_d2("_cx", "_cy", "_px", "_py")).alias("_d2")),
-                            "nearest-found")
-        resolved.append(found)
-        if last:
-            break
-        open_cells = materialize(open_cells.join(found.select(*cell_keys), cell_keys, "left_anti"), "nearest-open")
-        if open_cells.isEmpty():
+    x0, y0 = st["x0"], st["y0"]
+    extent = max(st["x1"] - x0, st["y1"] - y0, 1e-9)
+
+    def nested(width: float) -> float:
+        return 2.0 ** math.ceil(math.log2(width))
+
+    def tiled(width: float) -> DataFrame:
+        return pts.select("_px", "_py", *[F.floor((F.col(c) - F.lit(o)) / F.lit(width)).alias(t)
+                                          for c, o, t in (("_px", x0, "_tx"), ("_py", y0, "_ty"))])
+
+    def nearest(pairs: DataFrame, width: float) -> DataFrame:
+        return pairs.join(tiled(width), ["_tx", "_ty"]).select(*cell_keys, _d2("_cx", "_cy", "_px", "_py").alias("_d2"))
+
+    def searched(pairs: DataFrame, size: float) -> DataFrame:
+        return reduce(DataFrame.unionByName, [nearest(*leaves) for leaves in nearest_tiles(pairs, pts, x0, y0, size, cell_keys)])
+
+    # most cells have a point nearby: the tiles around them, at first as wide as points usually lie apart
+    cap2 = float("inf") if max_distance_km is None else tf.km_to_deg(max_distance_km) ** 2 * (1 + 1e-9)
+    width = nested(max(2 * tf.DEFAULT_RESOLUTION, ((st["x1"] - x0) * (st["y1"] - y0) / st["n"]) ** 0.5))
+    sparse = (tiled(4 * width).groupBy("_tx", "_ty").count().agg(F.max("count")).first()[0]) <= TILE_POINTS
+    resolved, rest = [], open_cells
+    for width in (width, 2 * width, 4 * width) if sparse else (width,):
+        around = explode_neighbours(rest.withColumn("_ox", F.col("_cx") - F.lit(x0)).withColumn("_oy", F.col("_cy") - F.lit(y0)),
+                                    width, 1, "_ox", "_oy").drop("_ox", "_oy")
+        reach2 = width * width * (1 - 1e-9)
+        found = nearest(around, width) if sparse else searched(around.withColumn("_ub", F.lit(min(reach2, cap2))), width)
+        found = found.filter(F.col("_d2") <= reach2).groupBy(*cell_keys).agg(F.min("_d2").alias("_d2"))
+        resolved.append(materialize(found, "nearest-local"))
+        rest = materialize(rest.join(resolved[-1], cell_keys, "left_anti"), "nearest-open")
+        if reach2 >= cap2 or rest.isEmpty():
             break
-        r_km = r_km * 2 if max_distance_km is None else min(r_km * 2, max_distance_km)
-    dist = resolved[0]
-    for f in resolved[1:]:
-        dist = dist.unionByName(f)
+    else:  # the others begin with the tiles of the whole extent
+        steps = F.array(*[F.lit(i).cast("long") for i in range(SPLIT + 1)])
+        pairs = rest.withColumn("_ub", F.lit(cap2)).withColumn("_tx", F.explode(steps)).withColumn("_ty", F.explode(steps))
+        resolved.append(searched(pairs, nested(extent / SPLIT)))
+    near = reduce(DataFrame.unionByName, resolved)
+    dist = near.groupBy(*cell_keys).agg(F.min("_d2").alias("_d2"))
     d_km = tf.deg_to_km(F.sqrt(F.col("_d2")))
     if max_distance_km is not None:
         d_km = F.when(placed, F.coalesce(tf.cap(d_km, max_distance_km), F.lit(float(max_distance_km))))

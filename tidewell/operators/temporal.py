@@ -156,10 +156,10 @@ def climatology(df: DataFrame, value: str = "value", by: str = "month", time_col
 
 
 def _epoch_seconds(c):
-    """Seconds of a wall-clock time since 1970, without any time zone."""
+    """Seconds, with their fraction, of a wall-clock time since 1970, without any time zone."""
     t = F.col(c).cast("timestamp_ntz")
     return (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")) * 86400.0
-            + F.hour(t) * 3600.0 + F.minute(t) * 60.0 + F.second(t))
+            + F.hour(t) * 3600.0 + F.minute(t) * 60.0 + F.date_part(F.lit("SECOND"), t).cast("double"))
 
 
 def interpolate_weekly(df: DataFrame, start: str, end: str, value: str = "value",

@@ -13,6 +13,8 @@ from .. import functions as tf
 from ..operators import cluster as CL
 from ..operators import grid as G
 from ..operators import spatial as SP
+from ..operators import store
+from .q_grid import CELL
 from .q_spatial import GRID_SQL, _rd2
 from .registry import register, report
 
@@ -64,10 +66,16 @@ def q_rookeries(spark, sf):
           "from grid g, rook r group by 1, 2")
 def q_rookery_distance(spark, sf):
     """Q7: U1 -> P1 -> C2 -> J3 -> P20 on the 0.1-degree grid."""
-    rook = CL.filter_rookeries(_prey(spark), MIN_SAMPLES, EPS_KM, "occ_id")
-    cells = G.target_grid(spark, BBOX, 0.1)
-    out = SP.nearest_distance(cells, rook, 500.0, out="Dist_to_Rookery_km")
-    return report(out.select("lat_idx", "lon_idx", "Dist_to_Rookery_km"))
+    return report(rookery_layer(spark, sf))
+
+
+def rookery_layer(spark, sf):
+    def build():
+        rook = CL.filter_rookeries(_prey(spark), MIN_SAMPLES, EPS_KM, "occ_id")
+        out = SP.nearest_distance(G.target_grid(spark, BBOX, 0.1), rook, 500.0, out="Dist_to_Rookery_km")
+        return out.select("lat_idx", "lon_idx", "Dist_to_Rookery_km")
+
+    return store.layer(spark, sf, "rookery_distance", CELL, build)
 
 
 @register("cluster_centroids", ["v_occurrences"],

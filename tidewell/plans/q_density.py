@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .. import functions as tf
 from ..operators import density as D
 from ..operators import grid as G
+from ..operators import store
 from ..operators import synthetic as S
 from ..operators import terrain as TR
-from .q_grid import H_M_05, SURFACE_GRID_SQL, _surface_grid
+from .q_grid import CELL, H_M_05, SURFACE_GRID_SQL, _surface_grid
 from .registry import register, report
 
 BBOX = tf.DEFAULT_BBOX
@@ -60,8 +61,15 @@ def q_kde(spark, sf):
           "from s, mm")
 def q_orca_density(spark, sf):
     """Q8: U1 -> P1 -> C3 scaled to [0, 1]."""
-    cells = G.target_grid(spark, BBOX, 0.1)
-    return report(D.density_index(cells, _orca(spark)).select("lat_idx", "lon_idx", "Orca_Density_Index"))
+    return report(orca_layer(spark, sf))
+
+
+def orca_layer(spark, sf):
+    def build():
+        return (D.density_index(G.target_grid(spark, BBOX, 0.1), _orca(spark))
+                 .select("lat_idx", "lon_idx", "Orca_Density_Index"))
+
+    return store.layer(spark, sf, "orca_density", CELL, build)
 
 
 @register("minmax_scale", ["v_surface"],

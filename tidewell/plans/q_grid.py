@@ -10,13 +10,19 @@ import datetime
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from ..operators import columns as C
 from ..operators import grid as G
+from ..operators import lines as LN
 from ..operators import resample as RS
+from ..operators import store
 from ..operators import temporal as T
 from ..operators import terrain as TR
+from ..operators.lineage import materialize
 from .registry import register, report
 
 BBOX = tf.DEFAULT_BBOX
+#: Keys of the stored layers.
+CELL, STRIP = ["lat_idx", "lon_idx"], list(LN.KEYS)
 H_KM_05 = 0.5 * tf.KM_PER_DEG
 H_KM_01 = 0.1 * tf.KM_PER_DEG
 H_M_05 = 0.5 * TR.M_PER_DEG
@@ -158,19 +164,27 @@ def q_bilinear(spark, sf):
           "round(degrees(atan(sqrt(dx * dx + dy * dy))), 9) + 0.0 as Slope_deg from dd")
 def q_bathymetry(spark, sf):
     """Q6: J9 elevation -> P18 depth (missing = 0) -> W2 slope, 0.1-degree grid."""
-    grid = G.target_grid(spark, BBOX, 0.1)
-    elev = RS.resample(spark.table("v_surface"), grid, ["elevation"], "bilinear")
-    dense = TR.densify(elev, grid).withColumn("Depth_m", tf.elevation_to_depth("elevation"))
-    n_lat, n_lon = G.grid_shape(BBOX, 0.1)
-    out = TR.slope_degrees(dense, "Depth_m", 0.1, n_lat, n_lon)
-    return report(out.select("lat_idx", "lon_idx", "Depth_m", "Slope_deg"))
+    return report(bathymetry_layer(spark, sf))
+
+
+def bathymetry_layer(spark, sf):
+    def build():
+        grid = G.target_grid(spark, BBOX, 0.1)
+        elev = RS.resample(spark.table("v_surface"), grid, ["elevation"], "bilinear")
+        n_lat, n_lon = G.grid_shape(BBOX, 0.1)
+        out = TR.slope_degrees(elev.withColumn("Depth_m", tf.elevation_to_depth("elevation")), "Depth_m", 0.1, n_lat, n_lon)
+        return out.select("lat_idx", "lon_idx", "Depth_m", "Slope_deg")
+
+    return store.layer(spark, sf, "bathymetry", CELL, build)
 
 
-def _cube_weekly_sql(out: str, with_gradient: bool, grid: str = GRID05, h: float = H_KM_05, last: int = 40) -> str:
+def _cube_weekly_sql(out: str, with_gradient: bool, grid: str = GRID05, h: float = H_KM_05, last: int = 40,
+                     src: str = "v_cube", before: str = "", exact: bool = False) -> str:
+    rnd = (lambda x: x) if exact else (lambda x: f"round({x}, 9) + 0.0")
     sql = (
-        f"with {grid}, {linear_map_sql('lat_', 'v_cube', 'lat', 'grid', 'lat_idx')}, "
-        f"{linear_map_sql('lon_', 'v_cube', 'lon', 'grid', 'lon_idx')}, "
-        f"r as ({bilinear_sql('v_cube', ['value'], ['time'])}), "
+        f"with {before}{grid}, {linear_map_sql('lat_', src, 'lat', 'grid', 'lat_idx')}, "
+        f"{linear_map_sql('lon_', src, 'lon', 'grid', 'lon_idx')}, "
+        f"r as ({bilinear_sql(src, ['value'], ['time'])}), "
         "w as (select cast(date_trunc('week', time) as date) + 6 as week, lat_idx, lon_idx, avg(value) as v "
         "from r group by 1, 2, 3), b as (select min(week) as lo, max(week) as hi from w), "
         "sp as (select g.lat_idx, g.lon_idx, cast(unnest(generate_series(b.lo, b.hi, interval 7 day)) as date) as week "
@@ -178,7 +192,7 @@ def _cube_weekly_sql(out: str, with_gradient: bool, grid: str = GRID05, h: float
         "d as (select sp.week, sp.lat_idx, sp.lon_idx, w.v from sp left join w on sp.week = w.week "
         "and sp.lat_idx = w.lat_idx and sp.lon_idx = w.lon_idx)")
     if not with_gradient:
-        return sql + f" select week, lat_idx, lon_idx, round(v, 9) + 0.0 as {out} from d"
+        return sql + f" select week, lat_idx, lon_idx, {rnd('v')} as {out} from d"
     return sql + (
         ", dd as (select week, lat_idx, lon_idx, v, "
         f"case when lon_idx = 0 then (lead(v) over wr - v) / {h!r} when lon_idx = {last} then "
@@ -187,8 +201,8 @@ def _cube_weekly_sql(out: str, with_gradient: bool, grid: str = GRID05, h: float
         f"(v - lag(v) over wc) / {h!r} else (lead(v) over wc - lag(v) over wc) / {2.0 * h!r} end as dy "
         "from d window wr as (partition by week, lat_idx order by lon_idx), "
         "wc as (partition by week, lon_idx order by lat_idx)) "
-        f"select week, lat_idx, lon_idx, round(v, 9) + 0.0 as {out}, "
-        "round(sqrt(dx * dx + dy * dy), 9) + 0.0 as SST_grad_C_km from dd")
+        f"select week, lat_idx, lon_idx, {rnd('v')} as {out}, "
+        f"{rnd('sqrt(dx * dx + dy * dy)')} as SST_grad_C_km from dd")
 
 
 def _sunday(t):
@@ -216,10 +230,69 @@ def cube_product(spark, out: str, with_gradient: bool, res: float = tf.DEFAULT_R
     return dense.select("week", "lat_idx", "lon_idx", out)
 
 
-@register("product_sst", ["v_cube"], _cube_weekly_sql("SST_mean_C", True))
+#: The weekly ocean variables: name of the layer, its columns, and what its variable may be called.
+OCEAN = {"sst": (("SST_mean_C", "SST_grad_C_km"), C.SST_ALIASES), "chlorophyll": (("Chla_mean_mg_m3",), C.CHL_ALIASES),
+         "sea_level": (("SSHA_mean_m",), ("sla", "ssha")), "salinity": (("Salinity_mean_PSU",), ("sss_smap", "sss"))}
+
+
+def _ocean_squares(spark, sf):
+    """The source squares of every week, with mean corners; the ocean variables come in the same granules."""
+    def build():
+        cube = C.normalize_columns(spark.table("v_ocean"), {name: aliases for name, (_, aliases) in OCEAN.items()})
+        cube = materialize(cube.select("time", "lat", "lon", *OCEAN), "granules")
+        return LN.weekly_squares(cube, G.target_grid(spark, BBOX, 0.1), list(OCEAN))
+
+    return store.layer(spark, sf, "ocean_squares", ["week"], build)
+
+
+def ocean_layer(spark, sf):
+    """Q1-Q4 as one stored layer of strips: A1 -> J9 (-> W1)."""
+    layers = [(name, columns[0], columns[1] if len(columns) > 1 else None) for name, (columns, _) in OCEAN.items()]
+    return store.layer(spark, sf, "ocean", STRIP, lambda: LN.lay_out(_ocean_squares(spark, sf), BBOX, 0.1, layers))
+
+
+def week_strips(spark, sf):
+    """Every week between the first and the last that feeds the grid, with every strip of the grid."""
+    def build():
+        span = _ocean_squares(spark, sf).agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
+        return LN.every_strip(span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week")), BBOX, 0.1)
+
+    return store.layer(spark, sf, "weeks", STRIP, build)
+
+
+def ocean_sql(name: str) -> str:
+    """Cell by cell at 0.1 degree, not rounded: ``(week, lat_idx, lon_idx, columns)``."""
+    columns, aliases = OCEAN[name]
+    before = f"oc as (select date as time, latitude as lat, longitude as lon, {aliases[0]} as value from v_ocean), "
+    return _cube_weekly_sql(columns[0], len(columns) > 1, GRID01, H_KM_01, 200, "oc", before, exact=True)
+
+
+def line_summary_sql(name: str, keys: str = "week, lat_idx") -> str:
+    parts = "".join(f", count({v}) as n_{v}, round(avg({v}), 9) + 0.0 as {v}_mean, "
+                    f"round(sum({v} * (lon_idx + 1)) / (count({v}) * 201), 9) + 0.0 as {v}_placed"
+                    for v in OCEAN[name][0])
+    return f"select {keys}{parts} from ({ocean_sql(name)}) p group by {keys}"
+
+
+def _strips(spark, sf, name):
+    return store.side_by_side(week_strips(spark, sf), [ocean_layer(spark, sf).select(*STRIP, *OCEAN[name][0])], STRIP)
+
+
+def _line_report(spark, sf, name):
+    """For each line of each week the number of values, their mean, and their mean weighted by place."""
+    columns, n_lon = OCEAN[name][0], G.grid_shape(BBOX, 0.1)[1]
+    sums = [c for v in columns for c in (LN.count(v).alias(f"n_{v}"), LN.total(F.col(v)).alias(f"s_{v}"), LN.placed(v).alias(f"p_{v}"))]
+    lines = _strips(spark, sf, name).select("week", "lat_idx", *sums).groupBy("week", "lat_idx").agg(
+        *[F.sum(f"{k}_{v}").alias(f"{k}_{v}") for v in columns for k in "nsp"])
+    return report(lines.select("week", "lat_idx", *[c for v in columns for c in (
+        F.col(f"n_{v}"), F.when(F.col(f"n_{v}") > 0, F.col(f"s_{v}") / F.col(f"n_{v}")).alias(f"{v}_mean"),
+        F.when(F.col(f"n_{v}") > 0, F.col(f"p_{v}") / (F.col(f"n_{v}") * n_lon)).alias(f"{v}_placed"))]))
+
+
+@register("product_sst", ["v_ocean"], line_summary_sql("sst"))
 def q_sst(spark, sf):
-    """Q1: SST weekly mean and front gradient on the 0.5-degree grid."""
-    return report(cube_product(spark, "SST_mean_C", True, 0.5))
+    """Q1: SST weekly mean and front gradient on the 0.1-degree grid, line by line."""
+    return _line_report(spark, sf, "sst")
 
 
 @register("product_sst_weeks", ["v_cube"],
@@ -235,52 +308,57 @@ def q_sst_weeks(spark, sf):
         F.count("SST_grad_C_km").alias("n_grad"))
 
 
-@register("product_chlorophyll", ["v_cube"], _cube_weekly_sql("Chla_mean_mg_m3", False))
+@register("product_chlorophyll", ["v_ocean"], line_summary_sql("chlorophyll"))
 def q_chl(spark, sf):
-    """Q2: chlorophyll weekly mean."""
-    return report(cube_product(spark, "Chla_mean_mg_m3", False, 0.5))
+    """Q2: chlorophyll weekly mean on the 0.1-degree grid, line by line."""
+    return _line_report(spark, sf, "chlorophyll")
 
 
-@register("product_sea_level", ["v_cube"], _cube_weekly_sql("SSHA_mean_m", False))
+@register("product_sea_level", ["v_ocean"], line_summary_sql("sea_level"))
 def q_ssha(spark, sf):
-    """Q3: sea-level anomaly weekly mean."""
-    return report(cube_product(spark, "SSHA_mean_m", False, 0.5))
+    """Q3: sea-level anomaly weekly mean on the 0.1-degree grid, line by line."""
+    return _line_report(spark, sf, "sea_level")
 
 
-@register("product_salinity", ["v_cube"], _cube_weekly_sql("Salinity_mean_PSU", False))
+@register("product_salinity", ["v_ocean"], line_summary_sql("salinity"))
 def q_sss(spark, sf):
-    """Q4: salinity weekly mean."""
-    return report(cube_product(spark, "Salinity_mean_PSU", False, 0.5))
+    """Q4: salinity weekly mean on the 0.1-degree grid, line by line."""
+    return _line_report(spark, sf, "salinity")
 
 
-def _weeks_sql(out: str) -> str:
-    return (f"select week, count(*) as n_cells, count({out}) as n_values, round(avg({out}), 6) as value_mean, "
+def _weeks_sql(name: str) -> str:
+    out = OCEAN[name][0][0]
+    return (f"select week, count(*) as n_cells, count({out}) as n_values, round(avg({out}), 9) + 0.0 as value_mean, "
             f"round(min({out}), 9) + 0.0 as value_min, round(max({out}), 9) + 0.0 as value_max from ("
-            + _cube_weekly_sql(out, False, GRID01) + ") p group by week")
+            + ocean_sql(name) + ") p group by week")
 
 
-def _weeks(spark, out: str):
-    return cube_product(spark, out, False).groupBy("week").agg(
-        F.count(F.lit(1)).alias("n_cells"), F.count(out).alias("n_values"), F.round(F.avg(out), 6).alias("value_mean"),
-        tf.rnd(F.min(out), 9).alias("value_min"), tf.rnd(F.max(out), 9).alias("value_max"))
+def _weeks(spark, sf, name: str):
+    out, (n_lat, n_lon) = OCEAN[name][0][0], G.grid_shape(BBOX, 0.1)
+    strips = _strips(spark, sf, name).select("week", LN.count(out).alias("n"), LN.total(F.col(out)).alias("total"),
+                                             F.array_min(out).alias("lo"), F.array_max(out).alias("hi"))
+    weeks = strips.groupBy("week").agg(F.sum("n").alias("n_values"), F.sum("total").alias("total"), F.min("lo").alias("value_min"),
+                                       F.max("hi").alias("value_max"))
+    return report(weeks.select("week", F.lit(n_lat * n_lon).cast("long").alias("n_cells"), "n_values", F.when(
+        F.col("n_values") > 0, F.col("total") / F.col("n_values")).alias("value_mean"), "value_min", "value_max"))
 
 
-@register("product_chlorophyll_weeks", ["v_cube"], _weeks_sql("Chla_mean_mg_m3"))
+@register("product_chlorophyll_weeks", ["v_ocean"], _weeks_sql("chlorophyll"))
 def q_chl_weeks(spark, sf):
     """Q2 on the whole 0.1-degree grid, reported week by week."""
-    return _weeks(spark, "Chla_mean_mg_m3")
+    return _weeks(spark, sf, "chlorophyll")
 
 
-@register("product_sea_level_weeks", ["v_cube"], _weeks_sql("SSHA_mean_m"))
+@register("product_sea_level_weeks", ["v_ocean"], _weeks_sql("sea_level"))
 def q_ssha_weeks(spark, sf):
     """Q3 on the whole 0.1-degree grid, reported week by week."""
-    return _weeks(spark, "SSHA_mean_m")
+    return _weeks(spark, sf, "sea_level")
 
 
-@register("product_salinity_weeks", ["v_cube"], _weeks_sql("Salinity_mean_PSU"))
+@register("product_salinity_weeks", ["v_ocean"], _weeks_sql("salinity"))
 def q_sss_weeks(spark, sf):
     """Q4 on the whole 0.1-degree grid, reported week by week."""
-    return _weeks(spark, "Salinity_mean_PSU")
+    return _weeks(spark, sf, "salinity")
 
 
 OXY_SRC = ("ox as (select 25.0 + cast(lat_idx as double) * 1.0 as lat, -130.0 + cast(lon_idx as double) * 1.0 as lon, "
@@ -295,12 +373,18 @@ OXY_SRC = ("ox as (select 25.0 + cast(lat_idx as double) * 1.0 as lat, -130.0 +
           "from grid g left join r on g.lat_idx = r.lat_idx and g.lon_idx = r.lon_idx")
 def q_oxygen(spark, sf):
     """Q5: bottom oxygen (A18) on the 1-degree climatology grid -> J9 to 0.1 degree."""
-    bottom = T.bottom_value(spark.table("v_oxygen"), out="oxy")
-    src = bottom.select((F.lit(25.0) + F.col("lat_idx").cast("double") * F.lit(1.0)).alias("lat"),
-                        (F.lit(-130.0) + F.col("lon_idx").cast("double") * F.lit(1.0)).alias("lon"), "oxy")
-    grid = G.target_grid(spark, BBOX, 0.1)
-    out = RS.resample(src, grid, ["oxy"], "bilinear").withColumnRenamed("oxy", "Oxygen_bottom_ml_L")
-    return report(out)
+    return report(oxygen_layer(spark, sf))
+
+
+def oxygen_layer(spark, sf):
+    def build():
+        bottom = T.bottom_value(spark.table("v_oxygen"), out="oxy")
+        src = bottom.select((F.lit(25.0) + F.col("lat_idx").cast("double") * F.lit(1.0)).alias("lat"),
+                            (F.lit(-130.0) + F.col("lon_idx").cast("double") * F.lit(1.0)).alias("lon"), "oxy")
+        grid = G.target_grid(spark, BBOX, 0.1)
+        return RS.resample(src, grid, ["oxy"], "bilinear").withColumnRenamed("oxy", "Oxygen_bottom_ml_L")
+
+    return store.layer(spark, sf, "oxygen", CELL, build)
 
 
 def spline_sql(p: str, src: str, axis: str, targets: str) -> str:

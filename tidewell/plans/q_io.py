@@ -197,6 +197,25 @@ def q_read_cube(spark, sf):
     return report(R.read_cube(spark, path).select("week", "lat", "lon", "value"))
 
 
+@register("read_granules", ["v_ocean"],
+          "select date as time, latitude as lat, longitude as lon, round(sst, 9) + 0.0 as sst, round(chlor_a, 9) + 0.0 as chlor_a, "
+          "round(sla, 9) + 0.0 as sla from v_ocean")
+def q_read_granules(spark, sf):
+    """Four granules combined by coordinates: two of SST that overlap in time, one of chlorophyll under
+    another name, one of sea level over the northern half and one over the southern."""
+    cube, mid = spark.table("v_ocean"), F.lit("1995-06-30").cast("date")
+    parts = [cube.filter(F.col("date") <= F.date_add(mid, 90)).select("date", "latitude", "longitude", "sst"),
+             cube.filter(F.col("date") >= mid).select(F.col("date").alias("time"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "sst"),
+             cube.select("date", "latitude", "longitude", F.col("chlor_a").alias("chlorophyll")),
+             cube.filter("latitude > 30").select("date", "latitude", "longitude", "sla"),
+             cube.filter("latitude <= 30").select("date", "latitude", "longitude", "sla")]
+    paths = [K.scratch_path(spark, "granule") for _ in parts]
+    for part, path in zip(parts, paths, strict=True):
+        part.write.parquet(path)
+    merged = R.read_granules(spark, paths, {"sst": R.SST_ALIASES, "chlor_a": R.CHL_ALIASES})
+    return report(merged.select("time", "lat", "lon", "sst", "chlor_a", "sla"))
+
+
 @register("read_raster", ["v_surface"],
           "select lat_idx, lon_idx, Slope_deg from (" + RAW_ORACLES["product_bathymetry"] + ") b")
 def q_read_raster(spark, sf):

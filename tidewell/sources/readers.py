@@ -10,6 +10,7 @@ documents (one task per file) when that is how the files were saved.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,6 +175,55 @@ def read_cube(spark: SparkSession, paths, fmt: str = "parquet", variable_aliases
     return df.select(*[tf.nan_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
 
 
+def granule_catalogue(granules: DataFrame, variables: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """A row per granule: its rows, its extent along every key, and how many values of each variable it has."""
+    extent = [f(k).alias(f"{n}_{k}") for k in keys for n, f in (("min", F.min), ("max", F.max))]
+    return granules.groupBy("granule").agg(F.count(F.lit(1)).alias("n_rows"), *extent, *[F.count(v).alias(f"n_{v}") for v in variables])
+
+
+def overlapping(catalogue: Sequence[T.Row], keys: Sequence[str]) -> bool:
+    """Whether the extents of any two granules meet (a sweep along the first key)."""
+    rows = sorted((r for r in catalogue if r[f"min_{keys[0]}"] is not None), key=lambda r: r[f"min_{keys[0]}"])
+    open_: list[T.Row] = []
+    for r in rows:
+        open_ = [o for o in open_ if o[f"max_{keys[0]}"] >= r[f"min_{keys[0]}"]]
+        if any(all(o[f"min_{k}"] <= r[f"max_{k}"] and r[f"min_{k}"] <= o[f"max_{k}"] for k in keys[1:]) for o in open_):
+            return True
+        open_.append(r)
+    return False
+
+
+def read_granules(spark: SparkSession, paths: Sequence[str], variable_aliases: dict | None = None,
+                  keys: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
+    """Granules of any variables and extents combined by their coordinates, one row for each.
+
+    Each granule is read with its own schema and canonical names. Granules whose extents don't meet are one table as
+    they are. Where some meet, rows of equal coordinates are merged: variables of different granules stand side by side,
+    equal values count once, a missing value yields to a present one, and different values of a variable are an error.
+    The catalogue that decides this has one row per granule and needs one pass.
+    """
+    frames = []
+    for i, path in enumerate(paths):
+        df = normalize_columns(spark.read.parquet(path), {c: a for c, a in (variable_aliases or {}).items()
+                                                          if set(a) & set(spark.read.parquet(path).columns)}, required=tuple(keys))
+        floats = [c for c, t in df.dtypes if t in ("double", "float")]
+        frames.append(df.select(*[tf.nan_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
+                        .withColumn("granule", F.lit(i)))
+    if not frames:
+        raise ValueError("no granules to read")
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    variables = [c for c in both.columns if c not in (*keys, "granule")]
+    if not overlapping(granule_catalogue(both, variables, keys).collect(), keys):
+        return both.select(*keys, *variables)
+
+    def merged(v: str):
+        clash = F.concat(F.lit(f"granules differ in {v} at "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+        return F.when(F.col(f"_lo_{v}").eqNullSafe(F.col(f"_hi_{v}")), F.col(f"_lo_{v}")).otherwise(F.raise_error(clash)).alias(v)
+
+    spans = [f(v).alias(f"_{n}_{v}") for v in variables for n, f in (("lo", F.min), ("hi", F.max))]
+    return both.groupBy(*keys).agg(*spans).select(*keys, *[merged(v) for v in variables])
+
+
 def duplicate_coordinates(cube: DataFrame, keys: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
     """Rows of ``keys`` that occur more than once (combine-by-coords check)."""
     return cube.groupBy(*keys).count().filter(F.col("count") > 1)
@@ -194,5 +244,5 @@ def read_points(spark: SparkSession, path) -> DataFrame:
 
 
 __all__ = ["read_obis_json", "read_gbif_json", "read_individuals_json", "read_tracks_json", "read_tracks_csv",
-           "read_effort", "read_lanes_geojson", "line_vertices", "read_cube", "read_raster", "read_points",
+           "read_effort", "read_lanes_geojson", "line_vertices", "read_cube", "read_granules", "read_raster", "read_points",
            "explode_results", "duplicate_coordinates", "SST_ALIASES", "CHL_ALIASES"]
