@@ -113,7 +113,8 @@ def _digests(turns: DataFrame, levels: int) -> list[DataFrame]:
 def _named(pieces: DataFrame, digests: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
     """The nodes that ``pieces`` reach over the segments of ``digests``, and the pieces with their node's name."""
     keyed = pinned(pieces.join(digests, ["conv", "lo"]), "cut")
-    nodes = keyed.groupBy("lo", "parent", "g").agg(F.min("conv").alias("name"), F.sum("w").alias("w"), *more)
+    # written, so that the join is one of two plain tables: Spark splits its hot keys
+    nodes = pinned(keyed.groupBy("lo", "parent", "g").agg(F.min("conv").alias("name"), F.sum("w").alias("w"), *more), "named")
     return nodes, keyed.join(nodes.select("lo", "parent", "g", "name"), ["lo", "parent", "g"])
 
 
