@@ -63,13 +63,13 @@ def test_ocean_layers_have_values_everywhere(spark):
 
 
 def test_layers_are_joined_bucket_to_bucket(spark):
-    register_views(spark, DENSE, ["v_ocean", "v_effort"])
+    register_views(spark, DENSE, ["v_ocean", "v_effort_season"])
     plan = q_training.stack_weekly(spark, DENSE)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
 def test_training_table_has_all_thirteen_variables(spark):
-    register_views(spark, DENSE, ["v_tracks", "v_individuals", "v_effort", "v_ocean", *q_training.STATIC_VIEWS])
+    register_views(spark, DENSE, ["v_tracks", "v_individuals", "v_effort_season", "v_ocean", *q_training.STATIC_VIEWS])
     df = q_training.q_training.__wrapped__(spark, DENSE)
     variables = [*q_training.LAYERS, *q_training.WEEKLY, q_training.EFFORT]
     counts = df.agg(*[F.count(v).alias(v) for v in variables]).first().asDict()

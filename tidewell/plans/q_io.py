@@ -203,8 +203,8 @@ def q_read_cube(spark, sf):
 def q_read_granules(spark, sf):
     """Four granules combined by coordinates: two of SST that overlap in time, one of chlorophyll under
     another name, one of sea level over the northern half and one over the southern."""
-    cube, mid = spark.table("v_ocean"), F.lit("1995-06-30").cast("date")
-    parts = [cube.filter(F.col("date") <= F.date_add(mid, 90)).select("date", "latitude", "longitude", "sst"),
+    cube, mid = spark.table("v_ocean"), F.lit("2024-02-10").cast("date")
+    parts = [cube.filter(F.col("date") <= F.date_add(mid, 20)).select("date", "latitude", "longitude", "sst"),
              cube.filter(F.col("date") >= mid).select(F.col("date").alias("time"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "sst"),
              cube.select("date", "latitude", "longitude", F.col("chlor_a").alias("chlorophyll")),
              cube.filter("latitude > 30").select("date", "latitude", "longitude", "sla"),

@@ -69,7 +69,7 @@ def _static_layers(spark, sf):
 def effort_layer(spark, sf):
     """Q9 as a stored layer of strips."""
     return store.layer(spark, sf, "effort", STRIP, lambda: LN.as_strips(
-        T.effort_grid(C.filter_gear(spark.table("v_effort"))).drop("n_records"), EFFORT))
+        T.effort_grid(C.filter_gear(spark.table("v_effort_season"))).drop("n_records"), EFFORT))
 
 
 def stack_weekly(spark, sf):
@@ -152,10 +152,10 @@ EFFORT_LAYER_SQL = ("eff as (select cast(date_trunc('week', ts) as date) + 6 as
                     "cast(floor((lat - 25.0) / 0.1 + 0.5) as int) as lat_idx, "
                     "cast(floor((lon - -130.0) / 0.1 + 0.5) as int) as lon_idx, "
                     f"coalesce(sum(hours), 0.0) / {(0.1 * tf.KM_PER_DEG) ** 2!r} as Fishing_Effort_h_km2 "
-                    "from v_effort where gear in ('tuna_purse_seines', 'drifting_longlines') group by 1, 2, 3)")
+                    "from v_effort_season where gear in ('tuna_purse_seines', 'drifting_longlines') group by 1, 2, 3)")
 
 
-@register("stack_weekly_layers", ["v_ocean", "v_effort"], _stack_weekly_sql())
+@register("stack_weekly_layers", ["v_ocean", "v_effort_season"], _stack_weekly_sql())
 def q_stack_weekly(spark, sf):
     """J12 on the weekly layers, reported week by week: values, means, and the hours of effort."""
     sums = [x for v in WEEKLY for x in (LN.count(v).alias(f"n_{v}"), LN.total(F.col(v)).alias(f"s_{v}"))]
@@ -166,7 +166,7 @@ def q_stack_weekly(spark, sf):
     return report(weeks.select("week", F.lit(n_lat * n_lon).cast("long").alias("n_cells"), *means))
 
 
-@register("extract_features", ["v_tracks", "v_individuals", "v_effort"],
+@register("extract_features", ["v_tracks", "v_individuals", "v_effort_season"],
           f"with {PRESENCE_SQL}, {EFFORT_LAYER_SQL} select p.event_id, p.lat_idx, p.lon_idx, "
           "round(e.Fishing_Effort_h_km2, 9) + 0.0 as Fishing_Effort_h_km2 from (select event_id, "
           "cast(date_trunc('week', ts) as date) + 6 as week, cast(floor((lat - 25.0) / 0.1 + 0.5) as int) as lat_idx, "
@@ -176,7 +176,7 @@ def q_extract(spark, sf):
     """Weekly fishing effort at each presence point (snap to cell, match week)."""
     presence = S.presence_points(spark.table("v_tracks"), spark.table("v_individuals"))
     pts = presence.select("event_id", F.col("ts").alias("Date"), "lon", "lat")
-    effort = T.effort_grid(C.filter_gear(spark.table("v_effort"))).drop("n_records")
+    effort = T.effort_grid(C.filter_gear(spark.table("v_effort_season"))).drop("n_records")
     out = FE.extract_features(pts, dynamic=[effort], static=[], date_col="Date")
     return report(out.select("event_id", "lat_idx", "lon_idx", "Fishing_Effort_h_km2"))
 
@@ -205,7 +205,7 @@ def _weekly_at_points_sql() -> str:
         + ", round(sqrt(dx * dx + dy * dy), 9) + 0.0 as SST_grad_C_km from wg)")
 
 
-@register("product_training_table", ["v_tracks", "v_individuals", "v_effort", "v_ocean", *STATIC_VIEWS],
+@register("product_training_table", ["v_tracks", "v_individuals", "v_effort_season", "v_ocean", *STATIC_VIEWS],
           f"with {PRESENCE_SQL}, {_combined_sql()}, {EFFORT_LAYER_SQL}, st as ({_stack_sql('s')}), "
           "pts as (select *, cast(date_trunc('week', Date) as date) + 6 as week, "
           "cast(floor((lat - 25.0) / 0.1 + 0.5) as int) as lat_idx, "

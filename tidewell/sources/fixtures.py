@@ -38,12 +38,19 @@ VIEW_SQL = {
         "select o_orderdate as time, cast(25 as double) + cast(o_custkey % 9 as double) * 2.5 as lat, "
         "cast(-130 as double) + cast(cast(floor(o_custkey / 9) as bigint) % 9 as double) * 2.5 as lon, "
         "max(o_totalprice) / 20000 as value from orders group by 1, 2, 3"),
+    # daily granules of the tracks' season, named as their providers do
     "v_ocean": (
-        "select cast(date_trunc('week', o_orderdate) as date) as date, cast(25 as double) + cast(o_custkey % 5 as double) * 5.0 "
-        "as latitude, cast(-130 as double) + cast(cast(floor(o_custkey / 5) as bigint) % 5 as double) * 5.0 as longitude, "
-        "max(o_totalprice) / 20000 as sst, case when max(o_orderkey) % 11 = 0 then null else min(o_totalprice) / 100000 end "
-        "as chlor_a, cast(max(o_orderkey) % 201 - 100 as double) / 100 as sla, case when min(o_orderkey) % 13 = 0 then null "
-        "else cast(32 as double) + cast(min(o_orderkey) % 300 as double) / 100 end as sss_smap from orders group by 1, 2, 3"),
+        "select date '2024-01-01' + cast((o_orderkey * 7 + o_custkey) % 91 as int) as date, cast(25 as double) "
+        "+ cast(o_custkey % 5 as double) * 5.0 as latitude, cast(-130 as double) + cast(cast(floor(o_custkey / 5) as bigint) % 5 "
+        "as double) * 5.0 as longitude, max(o_totalprice) / 20000 as sst, case when max(o_orderkey) % 11 = 0 then null "
+        "else min(o_totalprice) / 100000 end as chlor_a, cast(max(o_orderkey) % 201 - 100 as double) / 100 as sla, "
+        "case when min(o_orderkey) % 13 = 0 then null else cast(32 as double) + cast(min(o_orderkey) % 300 as double) / 100 end "
+        "as sss_smap from orders group by 1, 2, 3"),
+    "v_effort_season": (
+        "select date '2024-01-01' + cast((l_orderkey * 5 + l_linenumber) % 91 as int) as ts, case l_returnflag when 'A' then "
+        "'tuna_purse_seines' when 'N' then 'drifting_longlines' else 'trawlers' end as gear, "
+        "cast(-130 as double) + cast((l_suppkey * 191 + l_orderkey) % 2000 as double) / 100 as lon, "
+        "cast(25 as double) + cast((l_partkey * 37) % 2000 as double) / 100 as lat, l_quantity as hours from lineitem"),
     "v_surface": (
         "select p_partkey % 40 as lon_idx, cast(floor(p_partkey / 40) as bigint) as lat_idx, "
         "cast(-130 as double) + cast(p_partkey % 40 as double) * 0.5 as lon, "
@@ -86,7 +93,7 @@ SPARK_VIEW_SQL = {
 VIEW_TABLES = {
     "v_individuals": ("events",), "v_tracks": ("events",), "v_occurrences": ("orders",),
     "v_cube": ("orders",), "v_ocean": ("orders",), "v_surface": ("part",), "v_lane_vertices": ("supplier",),
-    "v_oxygen": ("lineitem",), "v_effort": ("lineitem",), "v_series_a": ("events",),
+    "v_oxygen": ("lineitem",), "v_effort": ("lineitem",), "v_effort_season": ("lineitem",), "v_series_a": ("events",),
 }
 
 
