@@ -281,46 +281,68 @@ def test_links_of_any_distance(spark, bits):
 # line deduplication
 
 def slow_line_dedup(rows, window=2, k=3, min_chars=80):
+    """The definition unit by unit: growing shingles, whole lines, and every extension of every place compared with all."""
     pattern = re.compile(linededup.unit_pattern())
-    cut, whole = {}, {}
+    cut, whole, sizes, lines = {}, {}, {}, {}
     for key in {(r[0], r[1]) for r in rows}:
-        parts = [m for m in pattern.finditer(key[1] or "")]
-        cut[key] = [m.group(1) for m in parts]
+        parts = list(pattern.finditer(key[1] or ""))
+        units = cut[key] = [m.group(0).strip(linededup.SPACE) for m in parts]
         whole[key] = [m.group(0) for m in parts]
-    seen, picks = {}, {}
+        sizes[key] = [next((n for n in range(k, len(units) - i + 1) if sum(map(len, units[i:i + n])) >= min_chars), None)
+                      for i in range(len(units))]
+        ends = [i + 1 for i, m in enumerate(parts) if "\n" in m.group(0).lstrip(linededup.SPACE) or i == len(parts) - 1]
+        lines[key] = [(a, b - a) for a, b in zip([0, *ends], ends) if sum(map(len, units[a:b])) >= min_chars]
+    prints = {}
     for key, units in cut.items():
         hashes = []
-        for i in range(len(units) - k + 1):
-            if sum(map(len, units[i:i + k])) >= min_chars:
+        for i, n in enumerate(sizes[key]):
+            if n:
                 h = 42
-                for u in units[i:i + k]:
+                for u in units[i:i + n]:
                     one = signed(xxhash.xxh64_intdigest(u.encode(), 42))
                     h = xxhash.xxh64_intdigest(one.to_bytes(8, "little", signed=True), h)
-                hashes.append((i, signed(h)))
-        chosen = set()
-        for s in range(max(1, len(hashes) - window + 1)):
-            part = hashes[s:s + window]
-            if part:
-                chosen.add(min(part, key=lambda x: (x[1], x[0]))[0])
-        picks[key] = chosen
-        for i in chosen:
-            seen.setdefault(tuple(units[i:i + k]), set()).add((key, i))
-    runs = {}
-    for key, units in cut.items():
-        for i in picks[key]:
-            if len(seen[tuple(units[i:i + k])]) > 1:
-                for e in range(-window, window + 1):
-                    a, b = i + min(e, 0), i + k + max(e, 0)
-                    if a >= 0 and b <= len(units):
-                        runs.setdefault(tuple(units[a:b]), set()).add((order(key), a))
+                hashes.append((signed(h), i))
+        chosen = {min(hashes[s:s + window])[1] for s in range(max(1, len(hashes) - window + 1)) if hashes}
+        prints[key] = {(i, sizes[key][i]) for i in chosen} | set(lines[key])
+    groups = {}
+    for key, own in prints.items():
+        for i, n in own:
+            groups.setdefault(tuple(cut[key][i:i + n]), []).append((order(key), i, n, key))
+    later = {(key, i, n) for places in groups.values() for _, i, n, key in sorted(places, key=lambda p: p[:2])[1:]}
     gone = {}
-    for run, places in runs.items():
-        for key, a in places - {min(places)}:
-            gone.setdefault(key, set()).update(range(a, a + len(run)))
+    for key, i, n in later:
+        gone.setdefault(order(key), set()).update(range(i, i + n))
+    for places in groups.values():
+        places.sort(key=lambda p: p[:2])
+        for side in (-1, 1):
+            if not any((key, i, n) in later and edge(sorted((a, m) for x, a, m in later if x == key), i, n, side) for _, i, n, key in places):
+                continue
+            exts = []
+            for _, i, n, key in places:
+                units = cut[key]
+                after = max(i + n, i + window)
+                size = sizes[key][after] if after < len(units) else None
+                stop = min(after + size, len(units)) if size else len(units)
+                exts.append(units[i + n:stop] if side > 0 else units[max(0, i - max(window, k - 1)):i][::-1])
+            for p, (o, i, n, _) in enumerate(places):
+                far = max((common(exts[p], exts[q]) for q in range(p)), default=0)
+                gone.setdefault(o, set()).update(range(i + n, i + n + far) if side > 0 else range(i - far, i)) if far else None
     return {key: "".join(u for i, u in enumerate(whole[key]) if i not in gone[order(key)]) if order(key) in gone else key[1]
             for key in cut}
 
 
+def common(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def edge(runs, i, n, side):
+    """Whether the unit beside the deleted shingle is not within its neighbour among the document's deleted ones."""
+    at = runs.index((i, n))
+    if side < 0:
+        return at == 0 or runs[at - 1][0] == i or sum(runs[at - 1]) < i
+    return at == len(runs) - 1 or runs[at + 1][0] > i + n or sum(runs[at + 1]) <= i + n
+
+
 def signed(h):
     return h - (1 << 64) if h >> 63 else h
 

@@ -22,10 +22,11 @@ hash is that of its trimmed content.
   extended unit by unit as far as the run can go without another fingerprint:
   to the left by ``window`` units, to the right to the end of the shingle that
   starts where this one ends (of a later one in a wide window), or of the text.
-  An extension is itself a run, and again all but the first of equal content
-  are deleted; so every place is compared with all others, not with the first
-  alone. Only the least position of a group is ever aggregated, so a passage
-  in a third of all documents costs no more than its rows.
+  Each place is extended as far as any earlier place of the same shingle goes
+  on alike, not the first alone: ``_reaches`` finds that by halves, so a copy
+  costs a row or two a round, whatever its length. Only the least position of
+  a group is ever aggregated, so a passage in a third of all documents costs
+  no more than its rows.
 
 DataFrame functions only. Texts are read once for the units and once when the
 deleted units are cut out; everything between is hashes.
@@ -144,14 +145,44 @@ def fingerprints(units: DataFrame, shingle_units: int, window: int) -> DataFrame
 def _not_first(runs: DataFrame, run: str, pos: str) -> DataFrame:
     """The rows of ``runs`` whose content comes at an earlier place too."""
     place = F.struct("id", "th", pos)
-    least = (runs.groupBy(run).agg(F.min(place).alias("least"), F.count("*").alias("times"))
-                 .filter("times > 1").select(run, "least"))
+    # written, so that the join is one of two plain tables: Spark splits its hot keys
+    least = pinned(runs.groupBy(run).agg(F.min(place).alias("least"), F.count("*").alias("times"))
+                       .filter("times > 1").select(run, "least"), "least")
     return runs.join(least, run).filter(place > F.col("least")).drop("least")
 
 
+def _reaches(places: DataFrame) -> DataFrame:
+    """``(place, run, far)``: how many units ``ext`` of a place has in common with an earlier place of the same ``run``.
+
+    ``places(run, place, ext)``. Places that share nothing with an earlier one are left out. The common length with all
+    earlier places is found by halves: of places with equal first halves of a segment all but the least go on in the
+    second half only, beneath that group; the least one stands for them in the first half, and goes along in the second
+    for the others to be compared with. A place costs a row or two a round, and there is a round for each power of two.
+    """
+    longest = places.agg(F.max(F.size("ext"))).first()[0] or 0
+    top = max(0, (longest - 1).bit_length())
+    pieces = places.select("run", "place", "ext", F.lit(0).alias("lo"), F.col("run").alias("group"), F.size("ext").alias("n")).filter("n > 0")
+    far = None
+    for level in [*reversed(range(top)), None]:
+        half = 1 << level if level is not None else 1  # the last round looks at single units
+        keyed = pinned(pieces.filter(F.col("n") >= half).withColumn("next", F.xxhash64(
+            "group", "lo", F.slice("ext", F.col("lo") + 1, F.lit(half)))), "runs")
+        least = pinned(keyed.groupBy("next").agg(F.min("place").alias("least"), F.count("*").alias("times")).filter("times > 1"), "least")
+        split = keyed.join(least.select("next", "least"), "next", "left").withColumn("later", F.coalesce(F.col("place") > F.col("least"), F.lit(False)))
+        shared = split.filter("later").select("place", "run", (F.col("lo") + half).alias("far"))
+        far = shared if far is None else far.unionByName(shared)
+        if level is None:
+            break
+        lower = split.filter((F.col("n") > half) & F.col("least").isNotNull()).select(
+            "run", "place", "ext", (F.col("lo") + half).alias("lo"), F.col("next").alias("group"), (F.col("n") - half).alias("n"))
+        upper = split.filter(~F.col("later")).select("run", "place", "ext", "lo", "group", F.lit(half).alias("n"))
+        pieces = pinned(pieces.filter(F.col("n") < half).unionByName(upper).unionByName(lower), "pieces")
+    return far.groupBy("place", "run").agg(F.max("far").alias("far"))
+
+
 def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units: int = SHINGLE_UNITS,
                    min_chars: int = MIN_CHARS, window: int = WINDOW) -> DataFrame:
-    """``(id, th, gone)``: the unit positions to delete, for documents that lose any."""
+    """``(id, th, gone)``: the runs ``(first, n)`` of units to delete, for documents that lose any."""
     units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units")
     # nearly all rows of the job are prints: they carry a row number only
     prints = fingerprints(units, shingle_units, window)
@@ -163,22 +194,33 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
     open_left = F.coalesce((F.lag("pos").over(by_row) == F.col("pos")) | (F.lag(end).over(by_row) < F.col("pos")), F.lit(True))
     open_right = F.coalesce((F.lead("pos").over(by_row) > end) | (F.lead(end).over(by_row) <= end), F.lit(True))
     sides = F.array_compact(F.array(F.when(open_left, F.lit(-1)), F.when(open_right, F.lit(1))))
-    edges = later.select("h", sides.alias("sides")).select("h", F.explode("sides").alias("side")).distinct()
+    edges = pinned(later.select("h", sides.alias("sides")).select("h", F.explode("sides").alias("side")).distinct(), "edges")
     # a run that goes on beyond these bounds holds another fingerprint there
     after = F.greatest(F.col("pos") + F.col("n"), F.col("pos") + window)
     to_right = F.least(F.coalesce(after + F.get("sizes", after), F.size("units")), F.size("units")) - F.col("pos") - F.col("n")
-    most = F.when(F.col("side") < 0, F.least("pos", F.lit(max(window, shingle_units - 1)))).otherwise(to_right)
-    longer = (found.join(edges, "h").join(units.select("row", "units", "sizes"), "row").withColumn("most", most)
-                   .filter("most > 0").withColumn("k", F.explode(F.sequence(F.lit(1), "most")))
-                   .withColumn("first", F.when(F.col("side") < 0, F.col("pos") - F.col("k")).otherwise(F.col("pos")))
-                   .withColumn("n", F.col("n") + F.col("k"))
-                   .select("id", "th", "first", "n", F.xxhash64("n", F.slice("units", F.col("first") + 1, F.col("n"))).alias("run")))
-    longer = _not_first(pinned(longer, "longer"), "run", "first")
-    runs = (later.select("id", "th", F.col("pos").alias("first"), "n")
-                 .unionByName(longer.select("id", "th", "first", "n")))
-    return (runs.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
-                .select("id", "th", F.array_distinct(F.flatten(F.transform(
-                    "runs", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))).alias("gone")))
+    to_left = F.least("pos", F.lit(max(window, shingle_units - 1)))
+    ext = F.when(F.col("side") < 0, F.reverse(F.slice("units", F.col("pos") + 1 - to_left, to_left))).otherwise(
+        F.slice("units", F.col("pos") + F.col("n") + 1, to_right))
+    ends = (found.join(edges, "h").join(units.select("row", "units", "sizes"), "row")
+                 .select(F.xxhash64("h", "side").alias("run"), F.struct("id", "th", "pos", "n", "side").alias("place"), ext.alias("ext")))
+    reach = _reaches(pinned(ends, "ends")).select("place.*", "far")
+    longer = reach.select("id", "th", F.when(F.col("side") < 0, F.col("pos") - F.col("far")).otherwise(F.col("pos")).alias("first"),
+                          (F.col("n") + F.col("far")).alias("n"))
+    runs = later.select("id", "th", F.col("pos").alias("first"), "n").unionByName(longer)
+    return runs.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("gone"))
+
+
+def kept_ranges(gone: Column, units: Column) -> Column:
+    """What is left of ``units`` units without the sorted runs ``gone``: ``(first, n)``."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,n:int>>").alias("out"))
+
+    def step(a: Column, r: Column) -> Column:
+        kept = F.when(r["first"] > a["at"], F.array(F.struct(a["at"].alias("first"), (r["first"] - a["at"]).alias("n")))).otherwise(
+            F.array().cast("array<struct<first:int,n:int>>"))
+        return F.struct(F.greatest(a["at"], r["first"] + r["n"]).alias("at"), F.concat(a["out"], kept).alias("out"))
+
+    end = F.array(F.struct(units.alias("first"), F.lit(0).alias("n")))
+    return F.aggregate(F.concat(gone, end), start, step)["out"]
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -191,10 +233,13 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                           shingle_units, min_chars, window)
     both = (plain.withColumn("row_th", F.xxhash64(text))
                  .join(gone, key.eqNullSafe(F.col("id")) & (F.col("row_th") == F.col("th")), "left"))
-    kept = F.array_join(F.filter(line_units(text, unit_words), lambda u, i: ~F.array_contains(F.col("gone"), i)), "")
-    cut = both.withColumn("kept", F.when(F.col("gone").isNull(), text).otherwise(kept))
-    cut = computed(cut, *at.values(), "gone", "kept")
+    both = computed(both, *at.values(), F.coalesce("gone", F.array().cast("array<struct<first:int,n:int>>")).alias("gone"),
+                    F.when(F.col("gone").isNotNull(), line_units(text, unit_words)).alias("cut"))
+    both = computed(both, *at.values(), "cut", F.when(F.col("cut").isNotNull(), kept_ranges(F.col("gone"), F.size("cut"))).alias("left"))
+    pieces = F.flatten(F.transform("left", lambda r: F.slice("cut", r["first"] + 1, r["n"])))
+    cut = computed(both, *at.values(), F.coalesce(F.size("cut") - F.aggregate("left", F.lit(0), lambda n, r: n + r["n"]), F.lit(0)).alias("lost"),
+                   F.when(F.col("cut").isNull(), text).otherwise(F.array_join(pieces, "")).alias("kept"))
     out = [F.col("kept" if c == text_col else n).alias(c) for c, n in at.items()
            if c not in ("removed_units", "removed_chars")]
-    return cut.select(*out, F.coalesce(F.size("gone"), F.lit(0)).alias("removed_units"),
+    return cut.select(*out, F.col("lost").alias("removed_units"),
                       F.coalesce(F.length(text) - F.length("kept"), F.lit(0)).cast("long").alias("removed_chars"))
