@@ -161,29 +161,36 @@ def _reaches(places: DataFrame) -> DataFrame:
     """
     longest = places.agg(F.max(F.size("ext"))).first()[0] or 0
     top = max(0, (longest - 1).bit_length())
-    pieces = places.select("run", "place", "ext", F.lit(0).alias("lo"), F.col("run").alias("group"), F.size("ext").alias("n")).filter("n > 0")
+    pieces = places.select("run", "place", "ext", F.lit(0).alias("lo"), F.col("run").alias("group")).filter(F.size("ext") > 0)
     far = None
     for level in [*reversed(range(top)), None]:
         half = 1 << level if level is not None else 1  # the last round looks at single units
-        keyed = pinned(pieces.filter(F.col("n") >= half).withColumn("next", F.xxhash64(
-            "group", "lo", F.slice("ext", F.col("lo") + 1, F.lit(half)))), "runs")
-        least = pinned(keyed.groupBy("next").agg(F.min("place").alias("least"), F.count("*").alias("times")).filter("times > 1"), "least")
-        split = keyed.join(least.select("next", "least"), "next", "left").withColumn("later", F.coalesce(F.col("place") > F.col("least"), F.lit(False)))
-        shared = split.filter("later").select("place", "run", (F.col("lo") + half).alias("far"))
-        far = shared if far is None else far.unionByName(shared)
+        keyed = pieces.filter(F.size("ext") >= half).withColumn("next", F.xxhash64("group", "lo", F.slice("ext", 1, half)))
+        least = pinned(keyed.groupBy("next").agg(F.min("place").alias("least"), F.count("*").alias("times")).filter("times > 1")
+                            .select("next", "least"), "least", "zstd")
+        split = keyed.join(least, "next", "left").withColumn("later", F.coalesce(F.col("place") > F.col("least"), F.lit(False)))
         if level is None:
-            break
-        lower = split.filter((F.col("n") > half) & F.col("least").isNotNull()).select(
-            "run", "place", "ext", (F.col("lo") + half).alias("lo"), F.col("next").alias("group"), (F.col("n") - half).alias("n"))
-        upper = split.filter(~F.col("later")).select("run", "place", "ext", "lo", "group", F.lit(half).alias("n"))
-        pieces = pinned(pieces.filter(F.col("n") < half).unionByName(upper).unionByName(lower), "pieces")
-    return far.groupBy("place", "run").agg(F.max("far").alias("far"))
+            shared = pinned(split.filter("later").select("place", "run", (F.col("lo") + 1).alias("far")), "shared", "zstd")
+            return (shared if far is None else far.unionByName(shared)).groupBy("place", "run").agg(F.max("far").alias("far"))
+        # a piece carries the units of its own segment only
+        rest = F.slice("ext", F.lit(half + 1), F.size("ext"))
+        parts = F.array_compact(F.array(
+            F.when(F.col("least").isNotNull() & (F.size("ext") > half), F.struct(
+                rest.alias("ext"), (F.col("lo") + half).alias("lo"), F.col("next").alias("group"), F.lit(False).alias("shared"))),
+            F.when(~F.col("later"), F.struct(F.slice("ext", 1, half).alias("ext"), "lo", "group", F.lit(False).alias("shared"))),
+            F.when(F.col("later"), F.struct(F.array().cast("array<bigint>").alias("ext"), (F.col("lo") + half).alias("lo"), "group",
+                                            F.lit(True).alias("shared")))))
+        short = pieces.filter(F.size("ext") < half).withColumn("shared", F.lit(False))
+        both = pinned(short.unionByName(split.select("run", "place", F.inline(parts)).select(*short.columns)), "pieces", "zstd")
+        shared = both.filter("shared").select("place", "run", F.col("lo").alias("far"))
+        far = shared if far is None else far.unionByName(shared)
+        pieces = both.filter("not shared").drop("shared")
 
 
 def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units: int = SHINGLE_UNITS,
                    min_chars: int = MIN_CHARS, window: int = WINDOW) -> DataFrame:
     """``(id, th, gone)``: the runs ``(first, n)`` of units to delete, for documents that lose any."""
-    units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units")
+    units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units", "zstd")
     # nearly all rows of the job are prints: they carry a row number only
     prints = fingerprints(units, shingle_units, window)
     often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
@@ -203,7 +210,7 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
         F.slice("units", F.col("pos") + F.col("n") + 1, to_right))
     ends = (found.join(edges, "h").join(units.select("row", "units", "sizes"), "row")
                  .select(F.xxhash64("h", "side").alias("run"), F.struct("id", "th", "pos", "n", "side").alias("place"), ext.alias("ext")))
-    reach = _reaches(pinned(ends, "ends")).select("place.*", "far")
+    reach = _reaches(pinned(ends, "ends", "zstd")).select("place.*", "far")
     longer = reach.select("id", "th", F.when(F.col("side") < 0, F.col("pos") - F.col("far")).otherwise(F.col("pos")).alias("first"),
                           (F.col("n") + F.col("far")).alias("n"))
     runs = later.select("id", "th", F.col("pos").alias("first"), "n").unionByName(longer)
