@@ -5,23 +5,27 @@ text. A text is compressed against both, block by block, so that the
 dictionary matters in every part of a long text. The normalised difference of
 the two compressed sizes, ``(bad - good) / bytes``, is positive when the good
 dictionary helps more, and near zero for text that needs neither, such as one
-word over and over. Labelled rows that built no dictionary calibrate it: a
-monotone fit (pool adjacent violators) gives the share of good text at each
-difference, one fit for each class of text sizes, as a short text's difference
-says less; a small part of a logistic fit keeps the order of texts with the
-same share.
+word over and over. Labelled rows that built no dictionary calibrate it:
+monotone fits (pool adjacent violators) give the share of good text at each
+difference, and a small part of a logistic fit keeps the order of texts with
+the same share. A short text's difference says less, so there is a fit around
+each of ``CENTRES`` bytes, to which a row counts the more the nearer its size
+is on a logarithmic scale; a score lies between those of its two centres in
+the same way. It has no step at any size.
 
 Fitting uses a bounded sample: ``max_rows`` labelled rows of each class (those
-with the smallest hash of their id) and of each the ``span`` characters from a
-hashed offset, so the driver sees at most ``2 * max_rows * span`` characters
-at any corpus size. Scoring always reads every text as a whole.
-
-Defined results: a null or empty text has difference 0 and so the score of
-the intercept; a label that is null or neither 0 nor 1 is ignored; labels
-without a document are ignored; without rows of one class every score is the
-smoothed share of the other, without any labels 0.5. Repeated rows are scored
-each for itself. Extra columns are kept; a column already called ``score`` is
-replaced.
+with the smallest hash of their id), as whole texts. Every other one goes to
+the driver for the dictionaries, at most ``max_rows`` texts at any corpus size;
+the others are compressed in tasks and send two numbers each. Scoring always
+reads every text as a whole.
+
+Defined results: a null or empty text has difference 0 and the size of one
+byte; a label that is null or neither 0 nor 1 is ignored; labels without a
+document are ignored; without rows of one class every score is the smoothed
+share of the other, without any labels 0.5. An empty table of documents has an
+empty result; very long texts take time in step with their size and the memory
+of one block. Repeated rows are scored each for itself. Extra columns are kept;
+columns already called ``score`` or ``predicted`` are replaced.
 """
 
 from __future__ import annotations
@@ -33,20 +37,19 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_blocks
+from .common import as_blocks, pinned
 
 MAX_ROWS = 3000
-SPAN = 4096
 DICT_BYTES = 65536
 BLOCK = 2048
 LEVEL = 3
 THRESHOLD = 0.3
 SMOOTH = 0.02
-SIZES = (200, 1000)
-LEAST_ROWS = 20
+CENTRES = (64, 256, 1024, 4096, 16384)  # bytes
+FAR = 0.01  # what a row of another size counts at least
 
 
 @dataclass(frozen=True)
@@ -56,20 +59,26 @@ class QualityModel:
     bad: bytes | None
     weight: float
     bias: float
-    steps: tuple[tuple[tuple[float, ...], tuple[float, ...]], ...] = ()  # by size class: differences, shares of good
+    steps: tuple[tuple[tuple[float, ...], tuple[float, ...]], ...] = ()  # by centre: differences, shares of good
 
     def score(self, texts) -> np.ndarray:
         x = np.array([size_difference(t, self.good, self.bad) for t in texts], dtype=np.float64)
         smooth = 1 / (1 + np.exp(-np.clip(self.weight * x + self.bias, -30, 30)))
         if not self.steps:
             return smooth
-        size = size_class(texts)
-        shares = [np.interp(x, *fit) for fit in self.steps]
-        return (1 - SMOOTH) * np.choose(size, shares) + SMOOTH * smooth
+        near = nearness([text_bytes(t) for t in texts])
+        shares = np.column_stack([np.interp(x, *fit) for fit in self.steps])
+        return (1 - SMOOTH) * (near * shares).sum(axis=1) + SMOOTH * smooth
 
 
-def size_class(texts) -> np.ndarray:
-    return np.searchsorted(SIZES, [len(t.encode("utf-8")) if t else 0 for t in texts], side="right")
+def text_bytes(text: str | None) -> int:
+    return len(text.encode("utf-8")) if text else 0
+
+
+def nearness(sizes) -> np.ndarray:
+    """How near each size is to each centre: shares of the two centres around it, on a logarithmic scale."""
+    at = np.interp(np.log(np.maximum(sizes, 1)), np.log(CENTRES), np.arange(len(CENTRES)))
+    return np.maximum(0.0, 1 - np.abs(at[:, None] - np.arange(len(CENTRES))))
 
 
 def held_out(id_col: str) -> Column:
@@ -145,7 +154,7 @@ def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float,
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", max_rows: int = MAX_ROWS, span: int = SPAN) -> QualityModel:
+                label_col: str = "quality", max_rows: int = MAX_ROWS) -> QualityModel:
     """Dictionaries and calibration from the labelled rows that aren't held out."""
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
                     .filter("id is not null and label in (0, 1)").filter(~held_out("id")).distinct())
@@ -156,30 +165,33 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     chosen = [marked.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(max_rows) for k in (0, 1)]
     picked = chosen[0].unionByName(chosen[1])  # 2 * max_rows narrow rows at any size
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("text") - span, F.lit(0)) + 1).cast("int") + 1
-    rows = (texts.join(F.broadcast(picked), "id")
-                 .select("id", "label", F.substring(F.col("text"), start, F.lit(span)).alias("text"))
-                 .groupBy("id", "label").agg(F.min("text").alias("text"))
-                 .orderBy(F.xxhash64("id"), "id").collect())
-    parts = {k: [r["text"] for r in rows if r["label"] == k] for k in (0, 1)}
-    learn = {k: v[::2] for k, v in parts.items()}
-    check = {k: v[1::2] or v for k, v in parts.items()}
-    good, bad = (build_dictionary([t.encode("utf-8") for t in learn[k]]) for k in (1, 0))
+    rows = pinned(texts.join(F.broadcast(picked), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "labelled", "zstd")
+    # of at most 2 * max_rows ids, by hash: the first, third and so on build dictionaries, the others calibrate
+    own = Window.partitionBy("label")
+    turns = rows.select("id", "label").withColumns({
+        "turn": F.row_number().over(own.orderBy(F.xxhash64("id"), "id")), "n": F.count("*").over(own)})
+    placed = rows.join(F.broadcast(turns), ["id", "label"])
+    learn: dict[int, list[bytes]] = {0: [], 1: []}
+    for row in placed.filter("turn % 2 = 1").orderBy("label", "turn").collect():
+        learn[row["label"]].append(row["text"].encode("utf-8"))
+    good, bad = build_dictionary(learn[1]), build_dictionary(learn[0])
     prior = math.log((rates[1] + 1) / (rates[0] + 1))
     if good is None or bad is None:
         return QualityModel(None, None, 0.0, prior)
-    texts = check[0] + check[1]
-    x = np.array([size_difference(t, good, bad) for t in texts])
-    y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
+
+    @F.pandas_udf("double")
+    def difference(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: size_difference(t, good, bad))
+
+    check = (placed.filter("turn % 2 = 0 or n = 1")
+                   .select("label", "turn", F.octet_length("text").alias("size"), difference("text").alias("x"))
+                   .orderBy("label", "turn").collect())
+    x, y = np.array([r["x"] for r in check]), np.array([float(r["label"]) for r in check])
+    near = nearness([r["size"] for r in check])
     share = {k: rates[k] / sum(rates.values()) for k in (0, 1)}  # the sample is balanced, the labels are not
-    w = np.where(y == 1, share[1] / len(check[1]), share[0] / len(check[0])) * len(y)
-    steps, size = [], size_class(texts)
-    for k in range(len(SIZES) + 1):
-        own = size == k
-        if own.sum() < LEAST_ROWS:  # too few for a fit of their own
-            own = np.ones(len(x), dtype=bool)
-        steps.append(_monotone(x[own], y[own], w[own]))
-    return QualityModel(good, bad, *_logistic(x, y, w), tuple(steps))
+    w = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum()) * len(y)
+    fits = tuple(_monotone(x, y, w * (FAR + (1 - FAR) * near[:, k])) for k in range(len(CENTRES)))
+    return QualityModel(good, bad, *_logistic(x, y, w), fits)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
