@@ -15,8 +15,8 @@ Distributed plan (no all-pairs, no group collected):
    use cells of side ``eps/(2 sqrt 2)``: any two points in the same or
    touching cells are within eps;
 3. core cells are graph nodes (id = smallest core row id in the cell);
-   touching core cells are linked outright, cells 2..3 apart are point-tested
-   only when no core cell touches both;
+   touching core cells are linked outright, cells 2..3 apart that no core cell
+   touches both are decided by the tight boxes of their quarters;
 4. connected components: inside bounded super-tiles of cells with NumPy,
    then min-label propagation with pointer jumping over the edges that cross
    super-tiles (each round checkpointed to the shared checkpoint folder);
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as tf
+from . import spatial as SP
 from .lineage import materialize
 from .ranking import range_rank
 from .spatial import _d2, with_tiles
@@ -132,15 +133,6 @@ def _shift(df: DataFrame, lo: int, hi: int, gx: str = "_gx", gy: str = "_gy",
               .drop("_o"))
 
 
-def _near_rect(px: str, py: str, gx: str, gy: str, g: float, eps: float):
-    """Point within eps of cell (gx, gy)'s square (cheap pre-filter)."""
-    x0 = F.col(gx).cast("double") * F.lit(g)
-    y0 = F.col(gy).cast("double") * F.lit(g)
-    dx = F.greatest(x0 - F.col(px), F.lit(0.0), F.col(px) - (x0 + F.lit(g)))
-    dy = F.greatest(y0 - F.col(py), F.lit(0.0), F.col(py) - (y0 + F.lit(g)))
-    return dx * dx + dy * dy <= F.lit(eps * eps * (1 + 1e-9))
-
-
 def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col: str = "id",
            lon: str = "lon", lat: str = "lat", out: str = "cluster") -> DataFrame:
     """DBSCAN labels for every point with coordinates: ``(id, cluster)``.
@@ -151,9 +143,10 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
     of side eps/(2 sqrt 2), any two points in the same or touching cells are
     within eps, so touching core cells are linked without point tests; core
     cells two or three cells apart are tested only when no core cell touches
-    both, and only with the points near the other cell. Every point test
-    involves a location from a sparse cell or a pair of cells not already
-    linked, never all pairs of a dense area. Ids may be of any sortable type;
+    both. Such a pair is decided by the tight boxes of its two cells or, level
+    by level, of their quarters (``spatial.square_pairs``); points of small
+    squares alone are compared, so two dense clumps about eps apart cost their
+    facing edges, not all their pairs. Ids may be of any sortable type;
     their order numbers the clusters.
     """
     eps = tf.km_to_deg(eps_km)
@@ -200,13 +193,15 @@ def dbscan(points: DataFrame, eps_km: float = 10.0, min_samples: int = 5, id_col
     far = (_shift(node_of, 2, 3).join(other_nodes, ["_ngx", "_ngy"]).filter(F.col("_node") < F.col("_qnode"))
            .select(F.col("_node").alias("src"), F.col("_qnode").alias("dst"), "_ngx", "_ngy"))
     far = far.join(via, ["src", "dst"], "left_anti")
-    cpts = core.join(node_of.select("_gx", "_gy", "_node"), ["_gx", "_gy"]).select("_node", "_px", "_py")
-    a_side = (far.join(cpts.withColumnRenamed("_node", "src"), "src")
-                 .filter(_near_rect("_px", "_py", "_ngx", "_ngy", g, eps)))
-    b_side = cpts.select(F.col("_node").alias("dst"), F.col("_px").alias("_qx"), F.col("_py").alias("_qy"))
-    b_side = b_side.join(far.select("src", "dst").distinct(), "dst")
-    tested = (a_side.join(b_side, ["src", "dst"]).filter(_d2("_px", "_py", "_qx", "_qy") <= e2)
-                    .select("src", "dst").distinct())
+    # each such pair is two squares: one look at their tight boxes often decides, else their nearest quarters do
+    cells = materialize(SP.squares(core, g), "dbscan-squares")
+    ends = far.join(node_of.select(F.col("_node").alias("src"), F.col("_gx").alias("a_x"), F.col("_gy").alias("a_y")), "src")
+    ends = ends.withColumnsRenamed({"_ngx": "b_x", "_ngy": "b_y"})
+    for p in ("a_", "b_"):
+        ends = ends.join(cells.toDF(*[p + c for c in cells.columns]), [p + "x", p + "y"])
+    inside, cut, levels = SP.square_pairs(core, ends, g, eps * eps, ["src", "dst"], once=True)
+    near = SP.close_points(cut, SP.by_level(core.select("_px", "_py", "_w"), g, levels), eps * eps)
+    tested = inside.select("src", "dst").unionByName(near.select("src", "dst")).distinct()
     edges = touching.unionByName(tested)
     comps = tile_contracted_components(node_of.select(F.col("_node").alias("node"), "_gx", "_gy"), edges)
     numbered = range_rank(comps, "label", out="_rank")

@@ -208,34 +208,115 @@ def exclusion_mask(cells: DataFrame, points: DataFrame, radius_km: float,
     return cells.join(hit, cell_keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
+# two squares with at most this many pairs of locations are compared point by point
+SMALL_PAIR = 256
+
+
+def squares(loc: DataFrame, side: float, level: int = 0) -> DataFrame:
+    """Occupied squares of side ``side / 2^level``: locations ``n``, points ``w`` and the tight box.
+
+    Halving is exact in binary, so each square's parent is at half its indices.
+    """
+    return (with_tiles(loc, side / 2 ** level, "_px", "_py", "x", "y").groupBy("x", "y")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.min("_px").alias("x0"), F.max("_px").alias("x1"),
+                 F.min("_py").alias("y0"), F.max("_py").alias("y1")))
+
+
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.toDF(*[prefix + c for c in df.columns])
+
+
+def _bounds():
+    """Least and greatest squared distance of points in the tight boxes ``a`` and ``b``.
+
+    Rounding is monotone, so these bound the computed distance of each pair of points too.
+    """
+    def near(k):
+        return F.greatest(F.lit(0.0), F.col(f"a_{k}0") - F.col(f"b_{k}1"), F.col(f"b_{k}0") - F.col(f"a_{k}1"))
+
+    def far(k):
+        return F.greatest(F.col(f"a_{k}1") - F.col(f"b_{k}0"), F.col(f"b_{k}1") - F.col(f"a_{k}0"))
+
+    return near("x") * near("x") + near("y") * near("y"), far("x") * far("x") + far("y") * far("y")
+
+
+def square_pairs(loc: DataFrame, pairs: DataFrame, side: float, r2: float, keep: Sequence[str] = (), once: bool = False):
+    """``(inside, cut, levels)`` for pairs of squares ``a`` and ``b`` of level 0.
+
+    ``inside`` holds pairs of squares all of whose points are within ``r2`` of each other, ``cut`` pairs of at most
+    ``SMALL_PAIR`` location pairs that the radius runs through. Larger ones are split into the pairs of their quarters,
+    level by level, until none is left; pairs out of reach are dropped. Both carry ``level`` and the columns ``keep``.
+    With ``once``, a pair inside settles all others of the same ``keep``.
+    """
+    inside, cut, level = [], [], 0
+    sides = ["level", *keep, "a_x", "a_y", "b_x", "b_y"]
+    while True:
+        least, most = _bounds()
+        seen = materialize(pairs.withColumn("level", F.lit(level)).filter(least <= F.lit(r2))
+                                .withColumn("all", most <= F.lit(r2)), "square-pairs")
+        small = F.col("a_n") * F.col("b_n") <= SMALL_PAIR
+        inside.append(seen.filter("all").select(*sides, "b_w"))
+        split = seen.filter(~F.col("all"))
+        if once:
+            split = split.join(seen.filter("all").select(*keep).distinct(), list(keep), "left_anti")
+        cut.append(split.filter(small).select(*sides))
+        large = split.filter(~small).select(*sides).drop("level")
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, inside), reduce(DataFrame.unionByName, cut), level + 1
+        level += 1
+        quarters = materialize(squares(loc, side, level), "squares")
+        pairs = large
+        for p in ("a_", "b_"):
+            inner = _prefixed(quarters, p).withColumn("_ux", F.shiftright(p + "x", 1)).withColumn("_uy", F.shiftright(p + "y", 1))
+            outer = pairs.withColumnRenamed(p + "x", "_ux").withColumnRenamed(p + "y", "_uy")
+            pairs = outer.join(inner, ["_ux", "_uy"]).drop("_ux", "_uy")
+
+
+def by_level(loc: DataFrame, side: float, levels: int) -> DataFrame:
+    """Each location with its square at every level."""
+    places = [F.struct(F.lit(k).alias("level"), _tile("_px", side / 2 ** k).alias("x"), _tile("_py", side / 2 ** k).alias("y"))
+              for k in range(levels)]
+    return loc.withColumn("_s", F.explode(F.array(*places))).select("_s.*", "_px", "_py", "_w")
+
+
+def close_points(cut: DataFrame, placed: DataFrame, r2: float) -> DataFrame:
+    """The pairs of locations within ``r2`` of the pairs of squares ``cut``; ``placed`` is ``by_level``'s."""
+    mine = placed.toDF("level", "a_x", "a_y", "_px", "_py", "_w").drop("_w")
+    other = placed.toDF("level", "b_x", "b_y", "_qx", "_qy", "_qw")
+    return (cut.join(mine, ["level", "a_x", "a_y"]).join(other, ["level", "b_x", "b_y"])
+               .filter(_d2("_px", "_py", "_qx", "_qy") <= F.lit(r2)))
+
+
 def neighbour_counts(points: DataFrame, eps_km: float, id_col: str = "id", lon: str = "lon",
                      lat: str = "lat", out: str = "n_neighbours") -> DataFrame:
     """Number of points within eps of each point (itself included).
 
     Counting runs on distinct locations with multiplicities, on cells of side
     eps/(2 sqrt 2): any two points in the same or touching cells are within
-    eps, so the 3x3 block around a point is counted by aggregation; only
-    cells two or three cells away (the ring) go through the distance test.
+    eps, so the 3x3 block around a point is counted by aggregation. Cells two
+    or three cells away are taken as pairs of squares: one that lies wholly
+    within eps of another adds its count at once, one that the circle cuts is
+    split into quarters, and only points of small cut squares are compared.
     """
     eps = tf.km_to_deg(eps_km)
     g = eps / (2.0 * 2 ** 0.5) * (1 - 1e-9)
-    loc = with_tiles(distinct_points(points, lon, lat), g, "_px", "_py", "_gx", "_gy")
-    cell_n = loc.groupBy("_gx", "_gy").agg(F.sum("_w").alias("_cn"))
-    block = (explode_neighbours(cell_n.withColumn("_cx", (F.col("_gx") + F.lit(0.5)) * F.lit(g))
-                                      .withColumn("_cy", (F.col("_gy") + F.lit(0.5)) * F.lit(g)),
-                                g, 1, "_cx", "_cy", "_bx", "_by")
-             .groupBy(F.col("_bx").alias("_gx"), F.col("_by").alias("_gy")).agg(F.sum("_cn").alias("_bn")))
-    ring = (loc.select("_px", "_py", "_gx", "_gy")
-               .withColumn("_o", F.explode(F.array(*[
-                   F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                   for dx in range(-3, 4) for dy in range(-3, 4) if max(abs(dx), abs(dy)) >= 2])))
-               .select("_px", "_py", (F.col("_gx") + F.col("_o.dx")).alias("_ngx"),
-                       (F.col("_gy") + F.col("_o.dy")).alias("_ngy")))
-    other = loc.select(F.col("_gx").alias("_ngx"), F.col("_gy").alias("_ngy"), F.col("_px").alias("_qx"),
-                       F.col("_py").alias("_qy"), F.col("_w").alias("_qw"))
-    cross = (ring.join(other, ["_ngx", "_ngy"]).filter(_d2("_px", "_py", "_qx", "_qy") <= F.lit(eps * eps))
-                 .groupBy("_px", "_py").agg(F.sum("_qw").alias("_cross")))
-    counts = (loc.join(block, ["_gx", "_gy"]).join(cross, ["_px", "_py"], "left")
-                 .select("_px", "_py", (F.col("_bn") + F.coalesce(F.col("_cross"), F.lit(0))).alias(out)))
+    r2 = eps * eps
+    loc = materialize(distinct_points(points, lon, lat), "locations")
+    cells = materialize(squares(loc, g), "squares")
+    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-3, 4) for dy in range(-3, 4)])
+    around = (_prefixed(cells, "a_").withColumn("_o", F.explode(near))
+              .withColumns({"b_x": F.col("a_x") + F.col("_o.dx"), "b_y": F.col("a_y") + F.col("_o.dy")}))
+    touching = F.greatest(F.abs("_o.dx"), F.abs("_o.dy")) < 2
+    block = (around.filter(touching).join(_prefixed(cells, "b_"), ["b_x", "b_y"])
+                   .groupBy("a_x", "a_y").agg(F.sum("b_w").alias("_add")))
+    ring = around.filter(~touching).drop("_o").join(_prefixed(cells, "b_"), ["b_x", "b_y"])
+    inside, cut, levels = square_pairs(loc, ring, g, r2)
+    placed = by_level(loc, g, levels)
+    whole = (inside.groupBy("level", "a_x", "a_y").agg(F.sum("b_w").alias("_add"))
+                   .unionByName(block.withColumn("level", F.lit(0)))
+                   .groupBy("level", F.col("a_x").alias("x"), F.col("a_y").alias("y")).agg(F.sum("_add").alias("_add")))
+    tested = close_points(cut, placed, r2).select("_px", "_py", F.col("_qw").alias("_add"))
+    counts = (placed.join(whole, ["level", "x", "y"]).select("_px", "_py", "_add").unionByName(tested)
+                    .groupBy("_px", "_py").agg(F.sum("_add").alias(out)))
     return (points.join(counts, (points[lon] == counts["_px"]) & (points[lat] == counts["_py"]), "inner")
                   .drop("_px", "_py"))
