@@ -51,7 +51,7 @@ SHINGLE_UNITS = 3
 MIN_CHARS = 80
 WINDOW = 2
 SPACE = " \t\n\x0b\f\r"  # the pattern's white space
-STEPS = 4  # shingle sizes tried one by one before units are counted
+STEPS = (1, 1, 1, 1, 6, 8)  # shingle sizes told apart by sums, in groups, before units are counted
 
 
 def unit_pattern(unit_words: int = UNIT_WORDS) -> str:
@@ -81,23 +81,34 @@ def _is_picked(hashes: Column, h: Column, i: Column, window: int) -> Column:
     return any_window
 
 
-def shingle_size(lengths: str, i: Column, shingle_units: int, min_chars: int) -> Column:
-    """Units of the shingle that starts at ``i``; null if the text ends before it does."""
+def shingle_size(lengths: str, sums: str, i: Column, shingle_units: int, min_chars: int) -> Column:
+    """Units of the shingle that starts at ``i``; null if the text ends before it does.
+
+    ``sums`` holds the characters of ``shingle_units`` units from each one on (as many as there are).
+    """
     def whole(a):
         return (a["n"] >= shingle_units) & (a["chars"] >= min_chars)
 
-    # every unit has a character
+    def reached(n):  # units behind the end count nothing, so the least n that reaches min_chars ends in the text
+        many = [F.get(sums, i + k) for k in range(0, n - shingle_units + 1, shingle_units)]
+        one = [F.get(lengths, i + k) for k in range(len(many) * shingle_units, n)]
+        return sum((F.coalesce(x, F.lit(0)) for x in [*many, *one][1:]), many[0]) >= min_chars
+
+    # every unit has a character; an aggregate goes through all it is given, so it is left to what the sums don't settle
     ahead = F.slice(lengths, i + 1, F.lit(max(shingle_units, min_chars)))
     counted = F.aggregate(ahead, F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("chars")),
                           lambda a, x: F.when(whole(a), a).otherwise(
                               F.struct((a["n"] + 1).alias("n"), (a["chars"] + x).alias("chars"))),
                           lambda a: F.when(whole(a), a["n"]))
-    chars = sum((F.get(lengths, i + k) for k in range(1, shingle_units)), F.get(lengths, i).cast("long"))
-    size = F.when(chars >= min_chars, F.lit(shingle_units))
-    for n in range(shingle_units + 1, shingle_units + STEPS):
-        chars = chars + F.get(lengths, i + n - 1)
-        size = size.when(chars >= min_chars, F.lit(n))
-    return size.otherwise(counted)
+    size = F.when(i + shingle_units > F.size(lengths), F.lit(None).cast("int"))
+    n = shingle_units
+    for step in STEPS:
+        last, among = n + step - 1, F.lit(n + step - 1)
+        for k in range(last - 1, n - 1, -1):
+            among = F.when(reached(k), F.lit(k)).otherwise(among)
+        size = size.when(reached(last), among)
+        n = last + 1
+    return size.when(i + n > F.size(lengths), F.lit(None).cast("int")).otherwise(counted)
 
 
 def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars: int) -> DataFrame:
@@ -109,7 +120,7 @@ def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars:
     """
     cut = computed(docs, "id", F.xxhash64("text").alias("th"), line_units(F.col("text"), unit_words).alias("u"))
     ends = F.filter(F.transform("u", lambda x, i: F.when(
-        F.ltrim(x, F.lit(SPACE)).contains("\n") | (i == F.size("u") - 1), i + 1)), lambda i: i.isNotNull())
+        (x.contains("\n") & F.ltrim(x, F.lit(SPACE)).contains("\n")) | (i == F.size("u") - 1), i + 1)), lambda i: i.isNotNull())
     bare = F.transform("u", lambda x: F.btrim(x, F.lit(SPACE)))
     bare = computed(cut, "id", "th", bare.alias("u"), ends.alias("ends"))
     sized = computed(bare, "id", "th", F.transform("u", lambda x: F.xxhash64(x)).alias("units"),
@@ -117,10 +128,12 @@ def unit_table(docs: DataFrame, unit_words: int, shingle_units: int, min_chars:
                      F.transform("ends", lambda e, j: F.struct(
                          F.coalesce(F.get("ends", j - 1), F.lit(0)).alias("pos"),
                          (e - F.coalesce(F.get("ends", j - 1), F.lit(0))).alias("n"))).alias("lines"))
+    summed = computed(sized, "id", "th", "units", "lengths", "lines", F.transform("lengths", lambda x, i: sum(
+        (F.coalesce(F.get("lengths", i + k), F.lit(0)) for k in range(1, shingle_units)), x)).alias("sums"))
     chars = lambda r: F.aggregate(F.slice("lengths", r["pos"] + 1, r["n"]), F.lit(0).cast("long"),
                                   lambda a, x: a + x)
-    return sized.select(F.monotonically_increasing_id().alias("row"), "id", "th", "units",
-                        F.transform("lengths", lambda _, i: shingle_size("lengths", i, shingle_units, min_chars)).alias("sizes"),
+    return summed.select(F.monotonically_increasing_id().alias("row"), "id", "th", "units",
+                        F.transform("lengths", lambda _, i: shingle_size("lengths", "sums", i, shingle_units, min_chars)).alias("sizes"),
                         F.filter("lines", lambda r: chars(r) >= min_chars).alias("lines"))
 
 
@@ -154,24 +167,38 @@ def _not_first(runs: DataFrame, run: str, pos: str) -> DataFrame:
 def _reaches(places: DataFrame) -> DataFrame:
     """``(place, run, far)``: how many units ``ext`` of a place has in common with an earlier place of the same ``run``.
 
-    ``places(run, place, ext)``. Places that share nothing with an earlier one are left out. The common length with all
-    earlier places is found by halves: of places with equal first halves of a segment all but the least go on in the
-    second half only, beneath that group; the least one stands for them in the first half, and goes along in the second
-    for the others to be compared with. A place costs a row or two a round, and there is a round for each power of two.
+    ``places(run, place, ext)``. Places that share nothing with an earlier one are left out. Of places with equal ``ext``
+    all but the least go all the way; the least ones stand for them. The common length of those with all earlier ones is
+    found by halves: of places with equal first halves of a segment all but the least go on in the second half only,
+    beneath that group; the least one stands for them in the first half, and goes along in the second for the others to
+    be compared with. A place costs a row or two a round, from the round of its own length on, and there is a round for
+    each power of two.
     """
-    longest = places.agg(F.max(F.size("ext"))).first()[0] or 0
+    whole = places.filter(F.size("ext") > 0).withColumn("whole", F.xxhash64("run", "ext"))
+    # the least of equal ones brings its own columns along
+    alike = pinned(whole.groupBy("whole").agg(F.min(F.struct("place", "run", "ext")).alias("p"), F.count("*").alias("times"))
+                        .select("whole", "times", "p.*"), "alike", "zstd")
+    first = alike.filter("times > 1").select("whole", F.col("place").alias("least"))
+    far = pinned(whole.join(first, "whole").filter(F.col("place") > F.col("least"))
+                      .select("place", "run", F.size("ext").alias("far")), "far", "zstd")
+    fresh = alike.select("run", "place", "ext", F.lit(0).alias("lo"), F.col("run").alias("group"))
+    longest = alike.agg(F.max(F.size("ext"))).first()[0] or 0
     top = max(0, (longest - 1).bit_length())
-    pieces = places.select("run", "place", "ext", F.lit(0).alias("lo"), F.col("run").alias("group")).filter(F.size("ext") > 0)
-    far = None
+    pieces = None
     for level in [*reversed(range(top)), None]:
         half = 1 << level if level is not None else 1  # the last round looks at single units
+        if level is not None or top == 0:
+            entering = F.size("ext") >= half
+            if level is not None and level < top - 1:
+                entering = entering & (F.size("ext") < 2 * half)
+            pieces = fresh.filter(entering) if pieces is None else pieces.unionByName(fresh.filter(entering))
         keyed = pieces.filter(F.size("ext") >= half).withColumn("next", F.xxhash64("group", "lo", F.slice("ext", 1, half)))
         least = pinned(keyed.groupBy("next").agg(F.min("place").alias("least"), F.count("*").alias("times")).filter("times > 1")
                             .select("next", "least"), "least", "zstd")
         split = keyed.join(least, "next", "left").withColumn("later", F.coalesce(F.col("place") > F.col("least"), F.lit(False)))
         if level is None:
             shared = pinned(split.filter("later").select("place", "run", (F.col("lo") + 1).alias("far")), "shared", "zstd")
-            return (shared if far is None else far.unionByName(shared)).groupBy("place", "run").agg(F.max("far").alias("far"))
+            return far.unionByName(shared).groupBy("place", "run").agg(F.max("far").alias("far"))
         # a piece carries the units of its own segment only
         rest = F.slice("ext", F.lit(half + 1), F.size("ext"))
         parts = F.array_compact(F.array(
@@ -183,7 +210,7 @@ def _reaches(places: DataFrame) -> DataFrame:
         short = pieces.filter(F.size("ext") < half).withColumn("shared", F.lit(False))
         both = pinned(short.unionByName(split.select("run", "place", F.inline(parts)).select(*short.columns)), "pieces", "zstd")
         shared = both.filter("shared").select("place", "run", F.col("lo").alias("far"))
-        far = shared if far is None else far.unionByName(shared)
+        far = far.unionByName(shared)
         pieces = both.filter("not shared").drop("shared")
 
 
@@ -192,7 +219,7 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
     """``(id, th, gone)``: the runs ``(first, n)`` of units to delete, for documents that lose any."""
     units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units", "zstd")
     # nearly all rows of the job are prints: they carry a row number only
-    prints = fingerprints(units, shingle_units, window)
+    prints = pinned(fingerprints(units, shingle_units, window), "prints", "zstd")
     often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
     found = pinned(prints.join(often, "h", "left_semi").join(units.select("row", "id", "th"), "row"), "found")
     later = pinned(_not_first(found, "h", "pos"), "later")
