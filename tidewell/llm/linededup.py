@@ -220,7 +220,8 @@ def repeated_units(docs: DataFrame, unit_words: int = UNIT_WORDS, shingle_units:
     units = pinned(unit_table(docs, unit_words, shingle_units, min_chars), "units", "zstd")
     # nearly all rows of the job are prints: they carry a row number only
     prints = pinned(fingerprints(units, shingle_units, window), "prints", "zstd")
-    often = prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
+    # written, as in _not_first: a fingerprint of a third of all documents is split in the join
+    often = pinned(prints.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h"), "often", "zstd")
     found = pinned(prints.join(often, "h", "left_semi").join(units.select("row", "id", "th"), "row"), "found")
     later = pinned(_not_first(found, "h", "pos"), "later")
     # a shingle is extended on a side where no other deleted one covers the next unit; all its copies are, to compare
