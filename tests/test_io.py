@@ -73,3 +73,20 @@ def test_cube_reader_merges_schemas_and_nulls_nan(spark, tmp_dir):
     rows = {r["time"]: (r["sst"], r["chlor_a"]) for r in cube.collect()}
     assert rows == {"2020-01-01": (None, None), "2020-01-02": (1.0, 2.0)}
     assert R.duplicate_coordinates(cube).count() == 0
+
+
+def test_pings_make_one_file_for_each_individual(spark, tmp_dir):
+    rows = [(i % 7 if i % 8 else None, f"2024-01-01T00:00:{i % 60:02d}.000000", i / 10, None if i % 5 == 0 else i / 20) for i in range(400)]
+    df = spark.createDataFrame(rows, "shark_id long, datetime string, longitude double, latitude double").repartition(16)
+    path = K.write_tracks_json(df, os.path.join(tmp_dir, "pings"), "shark_id")
+    files = [f for _, _, names in os.walk(path) for f in names]
+    assert sorted(files) == sorted([*(f"shark_id={i}.json" for i in range(7)), "shark_id=__HIVE_DEFAULT_PARTITION__.json"])
+    back = R.read_tracks_json(spark, path, id_pattern=r"shark_id=(\d+)").collect()
+    assert sorted((r.shark_id, r.ts.second, r.lon, r.lat or -1) for r in back) == sorted(
+        (str(s) if s is not None else "", int(t[17:19]), x, y or -1) for s, t, x, y in rows)
+
+
+def test_no_pings_make_no_file(spark, tmp_dir):
+    df = spark.createDataFrame([], "shark_id long, datetime string, longitude double, latitude double")
+    path = K.write_tracks_json(df, os.path.join(tmp_dir, "none"), "shark_id")
+    assert R.read_tracks_json(spark, path, id_pattern=r"shark_id=(\d+)").count() == 0

@@ -95,9 +95,9 @@ def q_read_individuals(spark, sf):
 def q_read_tracks_json(spark, sf):
     """Pings saved per individual; the id is recovered from the file path."""
     t = spark.table("v_tracks")
-    path = K.scratch_path(spark, "pings")
-    (t.select("shark_id", F.date_format("ts", K.TS_FORMAT).alias("datetime"), F.col("lon").alias("longitude"),
-              F.col("lat").alias("latitude")).write.partitionBy("shark_id").json(path))
+    pings = t.select("shark_id", F.date_format("ts", K.TS_FORMAT).alias("datetime"), F.col("lon").alias("longitude"),
+                     F.col("lat").alias("latitude"))
+    path = K.write_tracks_json(pings, K.scratch_path(spark, "pings"), "shark_id")
     df = R.read_tracks_json(spark, path, id_pattern=r"shark_id=(\d+)")
     return df.select(F.col("shark_id").cast("bigint").alias("shark_id"), "ts", "lon", "lat")
 

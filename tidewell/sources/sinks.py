@@ -7,8 +7,12 @@ bbox reads; cubes are partitioned by week so date filters prune partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +69,53 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_tracks_json(df: DataFrame, path: str, by: str) -> str:
+    """Pings as JSON lines, saved by individual: a file ``<by>=<id>.json`` for each, more of them where one has very many.
+
+    Rows are dealt by individual first, so the number of files follows the individuals alone, not tasks times individuals;
+    Spark splits a part that is too large. A task writes its files, one open at a time, into its own folder, each under a
+    hidden name until it is whole.
+    """
+    folder = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+    fields = [c for c in df.columns if c != by]
+    lines = df.select(F.col(by).cast("string").alias("id"), F.to_json(F.struct(*fields)).alias("line"))
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = _file_system(folder)
+        task = TaskContext.get()
+        base, out, opened = f"{base}/part={task.partitionId()}", None, None
+        hidden, n_files = f"{base}/.{task.taskAttemptId()}", 0
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            start = 0
+            while start < len(ids):
+                stop = start + 1
+                while stop < len(ids) and ids[stop] == ids[start]:
+                    stop += 1
+                name = f"{base}/{by}={'__HIVE_DEFAULT_PARTITION__' if ids[start] is None else quote(ids[start], safe='')}.json"
+                if name != opened:
+                    if out is not None:
+                        out.close()
+                        fs.move(hidden, opened)
+                    fs.create_dir(base, recursive=True)
+                    out, opened, n_files = fs.open_output_stream(hidden, compression=None), name, n_files + 1
+                out.write(("\n".join(batch.column(1).slice(start, stop - start).to_pylist()) + "\n").encode())
+                start = stop
+        if out is not None:
+            out.close()
+            fs.move(hidden, opened)
+        yield pa.RecordBatch.from_arrays([pa.array([n_files], pa.int64())], ["n_files"])
+
+    fs, base = _file_system(folder)
+    fs.create_dir(base, recursive=True)
+    lines.hint("rebalance", "id").sortWithinPartitions("id").mapInArrow(save, "n_files long").agg(F.sum("n_files")).collect()
+    return path
+
+
+def _file_system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    return pyarrow.fs.FileSystem.from_uri(folder) if "://" in folder else (pyarrow.fs.LocalFileSystem(), folder)
+
+
 def layer_metadata(layers: dict, crs: str = "EPSG:4326", res: float = tf.DEFAULT_RESOLUTION,
                    bbox: dict = tf.DEFAULT_BBOX, nodata: float = DEFAULT_NODATA) -> DataFrame:
     """K5: one descriptor row per layer.
