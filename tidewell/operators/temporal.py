@@ -155,11 +155,11 @@ def climatology(df: DataFrame, value: str = "value", by: str = "month", time_col
               .groupBy(by, *keys).agg(F.avg("_v").alias(out)))
 
 
-def _epoch_seconds(c):
-    """Seconds, with their fraction, of a wall-clock time since 1970, without any time zone."""
+def _epoch_micros(c):
+    """Whole microseconds of a wall-clock time since 1970, without any time zone."""
     t = F.col(c).cast("timestamp_ntz")
-    return (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")) * 86400.0
-            + F.hour(t) * 3600.0 + F.minute(t) * 60.0 + F.date_part(F.lit("SECOND"), t).cast("double"))
+    minutes = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 1440 + F.hour(t) * 60 + F.minute(t)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def interpolate_weekly(df: DataFrame, start: str, end: str, value: str = "value",
@@ -194,8 +194,8 @@ def interpolate_weekly(df: DataFrame, start: str, end: str, value: str = "value"
     mondays = F.when(lo <= hi, F.sequence(lo, hi, F.expr("interval 7 days"))).otherwise(
         F.array().cast("array<date>"))
     ex = br.select(*keys, "_t", "_t2", "_v", "_v2", F.explode(mondays).alias("week_start"))
-    frac = ((_epoch_seconds("week_start") - _epoch_seconds("_t"))
-            / (_epoch_seconds("_t2") - _epoch_seconds("_t")))
+    frac = ((_epoch_micros("week_start") - _epoch_micros("_t"))
+            / (_epoch_micros("_t2") - _epoch_micros("_t")))
     return ex.select(*keys, "week_start", (F.col("_v") + (F.col("_v2") - F.col("_v")) * frac).alias(out))
 
 
