@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tidewell.operators import spatial as SP
 from tidewell.operators import store
 from tidewell.operators import temporal as T
 from tidewell.plans import q_grid, q_training
+from tidewell.plans.registry import report
 from tidewell.sources import readers as R
 from tidewell.sources import sinks as K
 from tidewell.sources.fixtures import register_views
@@ -116,3 +118,15 @@ def test_a_layer_is_written_once(spark):
     store.layer(spark, "/some/folder", "numbers", ["k"], build)
     assert len(made) == 2
     store.drop_layers(spark, "/some/folder")
+
+
+def test_rounding_of_many_columns_is_compiled(spark, capsys):
+    values = [0.0, -0.0, 1.5e-9, -2.5e-9, 123.4567890125, -7.0, 4503599.627370497, 1e290, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = [r.x for r in report(df).collect()]
+    assert got[:6] == [0.0, 0.0, 2e-9, -3e-9, 123.456789013, -7.0] and math.copysign(1.0, got[1]) == 1.0
+    assert got[6:10] == values[6:10] and math.isnan(got[10]) and got[11] is None
+    wide = spark.range(9).select(*[(F.rand(i) * 100).alias(f"v{i}") for i in range(14)])
+    report(wide).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # HotSpot leaves longer methods to its interpreter

@@ -222,7 +222,9 @@ def q_training(spark, sf):
     """Q14: presence + absence points with temporal features and all 13 variables: seven static ones of
     their cell; five ocean variables and fishing effort of their cell and week."""
     pts = FE.extract_features(_points(spark), date_col="Date")
-    out = LN.at_places(pts.join(_static_layers(spark, sf).hint("merge"), CELL, "left"),
-                       [ocean_layer(spark, sf), effort_layer(spark, sf)])
-    return report(out.select("point_id", "Shark_Presence_Status", "Life_Stage", "Date", "lon", "lat", "Month",
-                             "Week_of_Year", "Season", "lat_idx", "lon_idx", *LAYERS, *WEEKLY, EFFORT))
+    # static values are rounded by cell: the columns of all layers in one projection make a method too long to compile
+    placed = pts.join(report(_static_layers(spark, sf)).hint("merge"), CELL, "left")
+    out = LN.at_places(placed, [ocean_layer(spark, sf), effort_layer(spark, sf)])
+    out = out.select("point_id", "Shark_Presence_Status", "Life_Stage", "Date", "lon", "lat", "Month",
+                     "Week_of_Year", "Season", "lat_idx", "lon_idx", *LAYERS, *WEEKLY, EFFORT)
+    return report(out, keep=LAYERS)
