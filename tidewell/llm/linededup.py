@@ -23,8 +23,10 @@ hash is that of its trimmed content.
   to the left by ``window`` units, to the right to the end of the shingle that
   starts where this one ends (of a later one in a wide window), or of the text.
   Each place is extended as far as any earlier place of the same shingle goes
-  on alike, not the first alone: ``_reaches`` finds that by halves, so a copy
-  costs a row or two a round, whatever its length. Only the least position of
+  on alike, not the first alone: ``_reaches`` finds that by the beginnings of a
+  few units and then by halves, so a copy costs some rows, whatever its length.
+  Documents are numbered in that order first, so that a position is a single
+  number (``numbered``). Only the least position of
   a group is ever aggregated, so a passage in a third of all documents costs
   no more than its rows.
 
