@@ -45,8 +45,7 @@ def test_top_k_of_many_parts(spark, monkeypatch, part_bytes):
 
 
 def test_slots_are_dealt_one_to_each_partition(spark):
-    slots = topk._slots(spark, 37)
-    frame = spark.createDataFrame([(s,) for s in slots], "slot long").repartition(37, "slot")
+    frame = spark.range(37).select(topk._slot(spark, F.col("id"), 37).alias("slot")).repartition(37, "slot")
     assert sorted(r[0] for r in frame.select(F.spark_partition_id()).collect()) == list(range(37))
 
 

@@ -44,7 +44,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import computed, pinned
@@ -252,14 +252,15 @@ def _merged(found: pa.Table, k: int) -> pa.Table:
                     names=["query_id", "vec_id", "score"])
 
 
-def _slots(spark: SparkSession, n: int) -> list[int]:
-    """``n`` numbers that ``repartition`` deals to ``n`` partitions, one to each."""
+def _slot(spark: SparkSession, place: Column, n: int) -> Column:
+    """For each place from 0 to ``n - 1`` a number; ``repartition`` deals those to ``n`` partitions, one to each."""
     numbers, dealt = 0, []
     while len(dealt) < n:
         numbers = 2 * numbers or 32 * n
         dealt = (spark.range(numbers).groupBy(F.pmod(F.hash("id"), F.lit(n)))
                       .agg(F.min("id").alias("id")).collect())
-    return sorted(r.id for r in dealt)
+    slots = F.lit(sorted(r.id for r in dealt)).cast("array<long>")
+    return F.element_at(slots, (place + 1).cast("int"))
 
 
 def _parts(blocks: DataFrame, more: int = 0) -> tuple[int, int]:
@@ -282,17 +283,15 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     _, query_parts = _parts(queries, 16 * k)
     n, parts = _parts(blocks)
     parts = max(parts, min(n, -(-TASKS * spark.sparkContext.defaultParallelism // query_parts)))
-    slots = _slots(spark, parts * query_parts)
+    slot = _slot(spark, F.col("part") * query_parts + F.col("query_part"), parts * query_parts)
 
-    def dealt(side: DataFrame, own: str, own_parts: int, other: str, other_parts: int) -> DataFrame:
+    def dealt(side: DataFrame, own: str, own_parts: int, other: str, other_parts: int) -> GroupedData:
         every = F.sequence(F.lit(0), F.lit(other_parts - 1)).cast("array<long>")
         copies = side.select("*", (F.col("block") % own_parts).alias(own), F.explode(every).alias(other))
-        place = F.col("part") * query_parts + F.col("query_part") + 1
-        return (copies.select(*side.columns, F.element_at(F.lit(slots), place.cast("int")).alias("slot"))
-                      .repartition(len(slots), "slot"))
+        return copies.select(*side.columns, slot.alias("slot")).repartition(parts * query_parts, "slot").groupBy("slot")
 
-    found = (dealt(queries, "query_part", query_parts, "part", parts).groupBy("slot")
-             .cogroup(dealt(blocks, "part", parts, "query_part", query_parts).groupBy("slot"))
+    found = (dealt(queries, "query_part", query_parts, "part", parts)
+             .cogroup(dealt(blocks, "part", parts, "query_part", query_parts))
              .applyInArrow(lambda asked, rows: _searched(asked, rows, k), FOUND))
     each = (found.groupBy("q", "dim")
                  .applyInArrow(lambda group: _merged(group, k), "query_id long, vec_id long, score long")
